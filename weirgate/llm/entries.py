@@ -3,21 +3,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard_join
+from . import decontaminate, jaccard_join, language, nearest, packing, pseudonyms, toxicity
+
+#: The key of the pseudonyms; a deployment passes its own secret.
+DEMO_KEY = "weirgate demonstration key"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return nearest.search(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), k=3, threshold=0.9)
 
 
-OP3_SQL = r"""
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs, "doc_id", "text", "lang"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated")
+    )
+
+
+def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymised(_table(spark, sf_dir, "documents"), DEMO_KEY)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP3_SQL = rf"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 items AS (
   SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
@@ -36,10 +72,33 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
 """
 
+OP6_SQL = rf"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS s
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM iw WHERE len(w) > 0)),
+places AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT p.doc_id, p.i, p.n, x.item FROM places p JOIN windows x ON x.n = p.n AND x.s = p.s),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(d.w), 0) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items,
+  sha256(coalesce(m.items, '')) AS items_sha256,
+  coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= coalesce(len(d.w), 0) AS contaminated
+FROM dw d LEFT JOIN hit h USING (doc_id) LEFT JOIN named m USING (doc_id)
+"""
+
 
 def queries() -> dict:
-    return {"op3_ngram_jaccard_join": op3_ngram_jaccard_join}
+    return {
+        f.__name__: f
+        for f in (op1_nearest_neighbours, op3_ngram_jaccard_join, op4_language_id, op5_toxicity, op6_decontamination, op9_pii_pseudonyms, op10_best_fit_packing)
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard_join": OP3_SQL}
+    return {"op3_ngram_jaccard_join": OP3_SQL, "op6_decontamination": OP6_SQL}

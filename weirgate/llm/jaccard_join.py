@@ -11,7 +11,8 @@ the answers of a set are derived from those of a highly similar set.
    `n - ceil(t n) + 1` first shingles in that order.  Equal sets share an id and
    are one entry from here on, so exact copies cost nothing more.
 3. Prefix shingles held by one set only are dropped.  In each other index list
-   one set, chosen by a hash of the list, is the pivot.  Every set of the list
+   one set, that with the least hash, is the pivot, so that lists of one group
+   tend to have the same one.  Every set of the list
    is paired with the pivot unless size or position bounds exclude the pair;
    the pairs are verified on the full sets.
 4. Verified links give components.  A pair inside one component derives its
@@ -142,13 +143,12 @@ def _need(p: int, n, m):
     return F.ceil((F.lit(p) * (n + m)) / F.lit(1000 + p))
 
 
-def _verified(docs: DataFrame, text_col: str, k: int, threshold: float, pairs: DataFrame) -> DataFrame:
-    """The candidate ``pairs`` (a, b) of set ids whose full sets reach the threshold.
+def _full_sets(docs: DataFrame, text_col: str, k: int, nodes: DataFrame) -> DataFrame:
+    """(sid, items) for the set ids of ``nodes``.
 
     Sets are made again from the texts, for ids in a fixed-size bit filter of
-    the candidates only, so sets nobody asks for never reach a shuffle."""
+    ``nodes`` only, so sets nobody asks for never reach a shuffle."""
     spark, bits = docs.sparkSession, np.zeros(FILTER_BITS // 8, np.uint8)
-    nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select("b"))
     slot = F.pmod("sid", F.lit(FILTER_BITS))
     filled = nodes.select(slot.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     for row in filled.toLocalIterator():  # at most FILTER_BITS bits
@@ -175,7 +175,11 @@ def _verified(docs: DataFrame, text_col: str, k: int, threshold: float, pairs: D
             )
 
     full = docs.select(text_col).mapInArrow(asked, "sid long, items array<long>").groupBy("sid").agg(F.any_value("items").alias("items"))
-    full = shared.durable(full, "sets")
+    return shared.durable(full, "sets")
+
+
+def _verified(full: DataFrame, threshold: float, pairs: DataFrame) -> DataFrame:
+    """The candidate ``pairs`` (a, b) of set ids whose full sets reach the threshold."""
     p = round(threshold * 1000)
     both = pairs.join(full.withColumnsRenamed({"sid": "a", "items": "x"}), "a").join(full.withColumnsRenamed({"sid": "b", "items": "y"}), "b")
     same = F.size(F.array_intersect("x", "y")).cast("long")
@@ -196,7 +200,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     )
     entries = shared.durable(entries, "entries")
-    own = F.struct(F.xxhash64("sid", "token").alias("h"), F.col("sid").alias("pivot"), F.col("n").alias("pn"), F.col("pos").alias("pp"))
+    own = F.struct(F.xxhash64("sid").alias("h"), F.col("sid").alias("pivot"), F.col("n").alias("pn"), F.col("pos").alias("pp"))
     lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(own).alias("pivot")).where("c > 1").select("token", "pivot.*").drop("h")
     shown = shared.durable(entries.join(lists, "token"), "lists")
 
@@ -205,7 +209,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     c = F.col
     starred = shown.where((c("sid") != c("pivot")) & fits(c("n"), c("pos"), c("pn"), c("pp"))).select(F.greatest("sid", "pivot").alias("a"), F.least("sid", "pivot").alias("b")).distinct()
-    links = shared.durable(_verified(docs, text_col, k, threshold, shared.durable(starred, "pairs")), "links")
+    full = _full_sets(docs, text_col, k, shown.select("sid").distinct())
+    links = shared.durable(_verified(full, threshold, starred), "links")
     first = shared.durable(shared.components(links, "stars"), "components")
 
     labelled = shown.select("token", "sid", "n", "pos").join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
@@ -215,7 +220,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     right = labelled.select("token", F.explode(F.array(c("block"), c("block") - 1)).alias("block"), c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("root").alias("root2"))
     across = labelled.join(right, ["token", "block"]).where((c("root") != c("root2")) & ((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & fits(c("n"), c("pos"), c("n2"), c("pos2")))
     across = across.select(F.greatest("sid", "sid2").alias("a"), F.least("sid", "sid2").alias("b")).distinct()
-    late = _verified(docs, text_col, k, threshold, shared.durable(across, "pairs"))
+    late = _verified(full, threshold, across)
     everything = first.select(c("node").alias("a"), c("root").alias("b")).unionByName(late)
     final = shared.components(everything, "stars")
 
