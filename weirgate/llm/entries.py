@@ -58,11 +58,11 @@ items AS (
   SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM items GROUP BY doc_id),
-both AS (
+shared AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS same
   FROM items a JOIN items b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 links AS (
-  SELECT x, y FROM both JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
   WHERE 100 * same >= 90 * (p.n + q.n - same)),
 reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents

@@ -11,8 +11,9 @@ the answers of a set are derived from those of a highly similar set.
    `n - ceil(t n) + 1` first shingles in that order.  Equal sets share an id and
    are one entry from here on, so exact copies cost nothing more.
 3. Prefix shingles held by one set only are dropped.  In each other index list
-   one set, that with the least hash, is the pivot, so that lists of one group
-   tend to have the same one.  Every set of the list
+   one set is the pivot: that with the fewest rarer shingles, which in a group of
+   variants is the one that the others vary, so that lists of one group tend to
+   have the same one.  Every set of the list
    is paired with the pivot unless size or position bounds exclude the pair;
    the pairs are verified on the full sets.
 4. Verified links give components.  A pair inside one component derives its
@@ -200,7 +201,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     )
     entries = shared.durable(entries, "entries")
-    own = F.struct(F.xxhash64("sid").alias("h"), F.col("sid").alias("pivot"), F.col("n").alias("pn"), F.col("pos").alias("pp"))
+    own = F.struct(F.col("pos").alias("pp"), F.xxhash64("sid").alias("h"), F.col("sid").alias("pivot"), F.col("n").alias("pn"))
     lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(own).alias("pivot")).where("c > 1").select("token", "pivot.*").drop("h")
     shown = shared.durable(entries.join(lists, "token"), "lists")
 
@@ -215,7 +216,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     labelled = shown.select("token", "sid", "n", "pos").join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     open_lists = labelled.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-    block = F.floor(F.log(c("n").cast("double")) / F.lit(math.log(1000 / p))).cast("int")
+    block = F.floor(F.log(c("n").cast("double")) / F.lit(1.000001 * math.log(1000 / p))).cast("int")  # a shade wide, for rounding
     labelled = shared.durable(labelled.join(open_lists, "token").withColumn("block", block), "open")
     right = labelled.select("token", F.explode(F.array(c("block"), c("block") - 1)).alias("block"), c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("root").alias("root2"))
     across = labelled.join(right, ["token", "block"]).where((c("root") != c("root2")) & ((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & fits(c("n"), c("pos"), c("n2"), c("pos2")))

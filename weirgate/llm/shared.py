@@ -60,8 +60,9 @@ def free_name(df: DataFrame, base: str) -> str:
 
 
 def _stars(edges: DataFrame) -> bool:
-    """Whether no node stands on both sides of the (larger, smaller) edges."""
-    return edges.select("b").distinct().join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty()
+    """Whether each node of the (larger, smaller) edges is a root or has one edge, to its root."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def components(edges: DataFrame, tag: str) -> DataFrame:
@@ -80,9 +81,7 @@ def components(edges: DataFrame, tag: str) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = durable(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), tag)
-    # a node may keep a single edge to its root only
-    roots = now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
-    return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
 # ------------------------------------------------------------- word hashing
