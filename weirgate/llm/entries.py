@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language, nearest, packing, pseudonyms, toxicity
+from . import decontaminate, jaccard_join, language, nearest, packing, pseudonyms, toxicity, warc
 
 #: The key of the pseudonyms; a deployment passes its own secret.
 DEMO_KEY = "weirgate demonstration key"
@@ -41,6 +41,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return warc.lookup(warc.write(pages), pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(_table(spark, sf_dir, "documents"), DEMO_KEY)
 
@@ -92,13 +97,23 @@ SELECT d.doc_id, coalesce(len(d.w), 0) AS n_words, coalesce(h.n_hit, 0) AS n_hit
 FROM dw d LEFT JOIN hit h USING (doc_id) LEFT JOIN named m USING (doc_id)
 """
 
+OP7_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN f.first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f.first <> page_id THEN f.first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
 
 def queries() -> dict:
     return {
         f.__name__: f
-        for f in (op1_nearest_neighbours, op3_ngram_jaccard_join, op4_language_id, op5_toxicity, op6_decontamination, op9_pii_pseudonyms, op10_best_fit_packing)
+        for f in (op1_nearest_neighbours, op3_ngram_jaccard_join, op4_language_id, op5_toxicity, op6_decontamination, op7_warc_capture_index, op9_pii_pseudonyms, op10_best_fit_packing)
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard_join": OP3_SQL, "op6_decontamination": OP6_SQL}
+    return {"op3_ngram_jaccard_join": OP3_SQL, "op6_decontamination": OP6_SQL, "op7_warc_capture_index": OP7_SQL}

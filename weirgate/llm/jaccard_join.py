@@ -179,9 +179,10 @@ def _full_sets(docs: DataFrame, text_col: str, k: int, nodes: DataFrame) -> Data
     return shared.durable(full, "sets")
 
 
-def _verified(full: DataFrame, threshold: float, pairs: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, text_col: str, k: int, threshold: float, pairs: DataFrame) -> DataFrame:
     """The candidate ``pairs`` (a, b) of set ids whose full sets reach the threshold."""
-    p = round(threshold * 1000)
+    p, pairs = round(threshold * 1000), shared.durable(pairs, "pairs")
+    full = _full_sets(docs, text_col, k, pairs.select(F.col("a").alias("sid")).union(pairs.select("b")))
     both = pairs.join(full.withColumnsRenamed({"sid": "a", "items": "x"}), "a").join(full.withColumnsRenamed({"sid": "b", "items": "y"}), "b")
     same = F.size(F.array_intersect("x", "y")).cast("long")
     return both.select("a", "b", (F.size("x") + F.size("y")).alias("all"), same.alias("same")).where(F.lit(1000) * F.col("same") >= F.lit(p) * (F.col("all") - F.col("same"))).select("a", "b")
@@ -210,8 +211,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     c = F.col
     starred = shown.where((c("sid") != c("pivot")) & fits(c("n"), c("pos"), c("pn"), c("pp"))).select(F.greatest("sid", "pivot").alias("a"), F.least("sid", "pivot").alias("b")).distinct()
-    full = _full_sets(docs, text_col, k, shown.select("sid").distinct())
-    links = shared.durable(_verified(full, threshold, starred), "links")
+    links = shared.durable(_verified(docs, text_col, k, threshold, starred), "links")
     first = shared.durable(shared.components(links, "stars"), "components")
 
     labelled = shown.select("token", "sid", "n", "pos").join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
@@ -221,7 +221,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     right = labelled.select("token", F.explode(F.array(c("block"), c("block") - 1)).alias("block"), c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("root").alias("root2"))
     across = labelled.join(right, ["token", "block"]).where((c("root") != c("root2")) & ((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & fits(c("n"), c("pos"), c("n2"), c("pos2")))
     across = across.select(F.greatest("sid", "sid2").alias("a"), F.least("sid", "sid2").alias("b")).distinct()
-    late = _verified(full, threshold, across)
+    late = _verified(docs, text_col, k, threshold, across)
     everything = first.select(c("node").alias("a"), c("root").alias("b")).unionByName(late)
     final = shared.components(everything, "stars")
 
