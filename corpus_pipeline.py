@@ -16,15 +16,10 @@ from weirgate.llm import decontaminate, entries, jaccard_join, packing, pseudony
 SHINGLE, SIMILARITY = 5, 0.8
 
 
-def _rest(docs: DataFrame) -> tuple[str, ...]:
-    return tuple(c for c in docs.columns if c != "doc_id")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of 0.3 or more go."""
     lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    kept = toxicity.scored(docs, lexicon, keep=_rest(docs)).where("predicted = 0")
-    return kept.select(*docs.columns)
+    return toxicity.scored(docs, lexicon, keep=True).where("predicted = 0").select("kept.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +29,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows cover a twentieth of the words go."""
-    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=_rest(docs))
-    return found.where(~decontaminate.contaminated()).select(*docs.columns)
+    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=True)
+    return found.where(~decontaminate.contaminated()).select("kept.*")
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms; n_chars follows the new text."""
-    rest = tuple(c for c in _rest(docs) if c != "text")
-    new = pseudonyms.pseudonymised(docs, entries.DEMO_KEY, keep=rest)
-    return new.withColumn("n_chars", F.when(F.col("n_found") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    new = pseudonyms.pseudonymised(docs, entries.DEMO_KEY, keep=True)
+    changed = {"text": F.col("text"), "n_chars": F.when(F.col("n_found") > 0, F.length("text").cast("long")).otherwise(F.col("kept.n_chars"))}
+    return new.select(*(changed.get(c, F.col(f"kept.`{c}`")).alias(c) for c in docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

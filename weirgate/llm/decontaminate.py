@@ -105,19 +105,20 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> Iter
         yield WindowIndex(block, size)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = SIZE, keep: tuple[str, ...] = ()) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = SIZE, keep: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, items (ids of occurring
-    items, sorted as strings) and spans (merged word ranges that are hit), and
-    the columns named in ``keep``."""
+    items, sorted as strings) and spans (merged word ranges that are hit), and,
+    if asked, the whole row as ``kept``."""
     shared.text_session(docs.sparkSession)
     spark = docs.sparkSession
+    more = docs.select(*[shared.kept_row(docs)] * keep)
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     shape = T.StructType(
-        [T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", span), *(docs.schema[c] for c in keep)]
+        [T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", span), *more.schema]
     )
     arrow_span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    now = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<string>").alias("items"), F.array().cast(span).alias("spans"), *keep)
+    now = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<string>").alias("items"), F.array().cast(span).alias("spans"), *more.columns and [shared.kept_row(docs)])
     blocks = _blocks(benchmark, item_col, item_text_col, size)
     first = next(blocks, None) or WindowIndex([], size)
 
@@ -148,7 +149,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for block in blocks:
         now = shared.durable(now, "windows").mapInArrow(passed(spark.sparkContext.broadcast(block)), shape)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    return now.select("doc_id", "n_words", hit.alias("n_hit"), "items", "spans", *keep)
+    return now.select("doc_id", "n_words", hit.alias("n_hit"), "items", "spans", *more.columns)
 
 
 def contaminated(n_hit="n_hit", n_words="n_words"):

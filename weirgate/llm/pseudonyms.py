@@ -20,7 +20,7 @@ pseudonym.  A value that the permutation maps to itself is moved on once more.
 
 Defined results: null texts stay null with no spans; empty texts stay empty;
 repeated rows give the same result; overlapping finds keep the first and then
-the longest; extra columns are passed on if named.  Whole texts are searched.
+the longest; the whole row is passed on if asked.  Whole texts are searched.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import shared
@@ -238,11 +239,12 @@ class Pseudonyms:
         return "".join([*out, text[at:]]), finds
 
 
-def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """One row per document: doc_id, text with pseudonyms, n_found, spans (kind
-    and place in the text as it was), and the columns named in ``keep``."""
+    and place in the text as it was), and, if asked, the whole row as it was as ``kept``."""
     shared.text_session(docs.sparkSession)
     secret = key.encode()
+    more = docs.select(*[shared.kept_row(docs)] * keep)
     span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
     def replace(batches):
@@ -258,5 +260,5 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
                 names=[f.name for f in shape],
             )
 
-    shape = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()), T.StructField("n_found", T.IntegerType()), T.StructField("spans", span), *(docs.schema[c] for c in keep)])
-    return docs.select(id_col, text_col, *keep).mapInArrow(replace, shape)
+    shape = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()), T.StructField("n_found", T.IntegerType()), T.StructField("spans", span), *more.schema])
+    return docs.select(F.col(id_col), F.col(text_col), *more.columns and [shared.kept_row(docs)]).mapInArrow(replace, shape)

@@ -48,12 +48,9 @@ def fold_of(doc_id: Column | str) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 4
 
 
-def free_name(df: DataFrame, base: str) -> str:
-    """``base``, lengthened until no column of ``df`` has that name."""
-    taken = {c.lower() for c in df.columns}
-    while base.lower() in taken:
-        base += "_"
-    return base
+def kept_row(df: DataFrame) -> Column:
+    """The whole row as one struct, so that its columns clash with no column added beside it."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("kept")
 
 
 # ---------------------------------------------------------------- components

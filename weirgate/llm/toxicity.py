@@ -247,18 +247,19 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
     return float(a), float(b)
 
 
-def scored(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, and the columns named in ``keep``."""
+def scored(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted and, if asked, the whole row as ``kept``."""
     shared.text_session(docs.sparkSession)
+    more = docs.select(*[shared.kept_row(docs)] * keep)
     known = docs.sparkSession.sparkContext.broadcast(lexicon)  # LEXICON + EXCEPTIONS phrases at most
 
     def score(batches):
         machine, of = known.value.machine(), known.value
         for batch in batches:
             s = pa.array([of.score(of.weight(machine, t)) for t in batch.column(2).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), s, *(batch.column(i) for i in range(3, batch.num_columns))], names=["doc_id", "held_out", "score", *keep])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), s, *(batch.column(i) for i in range(3, batch.num_columns))], names=[f.name for f in shape])
 
-    shape = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()), *(docs.schema[c] for c in keep)])
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(shared.fold_of(id_col) == 2, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"), *keep)
+    shape = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()), *more.schema])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(shared.fold_of(id_col) == 2, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"), *more.columns and [shared.kept_row(docs)])
     found = rows.mapInArrow(score, shape)
-    return found.select("doc_id", "held_out", "score", F.when(F.col("score") >= CUT, 1).otherwise(0).alias("predicted"), *keep)
+    return found.select("doc_id", "held_out", "score", F.when(F.col("score") >= CUT, 1).otherwise(0).alias("predicted"), *more.columns)
