@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language, nearest, packing, pseudonyms, toxicity, warc
+from . import chat, decontaminate, jaccard_join, language, licences, nearest, packing, pseudonyms, toxicity, warc
 
 #: The key of the pseudonyms; a deployment passes its own secret.
 DEMO_KEY = "weirgate demonstration key"
@@ -20,6 +20,16 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a tree of files: a quarter are licence files of the directories above the others."""
+    docs, doc = _table(spark, sf_dir, "documents"), F.col("doc_id")
+    named = F.pmod(F.floor(doc / 20), F.lit(4)) == 0
+    above = F.concat_ws("/", F.col("source"), F.floor(doc / 2000).cast("string"))
+    path = F.when(named, F.concat_ws("/", above, F.concat(F.lit("LICENSE-"), doc.cast("string")))).otherwise(F.concat_ws("/", above, F.floor(doc / 200).cast("string"), F.concat(doc.cast("string"), F.lit(".txt"))))
+    docs = docs.withColumn("path", path)
+    return licences.scan(docs, named)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), k=3, threshold=0.9)
 
@@ -46,6 +56,12 @@ def op7_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.lookup(warc.write(pages), pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = chat.perspectives(_table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    return shown.withColumn("mask", F.array_join(spans, ","))
+
+
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(_table(spark, sf_dir, "documents"), DEMO_KEY)
 
@@ -107,13 +123,32 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d LEFT JOIN f USING (payload_digest)
 """
 
+OP8_SQL = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS text,
+    CAST(floor(coalesce(turn, 0) / 256) AS BIGINT) AS chunk FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM rows WHERE speaker <> 'system'),
+parts AS (
+  SELECT r.conv_id, p.perspective, r.chunk, r.speaker = p.perspective AS own,
+    '<|im_start|>' || CASE WHEN r.speaker = p.perspective THEN 'assistant' WHEN r.speaker = 'system' THEN 'system'
+      ELSE 'user name=' || r.speaker END || chr(10) AS head, r.text || '<|im_end|>' AS body,
+    row_number() OVER (PARTITION BY r.conv_id, p.perspective, r.chunk ORDER BY r.turn NULLS FIRST, r.speaker, r.text) AS place
+  FROM rows r JOIN people p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
+placed AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, chunk ORDER BY place
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS s FROM parts)
+SELECT conv_id, perspective, chunk, count(*) AS n_turns, string_agg(head || body || chr(10), '' ORDER BY place) AS text,
+  coalesce(string_agg(CASE WHEN own THEN s || '-' || (s + length(body)) END, ',' ORDER BY place), '') AS mask
+FROM placed GROUP BY conv_id, perspective, chunk
+"""
+
 
 def queries() -> dict:
     return {
         f.__name__: f
-        for f in (op1_nearest_neighbours, op3_ngram_jaccard_join, op4_language_id, op5_toxicity, op6_decontamination, op7_warc_capture_index, op9_pii_pseudonyms, op10_best_fit_packing)
+        for f in (op1_nearest_neighbours, op2_license_scan, op3_ngram_jaccard_join, op4_language_id, op5_toxicity, op6_decontamination, op7_warc_capture_index, op8_chat_perspectives, op9_pii_pseudonyms, op10_best_fit_packing)
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_ngram_jaccard_join": OP3_SQL, "op6_decontamination": OP6_SQL, "op7_warc_capture_index": OP7_SQL}
+    return {"op3_ngram_jaccard_join": OP3_SQL, "op6_decontamination": OP6_SQL, "op7_warc_capture_index": OP7_SQL, "op8_chat_perspectives": OP8_SQL}
