@@ -15,7 +15,8 @@ the answers of a set are derived from those of a highly similar set.
    variants is the one that the others vary, so that lists of one group tend to
    have the same one.  Every set of the list
    is paired with the pivot unless size or position bounds exclude the pair;
-   the pairs are verified on the full sets.
+   fixed-size signatures drop pairs that differ too much for sure, and the rest
+   are verified on the full sets.
 4. Verified links give components.  A pair inside one component derives its
    answer (same component) from the answers already computed and is skipped.
    Only pairs across components remain: lists are joined by blocks of size, a
@@ -50,6 +51,9 @@ from . import shared
 SKETCH = 1 << 21
 #: Pieces in which the counters are merged, and groups of tasks merged first.
 PIECES, FAN_IN = 64, 64
+#: Bits of a set's parity signature: each shingle flips one, so two signatures
+#: differ in no more bits than the sets differ in shingles.
+SIGNATURE = 1024
 #: Bits of the filter of sets that take part in any candidate pair.
 FILTER_BITS = 1 << 23
 
@@ -72,6 +76,12 @@ def set_id(hashes: np.ndarray) -> int:
     return int(shared.mix(np.array([x], np.uint64)).view(np.int64)[0])
 
 
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """Parities of the set's shingles over `SIGNATURE` cells, as 64-bit words."""
+    odd = np.bincount((hashes >> np.uint64(64 - 10)).astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
     """How many documents hold shingles of each counter, saturating at 65535: a table of fixed size."""
 
@@ -109,15 +119,16 @@ def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: float, counts: np.ndarray) -> DataFrame:
-    """(doc_id, n_shingles, sid, prefix): the necessary prefix in the order rarest first."""
+    """(doc_id, n_shingles, sid, prefix, signature): the necessary prefix in the order rarest first."""
     table = docs.sparkSession.sparkContext.broadcast(counts)  # SKETCH * 2 bytes, whatever the input
 
     def shape(batches):
         for batch in batches:
-            n, sid, prefix, lengths = [], [], [], [0]
+            n, sid, prefix, lengths, signs = [], [], [], [0], []
             for s in _sets(batch.column(1), k):
                 n.append(len(s))
                 sid.append(set_id(s) if len(s) else None)
+                signs.append(signature(s))
                 if len(s):
                     keep = len(s) - required_size(threshold, len(s)) + 1
                     often = table.value[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
@@ -125,12 +136,12 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: flo
                 lengths.append(lengths[-1] + (len(prefix[-1]) if len(s) else 0))
             flat = pa.array(np.concatenate(prefix) if prefix else np.empty(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), flat)],
-                names=["doc_id", "n_shingles", "sid", "prefix"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), flat), pa.array(signs, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "sid", "prefix", "signature"],
             )
 
     id_type = docs.schema[id_col].dataType
-    out = T.StructType([T.StructField("doc_id", id_type), T.StructField("n_shingles", T.LongType()), T.StructField("sid", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+    out = T.StructType([T.StructField("doc_id", id_type), T.StructField("n_shingles", T.LongType()), T.StructField("sid", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("signature", T.ArrayType(T.LongType()))])
     return docs.select(id_col, text_col).mapInArrow(shape, out)
 
 
@@ -179,9 +190,19 @@ def _full_sets(docs: DataFrame, text_col: str, k: int, nodes: DataFrame) -> Data
     return shared.durable(full, "sets")
 
 
-def _verified(docs: DataFrame, text_col: str, k: int, threshold: float, pairs: DataFrame) -> DataFrame:
-    """The candidate ``pairs`` (a, b) of set ids whose full sets reach the threshold."""
-    p, pairs = round(threshold * 1000), shared.durable(pairs, "pairs")
+def _verified(docs: DataFrame, text_col: str, k: int, threshold: float, signs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The candidate ``pairs`` (a, b) of set ids whose full sets reach the threshold.
+
+    Signatures drop pairs that differ in too many shingles for sure; full sets
+    are made for what is left."""
+    p = round(threshold * 1000)
+    signed = pairs.join(signs.select(F.col("sid").alias("a"), F.col("n").alias("an"), F.col("signature").alias("ax")), "a")
+    signed = signed.join(signs.select(F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("signature").alias("bx")), "b")
+    apart = F.aggregate(F.zip_with("ax", "bx", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    both_sizes = F.col("an") + F.col("bn")
+    pairs = shared.durable(signed.where(apart <= both_sizes - 2 * _need(p, F.col("an"), F.col("bn"))).select("a", "b"), "pairs")
+    if pairs.isEmpty():
+        return pairs
     full = _full_sets(docs, text_col, k, pairs.select(F.col("a").alias("sid")).union(pairs.select("b")))
     both = pairs.join(full.withColumnsRenamed({"sid": "a", "items": "x"}), "a").join(full.withColumnsRenamed({"sid": "b", "items": "y"}), "b")
     same = F.size(F.array_intersect("x", "y")).cast("long")
@@ -195,13 +216,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     p = round(threshold * 1000)
     base = shared.durable(prefixes(docs, id_col, text_col, k, threshold, shingle_counts(docs, text_col, k)), "prefixes")
 
-    entries = (
-        base.where("sid is not null")
-        .groupBy("sid")
-        .agg(F.any_value("n_shingles").cast("int").alias("n"), F.any_value("prefix").alias("prefix"))
-        .select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
-    )
-    entries = shared.durable(entries, "entries")
+    each = base.where("sid is not null").groupBy("sid").agg(F.any_value("n_shingles").cast("int").alias("n"), F.any_value("prefix").alias("prefix"), F.any_value("signature").alias("signature"))
+    each = shared.durable(each, "each")
+    signs, entries = each.select("sid", "n", "signature"), each.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     own = F.struct(F.col("pos").alias("pp"), F.xxhash64("sid").alias("h"), F.col("sid").alias("pivot"), F.col("n").alias("pn"))
     lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(own).alias("pivot")).where("c > 1").select("token", "pivot.*").drop("h")
     shown = shared.durable(entries.join(lists, "token"), "lists")
@@ -211,7 +228,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     c = F.col
     starred = shown.where((c("sid") != c("pivot")) & fits(c("n"), c("pos"), c("pn"), c("pp"))).select(F.greatest("sid", "pivot").alias("a"), F.least("sid", "pivot").alias("b")).distinct()
-    links = shared.durable(_verified(docs, text_col, k, threshold, starred), "links")
+    links = shared.durable(_verified(docs, text_col, k, threshold, signs, starred), "links")
     first = shared.durable(shared.components(links, "stars"), "components")
 
     labelled = shown.select("token", "sid", "n", "pos").join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
@@ -221,7 +238,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     right = labelled.select("token", F.explode(F.array(c("block"), c("block") - 1)).alias("block"), c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("root").alias("root2"))
     across = labelled.join(right, ["token", "block"]).where((c("root") != c("root2")) & ((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & fits(c("n"), c("pos"), c("n2"), c("pos2")))
     across = across.select(F.greatest("sid", "sid2").alias("a"), F.least("sid", "sid2").alias("b")).distinct()
-    late = _verified(docs, text_col, k, threshold, across)
+    late = _verified(docs, text_col, k, threshold, signs, across)
     everything = first.select(c("node").alias("a"), c("root").alias("b")).unionByName(late)
     final = shared.components(everything, "stars")
 
