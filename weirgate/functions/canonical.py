@@ -71,7 +71,7 @@ def canonical(value: Column, kind: T.DataType) -> Column:
         out = value.cast("string")
     elif isinstance(kind, T.DecimalType):
         shape = "0." + "0" * kind.scale if kind.scale else "0"
-        out = F.concat(F.lit('"'), F.format_number(value, shape), F.lit('"'))
+        out = F.concat(F.lit('"'), F.call_function("format_number", value, F.lit(shape)), F.lit('"'))
     elif isinstance(kind, T.DateType):
         out = F.concat(F.lit('"'), value.cast("string"), F.lit('"'))
     elif isinstance(kind, T.TimestampType):
