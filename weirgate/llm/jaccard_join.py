@@ -112,6 +112,7 @@ def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
 
     shape = "piece int, fan int, n binary"
     parts = docs.select(text_col).mapInArrow(count, shape).repartition("piece", "fan").mapInArrow(merge, shape)
+    parts = parts.withColumn("fan", F.lit(0)).repartition("piece").mapInArrow(merge, shape)  # at most FAN_IN rows a piece
     table = np.zeros((PIECES, SKETCH // PIECES), np.int64)
     for row in parts.toLocalIterator():
         table[row.piece] += np.frombuffer(row.n, "<u2")
