@@ -44,6 +44,8 @@ from . import shared
 REVISIT_FROM = 100
 LINES = 1000
 DIRECTORY = 200_000
+#: Captures that a reading task looks up, about.
+TASK_CAPTURES = 10_000
 #: Bytes after which a task starts another archive; gap up to which two range reads become one.
 ARCHIVE_BYTES, READ_GAP = 1 << 30, 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -294,12 +296,13 @@ def lookup(archives: Archives, wanted: DataFrame, id_col: str = "page_id", url_c
         return read
 
     out = None
+    tasks = max(1, -(-archives.directory.count() * LINES // (TASK_CAPTURES * max(1, len(chunks)))))
     for i, chunk in enumerate(chunks):
         own = asked
         if i:
             own = own.where(F.col("key") >= chunk[0][0])
         if i + 1 < len(chunks):
             own = own.where(F.col("key") < chunks[i + 1][0][0])
-        part = own.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(reading(spark.sparkContext.broadcast(chunk)), shape)
+        part = own.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(reading(spark.sparkContext.broadcast(chunk)), shape)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], shape)
