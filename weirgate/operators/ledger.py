@@ -20,8 +20,8 @@ COLUMNS = (
 SCHEMA = ", ".join(COLUMNS)
 
 
-def rank(disposition: Column | str = "disposition") -> Column:
-    return F.array_position(F.array(*map(F.lit, RANKED)), disposition)
+def rank(disposition: str = "disposition") -> Column:
+    return F.array_position(F.array(*map(F.lit, RANKED)), F.col(disposition))
 
 
 def latest(ledger: DataFrame) -> DataFrame:

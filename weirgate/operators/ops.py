@@ -74,8 +74,8 @@ def transition_metrics(runs: DataFrame) -> DataFrame:
     """The ledger as (pipeline, stage, metric, value) rows: durations, counts that are set, failures."""
     ms = (F.unix_millis("finished_at") - F.unix_millis("started_at")).cast("long")
     counts = ("raw_count", "pre_quarantined", "post_quarantined", "facts_appended", "rows_merged")
-    pairs = [F.struct(F.lit("duration_ms").alias("metric"), ms.alias("value")), F.struct(F.lit("failed"), F.when(F.col("outcome") == "failed", F.lit(1)).otherwise(F.lit(0)).cast("long"))]
-    pairs += [F.struct(F.lit(c), F.col(c).cast("long")) for c in counts]
+    values = {"duration_ms": ms, "failed": F.when(F.col("outcome") == "failed", F.lit(1)).otherwise(F.lit(0))} | {c: F.col(c) for c in counts}
+    pairs = [F.struct(F.lit(k).alias("metric"), v.cast("long").alias("value")) for k, v in values.items()]
     return runs.select("pipeline", "stage", F.explode(F.array(*pairs)).alias("m")).select("pipeline", "stage", "m.*").where("value is not null")
 
 
