@@ -1,0 +1,380 @@
+"""Training-data operators against brute force, round trips and held-out accuracy, with edge cases."""
+
+import datetime
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from weirgate.llm import chat, decontaminate, entries, jaccard_join, language, licences, nearest, packing, pseudonyms, shared, toxicity, warc
+
+SF = "/root/testdata/sf0.001"
+
+
+def docs_of(spark, rows):
+    """Documents with clashing extra columns."""
+    return spark.createDataFrame([(i, t, "x", i, 1) for i, t in rows], "doc_id long, text string, sid string, score long, n_words int")
+
+
+def words(n, seed, vocabulary=400):
+    dice = random.Random(seed)
+    return [f"w{dice.randrange(vocabulary)}" for _ in range(n)]
+
+
+# ---------------------------------------------------------------- n-gram Jaccard join
+
+
+def brute_components(rows, k, p):
+    sets = []
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append((i, {tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} if w else set()))
+    up = list(range(len(sets)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        x, y = sets[a][1], sets[b][1]
+        if x and y and 100 * len(x & y) >= p * len(x | y):
+            up[root(a)] = root(b)
+    groups = {}
+    for j, (i, _) in enumerate(sets):
+        groups.setdefault(root(j), []).append(i)
+    return sorted((i, len(s), min((g for g in groups[root(j)] if g is not None), default=None)) for j, (i, s) in enumerate(sets) if i is not None)
+
+
+def near_rows():
+    base = words(150, 1)
+    rows = [(100, " ".join(base)), (7, " ".join(base)), (7, " ".join(base))]
+    for i in range(25):  # variants with one to six edits: some link only through others
+        v = list(base)
+        for j in random.Random(i).sample(range(150), 1 + i % 6):
+            v[j] = f"edit{i}-{j}"
+        rows.append((200 + i, " ".join(v)))
+    passage = words(60, 3)
+    rows += [(300 + i, " ".join(words(40 + i, 50 + i, 5000) + passage)) for i in range(12)]
+    rows += [(400, None), (401, ""), (402, " \t\n"), (403, "one two"), (404, "ONE two"), (405, "one"), (None, "one two"), (500, "é x y"), (501, "É x y"), (600, "z " * 3000)]
+    return rows
+
+
+@pytest.mark.parametrize("k,p", [(3, 90), (5, 80), (1, 50)])
+def test_jaccard_components_equal_brute_force(spark, k, p):
+    rows = near_rows()
+    got = jaccard_join.jaccard_components(docs_of(spark, rows), k=k, threshold=p / 100).collect()
+    assert len(got) == len(rows)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None) == brute_components(rows, k, p)
+
+
+def test_jaccard_on_empty_table_and_one_of_each(spark):
+    assert jaccard_join.jaccard_components(docs_of(spark, [])).count() == 0
+    rows = near_rows()
+    kept = [r.doc_id for r in jaccard_join.one_of_each(docs_of(spark, rows)).collect()]
+    want = [i for i, _ in rows if i is None or i in (400, 401, 402)] + sorted({c for _, n, c in brute_components(rows, 5, 80) if n})
+    assert set(kept) == set(want) and {400, 401, 402, None} <= set(kept)
+
+
+def test_components_of_chains_and_hubs(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(30)] + [(5, 1), (5, 2), (900, 900)]
+    found = {r.node: r.root for r in shared.components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
+    assert all(found[i] == 0 for i in range(41)) and all(found[200 + i] == 100 for i in range(30)) and 900 not in found
+
+
+# ---------------------------------------------------------------- decontamination
+
+
+def brute_contamination(text, items, size=13):
+    def split(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+    w, hit, found = split(text), set(), set()
+    for name, t in items:
+        v = split(t)
+        n = min(size, len(v))
+        for i in range(len(v) - n + 1) if v and name is not None else ():
+            for j in range(len(w) - n + 1):
+                if w[j : j + n] == v[i : i + n]:
+                    hit.update(range(j, j + n))
+                    found.add(str(name))
+    return len(w), len(hit), sorted(found)
+
+
+@pytest.mark.parametrize("block", [100_000, 5])
+def test_contamination_equals_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK", block)  # several passes give the same
+    a, b = words(40, 5), words(13, 6)
+    items = [(1, " ".join(a)), (2, " ".join(b)), (2, " ".join(b)), (10, "short item"), (11, None), (12, ""), (None, " ".join(a)), (13, "a a a a a a a a a a a a a a a"), (14, "ünï-cödé")]
+    texts = [" ".join(words(30, 7) + a[5:30] + words(20, 8)), " ".join(b).upper() + "!", " ".join(b[:12]), "Short, item? short item", "a " * 30, None, "", "...", "x ÜNÏ_cödé ünï cödé", " ".join(words(5000, 9) + b)]
+    docs = docs_of(spark, [*enumerate(texts), (3, texts[3]), (None, texts[0])])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((r.doc_id if r.doc_id is not None else -1, r.n_words, r.n_hit, r["items"]) for r in decontaminate.contamination(docs, bench).collect()))
+    want = sorted((i if i is not None else -1, *brute_contamination(t, items)) for i, t in [*enumerate(texts), (3, texts[3]), (None, texts[0])])
+    assert got == want
+    assert decontaminate.contamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
+
+
+# ---------------------------------------------------------------- nearest neighbours
+
+
+def test_search_on_edge_cases_equals_brute_force(spark):
+    dice = np.random.default_rng(3)
+    vectors = {i: dice.normal(size=8).round(2).tolist() for i in range(60)}
+    vectors |= {100 + i: vectors[0] for i in range(20)}  # many equal vectors
+    odd = [(200, None), (201, [0.0] * 8), (202, [float("nan")] * 8), (203, [None, *[1.0] * 7]), (204, [1.0, float("inf"), *[0.0] * 6]), (205, []), (206, [1.0, 2.0]), (None, vectors[1]), (3, vectors[3])]
+    df = spark.createDataFrame([(i, v, "x") for i, v in [*vectors.items(), *odd]], "vec_id long, embedding array<float>, rank string")
+    fine = {i: np.array(v, "<f4").astype(float) for i, v in vectors.items()}
+    got = {}
+    for r in nearest.search(df, df.where("vec_id % 20 = 0 or vec_id in (206, 200)"), k=10, tables=24).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert 200 not in got and 206 not in got  # no usable vector; none of its length
+    for q in (0, 20, 40, 100):
+        want = sorted((float(np.sqrt(((fine[q] - v) ** 2).sum())), i) for i, v in fine.items() if i != q)[:10]
+        assert [(r, i) for r, i, _ in sorted(got[q])] == [(n + 1, i) for n, (_, i) in enumerate(want)]
+        assert np.allclose([s for *_, s in sorted(got[q])], [d for d, _ in want], rtol=1e-12)
+
+
+def test_search_recall_and_small_tables(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.orderBy("vec_id").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows])
+    got = {}
+    for r in nearest.search(df, df.where("vec_id % 100 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    found = total = 0
+    for q in ids[ids % 100 == 0]:
+        d = np.sqrt(((x - x[ids == q]) ** 2).sum(1))
+        want = set(ids[np.lexsort((ids, d))][:11].tolist()) - {q}
+        found, total = found + len(got[q] & set(list(want)[:10])), total + 10
+    assert found / total >= 0.9
+    few = df.where("vec_id < 4 or vec_id = 100")
+    assert nearest.search(few, few.where("vec_id = 0")).count() == 4  # all candidates, if fewer
+    assert nearest.search(df.limit(0), df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- language, toxicity
+
+
+def test_language_held_out_accuracy_and_edges(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    profiles = language.learn(docs, "doc_id", "text", "lang")
+    got = language.identify(docs, profiles).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.95
+    odd = docs_of(spark, [(1, None), (2, ""), (3, "123 %%"), (None, "the of and the"), (5, "the " * 20000), (5, "the " * 20000)])
+    rows = language.identify(odd, profiles).collect()
+    assert [r.lang_pred for r in rows if r.doc_id in (1, 2, 3)] == ["und"] * 3 and all(0 <= r.score <= 1 for r in rows)
+    assert not [r for r in rows if r.doc_id is None][0].held_out
+    nothing = language.learn(docs.limit(0), "doc_id", "text", "lang")
+    assert {r.lang_pred for r in language.identify(odd, nothing).collect()} == {"und"}
+
+
+def test_toxicity_held_out_accuracy_folding_and_exceptions(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    lexicon = toxicity.learn(docs, labels, exceptions=("clown fish",))
+    got = toxicity.scored(docs, lexicon).where("held_out").join(labels, "doc_id")
+    right = got.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0]
+    assert right > 0.97
+    plain = [(1, "you idiot clown"), (2, "you 1d10t cl0wn"), (3, "you іdiot clоwn"), (4, "YOU ÍDÏOT CLOWN"), (5, "the clown fish swims by the clown fish"), (6, ""), (7, None), (8, "fine " * 50), (9, "idiot clown " + "and " * 20000)]
+    seen = {r.doc_id: r for r in toxicity.scored(docs_of(spark, plain), lexicon).collect()}
+    assert [seen[i].predicted for i in range(1, 10)] == [1, 1, 1, 1, 0, 0, 0, 0, seen[9].predicted]
+    assert seen[1].score == seen[2].score == seen[3].score == seen[4].score and seen[6].score == seen[7].score
+    none = toxicity.learn(docs, labels.limit(0))
+    assert {r.score for r in toxicity.scored(docs_of(spark, plain), none).collect()} == {0.0}
+
+
+# ---------------------------------------------------------------- pseudonyms
+
+
+def test_permutations_are_bijective_and_keyed():
+    for size in (1, 2, 7, 10, 1000, 73049):
+        p = pseudonyms.Permutation(b"k", "t", size)
+        assert sorted(map(p, range(size))) == list(range(size)) and all(p.inverse(p(m)) == m for m in range(0, size, 7))
+    assert [pseudonyms.Permutation(b"a", "t", 10**9)(i) for i in range(5)] != [pseudonyms.Permutation(b"b", "t", 10**9)(i) for i in range(5)]
+
+
+def test_pseudonyms_keep_format_and_link(spark):
+    of = pseudonyms.Pseudonyms(b"secret")
+    text = "card 4111 1111 1111 1111 and 4111111111111111, not 4111111111111112; ip 10.2.3.4 not 10.2.3.400; mail Ann.Lee+x@mail7.example.com; call +1 (017) 555-7713 or (212) 555-0100; on 2024-02-29, not 2023-02-29, or 29.02.2024; DE89 3704 0044 0532 0130 00; ssn 123-45-6789; token = \"b44e15e09fd311c3cf3163b66d5a9875b883d8ce\""
+    new, finds = of.apply(text)
+    kinds = [k for *_, k, _ in finds]
+    assert kinds == ["card", "card", "ipv4", "email", "phone", "phone", "date", "date", "iban", "ssn", "secret"]
+    assert "4111111111111112" in new and "10.2.3.400" in new and "2023-02-29" in new
+    for start, end, kind, value in finds:
+        assert value != text[start:end] and value in new
+        if kind == "card":
+            d = re.sub(r"\D", "", value)
+            assert pseudonyms.luhn_digit(d[:-1]) == d[-1]
+        if kind == "iban":
+            assert pseudonyms.iban_rest(value.replace(" ", "")) == 1
+        if kind in ("card", "phone", "ssn", "secret", "email", "iban"):
+            assert re.sub(r"[0-9A-Za-z]", "0", value) == re.sub(r"[0-9A-Za-z]", "0", text[start:end])
+    assert finds[0][3].replace(" ", "") == finds[1][3]  # equal values stay linked
+    datetime.date.fromisoformat(finds[6][3])
+    assert datetime.datetime.strptime(finds[7][3], "%d.%m.%Y").date().isoformat() == finds[6][3]
+    rows = {r.doc_id: r for r in pseudonyms.pseudonymised(docs_of(spark, [(1, text), (2, None), (3, ""), (None, text), (5, "x" * 200_000 + " 10.2.3.4")]), "secret").collect()}
+    assert rows[1].text == new and rows[1].n_found == 11 and rows[2].text is None and rows[3].text == "" and rows[None].text == new and rows[5].n_found == 1
+
+
+# ---------------------------------------------------------------- packing
+
+
+def check_packing(rows, texts, capacity):
+    ids = {}
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for i, t in texts:
+        ids[i] = np.array([*whole.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+    bins = {}
+    for r in rows:
+        own = ids[r.doc_id]
+        assert r.ids_crc32 == zlib.crc32(own[r.start : r.start + r.length].tobytes())
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    for i, own in ids.items():
+        mine = sorted((r.piece, r.start, r.length) for r in rows if r.doc_id == i)
+        assert [p for p, *_ in mine] == list(range(len(mine))) and sum(n for *_, n in mine) == len(own)
+        assert all(n == capacity for *_, n in mine[1:]) and (len(mine) > 1) == (len(own) > capacity)
+        at = 0
+        for _, start, n in mine:
+            assert start == at
+            at += n
+    return len(bins), sum(map(len, ids.values()))
+
+
+def test_packing_is_exact_and_tight(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = packing.pack(docs).collect()
+    bins, total = check_packing(rows, [(r.doc_id, r.text) for r in docs.collect()], 1024)
+    assert bins <= 1.02 * -(-total // 1024) + 1
+
+
+def test_packing_edges(spark):
+    texts = [(1, None), (2, ""), (3, "a" * 5000), (4, "<|endoftext|> ünï 漢字   x"), (5, "word " * 3000), (6, "\x85 x\x1c\x1dy")]
+    rows = packing.pack(docs_of(spark, texts)).collect()
+    check_packing(rows, texts, 1024)
+    assert [r.length for r in rows if r.doc_id == 1] == [1]
+    twice = packing.pack(docs_of(spark, [(7, "same text"), (7, "same text"), (None, "x")])).collect()
+    assert len(twice) == 3 and len({(r.sequence_id, r.offset) for r in twice}) == 3
+    assert packing.pack(docs_of(spark, [])).count() == 0
+
+
+def test_evolution_beats_or_equals_best_fit_decreasing():
+    dice = random.Random(4)
+    lengths = [dice.randint(150, 700) for _ in range(300)]
+    first = packing.Bins(1024)
+    for n in sorted(range(300), key=lambda p: -lengths[p]):
+        first.best_fit(n, lengths[n])
+    best = packing.evolve(lengths, 1024, 1)
+    assert len(best.bins) <= len(first.bins) and sorted(p for b in best.bins for p in b) == list(range(300))
+    assert all(sum(lengths[p] for p in b) == f <= 1024 for b, f in zip(best.bins, best.fill, strict=True))
+
+
+# ---------------------------------------------------------------- WARC
+
+
+def test_warc_round_trip(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LINES", 3)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
+    big = "<p>" + "é\r\n\r\n" * 60
+    pages = [(5, "http://b.example.com/x?q=1#f", big), (2, "https://a.example.com:8443/", big), (9, None, big), (7, "http://A.Example.com", None), (8, "bad url\n", "short"), (10, "http://a.example.com/", "short"), (2, "https://a.example.com:8443/", big), (None, "http://c/", big), (11, "http://[", "x" * 300)]
+    df = spark.createDataFrame([(i, u, h, 1) for i, u, h in pages], "page_id long, url string, html string, key int")
+    archives = warc.write(df)
+    got = sorted((r.page_id if r.page_id is not None else -1, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.lookup(archives, df).collect())
+    sha = lambda h: hashlib.sha256((h or "").encode()).hexdigest()
+    want = []
+    for i, _, h in pages:
+        again = len((h or "").encode()) >= 100 and h == big and i != 2
+        want.append((i if i is not None else -1, len((h or "").encode()), sha(h), "revisit" if again else "response", 2 if again else None))
+    assert got == sorted(want)
+    one = warc.lookup(archives, df.where("page_id = 5")).collect()
+    assert len(one) == 1 and one[0].url == pages[0][1] and one[0].payload == b""
+    assert warc.lookup(archives, spark.createDataFrame([(5, "http://nowhere/")], "page_id long, url string")).count() == 0
+    first = warc.lookup(archives, df.where("page_id = 2")).collect()
+    assert {bytes(r.payload) for r in first} == {big.encode()}
+    assert warc.lookup(warc.write(df.limit(0)), df.limit(0)).count() == 0
+
+
+def test_surt_keys_sort_by_reversed_host():
+    assert warc.surt("http://www.Example.com:80/a?b#c") == "com,example,www)/a?b"
+    assert warc.surt("https://example.com:8443") == "com,example:8443)/" and warc.surt(None) == ")/"
+
+
+# ---------------------------------------------------------------- licences, chat
+
+
+def test_licence_scan_and_inheritance(spark):
+    mit, gpl = "Released under the MIT License.", "This work is LICENSED!! under the GNU General Public License, version 3."
+    rows = [
+        (1, "a/LICENSE", mit, True), (2, "a/b/c/x.txt", "plain words only", False), (3, "a/b/y.txt", f"code\n# {gpl}\nmore", False), (4, "d/z.txt", None, False), (5, None, "plain", False),
+        (6, "a/b/LICENSE", "nothing known", True), (7, "top.txt", "the License of the version", False), (8, "d/w.txt", "", False), (2, "a/b/c/x.txt", "plain words only", False), (9, "e/f/q.txt", "q", False),
+        (10, "e/COPYING", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated\ndocumentation files (the \"Software\"), to deal in the Software without restriction", True),
+    ]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, path string, text string, named boolean, licence string")
+    got = {r.doc_id: (r.licence, r.how, r.from_dir) for r in licences.scan(df, F.col("named")).collect()}
+    assert got[1] == ("MIT", "own", None) and got[2] == ("MIT", "inherited", "a") and got[3] == ("GPL-3.0", "own", None)
+    assert got[4] == (None, "none", None) == got[5] == got[7] == got[8] and got[6] == ("MIT", "inherited", "a")
+    assert got[9] == ("MIT", "inherited", "e") and got[10][:2] == ("MIT", "own")
+    assert licences.scan(df.limit(0), F.col("named")).count() == 0 and licences.scan(df, F.col("named")).count() == len(rows)
+
+
+def test_licence_scores_are_the_cosine(spark):
+    df = spark.createDataFrame([(1, "a", "licensed under the mit license of old"), (2, "b", "Licensed under CC BY-NC 4.0.")], "doc_id long, path string, text string")
+    got = {r.doc_id: r.score for r in licences.scan(df, F.lit(False), threshold=0.3).collect()}
+    assert got[2] == pytest.approx(1.0) and 0.3 <= got[1] < 1
+
+
+def test_chat_perspectives(spark, monkeypatch):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", "hello"), (1, 3, "ann", None), (2, 0, "system", "alone"), (None, 1, "eve", "x"), (None, 2, None, "y"), (3, None, "u", "late"), (3, 1, "u", "z"), (3, 1, "u", "z")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, chunk int")
+    got = {(r.conv_id, r.perspective): r for r in chat.perspectives(df).collect()}
+    assert set(got) == {(1, "ann"), (1, "bob"), (None, "eve"), (None, "unknown"), (3, "u")}
+    bob = got[1, "bob"]
+    assert bob.text == "<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>user name=ann\nhi < |im_end|><|im_end|>\n<|im_start|>assistant\nhello<|im_end|>\n<|im_start|>user name=ann\n<|im_end|>\n"
+    assert [bob.text[m.start : m.end] for m in bob.mask] == ["hello<|im_end|>"] and got[3, "u"].n_turns == 3
+    assert [got[1, "ann"].text[m.start : m.end] for m in got[1, "ann"].mask] == ["hi < |im_end|><|im_end|>", "<|im_end|>"]
+    monkeypatch.setattr(chat, "CHUNK", 2)
+    parts = [r.text for r in chat.perspectives(df).where("conv_id = 1 and perspective = 'bob'").orderBy("chunk").collect()]
+    assert len(parts) == 2 and "".join(parts) == bob.text
+    assert chat.perspectives(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- pipeline
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, docs, SF)
+    assert kept.columns == columns
+    bad = {r.doc_id for r in toxicity.scored(docs, toxicity.learn(docs, labels)).where("predicted = 1").collect()}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - bad
+    one = corpus_pipeline.drop_near_duplicates(spark, kept, SF)
+    want = {c for _, n, c in brute_components([(r.doc_id, r.text) for r in kept.collect()], 5, 80)}
+    assert one.columns == columns and {r.doc_id for r in one.collect()} == want
+    clean = corpus_pipeline.drop_contaminated(spark, one, SF)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    counts = {r.doc_id: brute_contamination(r.text, items) for r in one.collect()}
+    assert {r.doc_id for r in clean.collect()} == {i for i, (n, h, _) in counts.items() if not (h and 20 * h >= n)}
+    masked = corpus_pipeline.replace_personal_data(spark, clean, SF)
+    of = pseudonyms.Pseudonyms(entries.DEMO_KEY.encode())
+    assert masked.columns == columns and {r.doc_id: r.text for r in masked.collect()} == {r.doc_id: of.apply(r.text)[0] for r in clean.collect()}
+    packed = corpus_pipeline.pack_sequences(spark, masked, SF).collect()
+    check_packing(packed, [(r.doc_id, r.text) for r in masked.collect()], 1024)
+    whole = corpus_pipeline.run(spark, SF).collect()
+    key = lambda r: (r.doc_id, r.piece, r.length, r.ids_crc32)
+    assert sorted(map(key, whole)) == sorted(map(key, packed))

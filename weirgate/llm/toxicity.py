@@ -123,6 +123,8 @@ class Lexicon:
         return sum(w for *_, w in spans) / max(1, folded.count(" ") - 1) ** LENGTH_POWER
 
     def score(self, weight: float) -> float:
+        if not self.terms:
+            return 0.0
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, self.offset + self.slope * weight))))
 
 
