@@ -245,7 +245,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     smallest = base.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("own"))
     smallest = smallest.join(final.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    groups = smallest.groupBy("root").agg(F.min("own").alias("component_id"))
+    smallest = shared.durable(smallest, "smallest")
+    # written first, so that the join below has an exchange of its own that splits a large component
+    groups = shared.durable(smallest.groupBy("root").agg(F.min("own").alias("component_id")), "groups")
     named = smallest.select("sid", "root").join(groups, "root").select("sid", "component_id")
     out = base.select("doc_id", "n_shingles", "sid").join(named, "sid", "left")
     alone = F.when(c("sid").isNull(), c("doc_id")).otherwise(c("component_id"))
