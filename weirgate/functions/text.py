@@ -47,7 +47,8 @@ def glob_pattern(glob: str) -> str:
             out.append(".")
         elif close > 0:
             body = glob[i + 1 : close].replace("\\", "\\\\").replace("[", "\\[").replace("&&", "&\\&")
-            out.append(f"[{'^' + body[1:] if body[0] == '!' else body}]")
+            negated, body = ("^", body[1:]) if body[0] == "!" else ("", body)
+            out.append(f"[{negated}{body.replace('^', chr(92) + '^')}]")
             i = close
         else:
             out.append(re.escape(c))
