@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 
 from ..contract import ContractError, RawContract, ReadSpec
 from ..functions import text as X
+from ..session import share_code
 
 BOM = "﻿"
 _CODECS = (".gz", ".gzip", ".bz2", ".lz4", ".snappy", ".deflate", ".zst", ".zstd", ".xz")
@@ -185,6 +186,7 @@ def _row_numbers(body: DataFrame) -> DataFrame:
 
 
 def _multiline(spark: SparkSession, uris: list[str], spec: ReadSpec, places) -> DataFrame:
+    share_code(spark)
     skip = spec.skip_leading_lines
 
     def parse(content: bytes):
