@@ -126,6 +126,7 @@ def _top(rows: DataFrame, by: str, k: int) -> DataFrame:
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """(query_id, rank, vec_id, score) for each row of ``queries`` (same columns as
     ``vectors``): its k nearest rows, the query's own id left out."""
+    shared.share_code(vectors.sparkSession)
     v = F.col(vector_col)
 
     def usable(df: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import share_code
+
 #: Rows per Arrow batch for text columns; bounds what a Python worker holds.
 TEXT_ROWS_PER_BATCH = 1000
 
@@ -38,7 +40,8 @@ def durable(df: DataFrame, tag: str) -> DataFrame:
 
 
 def text_session(spark: SparkSession) -> None:
-    """Keeps Arrow batches of texts small enough for a worker's memory."""
+    """Keeps Arrow batches of texts small enough for a worker's memory, and the package importable there."""
+    share_code(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > TEXT_ROWS_PER_BATCH:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS_PER_BATCH))
 
