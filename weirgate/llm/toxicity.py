@@ -43,6 +43,8 @@ LEXICON, EXCEPTIONS = 2000, 500
 STEM = range(4, 9)
 LENGTH_POWER = 0.25
 CUT = 0.3
+#: Copies in the training rows, by the least hash of their runs of so many words, count once.
+SHINGLE = 5
 
 #: Letters of other scripts by the Latin letter that they look like.
 LOOKALIKES = {
@@ -134,7 +136,16 @@ def _training(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     n = known.count()
     parts = 1 << 20
     known = known.where(F.pmod(F.xxhash64(id_col), F.lit(parts)) < -(-parts * rows // max(n, rows))).limit(2 * rows)
-    return docs.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(known), id_col).select(F.col(text_col).alias("text"), "label")
+    texts = docs.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(known), id_col).select(F.col(text_col).alias("text"), "label")
+
+    def kind(batches):
+        split = shared.spaced_words()
+        for batch in batches:
+            least = [int(shared.shingle_hashes(w, SHINGLE).min().view(np.int64)) if len(w) else 0 for w in split.column(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())], names=["text", "label", "kind"])
+
+    # copies of one text would make its rare words look telling
+    return texts.mapInArrow(kind, "text string, label int, kind long").dropDuplicates(["kind", "label"]).select("text", "label")
 
 
 def _features(text: str) -> set[str]:
