@@ -154,6 +154,8 @@ def test_search_recall_and_small_tables(spark):
         want = set(ids[np.lexsort((ids, d))][:11].tolist()) - {q}
         found, total = found + len(got[q] & set(list(want)[:10])), total + 10
     assert found / total >= 0.9
+    joined = nearest.search(df, df.where("vec_id % 400 = 0"), tables=32, probes=48, hashes=2).collect()
+    assert len({(r.query_id, r.rank) for r in joined}) == 50 and all(r.vec_id in got[r.query_id] for r in joined if r.rank == 1)
     few = df.where("vec_id < 4 or vec_id = 100")
     assert nearest.search(few, few.where("vec_id = 0")).count() == 4  # all candidates, if fewer
     assert nearest.search(df.limit(0), df.limit(0)).count() == 0

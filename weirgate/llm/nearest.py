@@ -67,10 +67,28 @@ def axes(turned: np.ndarray, probes: int) -> np.ndarray:
     return np.take_along_axis(best, np.argsort(-np.take_along_axis(both, best, 1), 1, kind="stable"), 1)
 
 
-def _hashed(rows: DataFrame, tables: int, probes: int, parts: int, asking: bool) -> DataFrame:
+def probed(unit: np.ndarray, table: int, probes: int, hashes: int) -> np.ndarray:
+    """The ``probes`` best buckets of each row in a table: with one hash a signed
+    axis, with more the combinations of axes that lie nearest in sum."""
+    first = rotated(unit, table * hashes)
+    if hashes == 1:
+        return axes(first, probes).astype(np.int64)
+    width, out, score = 2 * first.shape[1], np.zeros((len(unit), 1), np.int64), np.zeros((len(unit), 1))
+    for i in range(hashes):
+        turned = first if i == 0 else rotated(unit, table * hashes + i)
+        own = axes(turned, probes)
+        near = np.take_along_axis(np.concatenate([turned, -turned], 1), own, 1)
+        out = (out[:, :, None] * width + own[:, None, :]).reshape(len(unit), -1)
+        score = (score[:, :, None] + near[:, None, :]).reshape(len(unit), -1)
+        best = np.argsort(-score, 1, kind="stable")[:, :probes]
+        out, score = np.take_along_axis(out, best, 1), np.take_along_axis(score, best, 1)
+    return out
+
+
+def _hashed(rows: DataFrame, tables: int, probes: int, parts: int, asking: bool, hashes: int = 1) -> DataFrame:
     """(bucket, part, key, v): entries of the index, or of the queries in every part."""
 
-    def hashes(batches):
+    def enter(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             raw = batch.column(1).to_pylist()
@@ -81,16 +99,16 @@ def _hashed(rows: DataFrame, tables: int, probes: int, parts: int, asking: bool)
                 unit = x / scale
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
                 for t in range(tables):
-                    found = axes(rotated(unit, t), probes)
+                    found = probed(unit, t, probes, hashes)
                     rows_ = np.repeat(at, found.shape[1])
-                    bucket = ((np.int64(size) << 24) | (t << 16)) + found.reshape(-1)
+                    bucket = ((np.int64(size) << 40) | (t << 32)) + found.reshape(-1)
                     part = keys[rows_] % parts if not asking else np.zeros(len(rows_), np.int64)
                     if asking:
                         rows_, bucket, part = np.tile(rows_, parts), np.tile(bucket, parts), np.repeat(np.arange(parts), len(rows_))
                     take = pa.array(rows_)
                     yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(part.astype(np.int32)), batch.column(0).take(take), batch.column(1).take(take)], names=["bucket", "part", "key", "v"])
 
-    return rows.mapInArrow(hashes, "bucket long, part int, key long, v binary")
+    return rows.mapInArrow(enter, "bucket long, part int, key long, v binary")
 
 
 def _meeting(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
@@ -123,9 +141,12 @@ def _top(rows: DataFrame, by: str, k: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy("score", "vec_id"))).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES, hashes: int = 1) -> DataFrame:
     """(query_id, rank, vec_id, score) for each row of ``queries`` (same columns as
-    ``vectors``): its k nearest rows, the query's own id left out."""
+    ``vectors``): its k nearest rows, the query's own id left out.
+
+    ``hashes`` joined in one bucket key make buckets smaller: 2 or 3 suit tables of
+    many millions of vectors with near neighbours."""
     shared.share_code(vectors.sparkSession)
     v = F.col(vector_col)
 
@@ -149,8 +170,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     asked = shared.durable(asked_rows.groupBy("v").agg(F.min("id").alias("id")).select("id", "v").withColumn("q", F.xxhash64("v")), "queries")
     n = held.count()
     parts = max(1, -(-n // (PART * 64)))
-    index = _hashed(held.select("id", "v"), tables, 1, parts, False)
-    looked = _hashed(asked.select("q", "v"), tables, probes, parts, True)
+    index = _hashed(held.select("id", "v"), tables, 1, parts, False, hashes)
+    looked = _hashed(asked.select("q", "v"), tables, probes, parts, True, hashes)
     found = shared.durable(_top(_meeting(index, looked, k).distinct(), "q", k + 1).select("q", "vec_id", "score"), "found")
     short = asked.join(found.groupBy("q").count().where(F.col("count") > min(k, n - 1)).select("q"), "q", "left_anti")
     if not short.isEmpty():
