@@ -187,7 +187,7 @@ def test_manifests_listings_and_tails(spark, tmp_path):
 def test_detail_is_cut_at_32(spark):
     c = C.RawContract(tuple(C.DeclaredColumn(f"c{i}", "int") for i in range(40)))
     df = spark.createDataFrame([("x",) * 40], ", ".join(f"c{i} string" for i in range(40))).withColumns({"malformed_text": F.lit(None).cast("string"), "extras": F.create_map(F.lit("a"), F.lit("b"))})
-    r = checks.violations(checks.evaluate(df, checks.compile_contract(c))).first()
+    r = checks.violations(df, checks.compile_contract(c)).first()
     assert r.reason_detail.count('"code"') == 32 and r.reason_detail.endswith('{"truncated":40}]')
 
 

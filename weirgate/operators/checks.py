@@ -1,13 +1,15 @@
-"""Admission checks: a contract compiled to ordered predicates, evaluated in one projection.
+"""Admission checks: a contract compiled to ordered predicates, evaluated in one pass.
 
 Order is by kind of check, then by column.  Null cells belong to the not-nullable
-check alone.  Nothing here runs a job: compiled checks are columns, evaluation
-adds one array, and the admitted and the refused rows are two views of it.
+check alone.  Nothing here runs a job.  Every expression is one that the engine
+compiles (no lambdas): rows are split by a disjunction that stops at the first
+failure, and only refused rows build their reasons, from texts known beforehand.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ FAILURES = f"{INTERNAL_PREFIX}failures"
 #: Failures kept per row in reason_detail, before a marker with their number.
 KEPT = 32
 REPLACEMENT = "�"
+BREAK = "\x01"
 
 
 @dataclasses.dataclass(frozen=True)
@@ -37,11 +40,10 @@ class CompiledContract:
 
 
 def _encoding(contract: RawContract) -> Column:
+    # keys and values are joined, not walked by a lambda, so that the check is compiled
     odd = F.coalesce(F.col("malformed_text").contains(REPLACEMENT), F.lit(False))
-    for c in contract.names:
-        odd = odd | F.coalesce(F.col(c).contains(REPLACEMENT), F.lit(False))
-    for side in (F.map_keys("extras"), F.map_values("extras")):
-        odd = odd | F.coalesce(F.exists(side, lambda x: F.coalesce(x.contains(REPLACEMENT), F.lit(False))), F.lit(False))
+    for c in (*map(F.col, contract.names), F.array_join(F.map_keys("extras"), " "), F.array_join(F.map_values("extras"), " ")):
+        odd = odd | F.coalesce(c.contains(REPLACEMENT), F.lit(False))
     return odd
 
 
@@ -77,17 +79,29 @@ def compile_contract(contract: RawContract) -> CompiledContract:
     return CompiledContract(contract, tuple(checks), values)
 
 
-def evaluate(raw: DataFrame, compiled: CompiledContract) -> DataFrame:
-    """``raw`` with the ordered array of each row's failures.
+def failed(compiled: CompiledContract) -> Column:
+    """Whether any check fails, in order and only as far as needed."""
+    out = F.lit(False)
+    for check in compiled.checks:
+        out = out | check.fails
+    return out
+
+
+def _fragment(check: Check) -> str:
+    """One failure as JSON; its text is known when the contract is compiled."""
+    told = {"code": check.code, "column": check.column, "expected": check.expected}
+    return json.dumps({k: v for k, v in told.items() if v is not None}, ensure_ascii=False, separators=(",", ":"))
 
-    A malformed row has no cells, so beside its own failure only the checks for
-    suspect encoding and for nulls can speak about it."""
 
-    def entry(check: Check) -> Column:
-        told = F.struct(F.lit(check.code).alias("code"), F.lit(check.column).cast("string").alias("column"), F.lit(check.expected).alias("expected"))
-        return F.when(check.fails, told)
+def failures(compiled: CompiledContract) -> Column:
+    """The ordered failures of a row as JSON objects, joined by ``BREAK``; empty if none."""
+    return F.concat_ws(BREAK, *(F.when(c.fails, F.lit(_fragment(c))) for c in compiled.checks))
 
-    return raw.withColumn(FAILURES, F.array_compact(F.array(*map(entry, compiled.checks))))
+
+def counts(raw: DataFrame, compiled: CompiledContract) -> DataFrame:
+    """One row: candidate, admitted and refused rows."""
+    bad = failed(compiled)
+    return raw.agg(F.count(F.lit(1)).alias("candidate"), F.count_if(~bad).alias("admitted"), F.count_if(bad).alias("refused"))
 
 
 def typed_projection(rows: DataFrame, compiled: CompiledContract, also: tuple[str, ...] = ()) -> DataFrame:
@@ -95,21 +109,26 @@ def typed_projection(rows: DataFrame, compiled: CompiledContract, also: tuple[st
     return rows.select(*also, *(compiled.typed[c].alias(c) for c in compiled.contract.names))
 
 
-def admitted(evaluated: DataFrame, compiled: CompiledContract, also: tuple[str, ...] = ()) -> DataFrame:
-    return typed_projection(evaluated.where(F.size(FAILURES) == 0), compiled, also)
-
+def admitted(raw: DataFrame, compiled: CompiledContract, also: tuple[str, ...] = ()) -> DataFrame:
+    """The rows without a failure, typed."""
+    return typed_projection(raw.where(~failed(compiled)), compiled, also)
 
-def reason_detail(failures: Column) -> Column:
-    none = F.lit(None).cast("string")
-    shown = F.transform(F.slice(failures, 1, KEPT), lambda x: F.struct(x["code"].alias("code"), x["column"].alias("column"), x["expected"].alias("expected"), F.lit(None).cast("int").alias("truncated")))
-    marker = F.array(F.struct(none.alias("code"), none.alias("column"), none.alias("expected"), F.size(failures).alias("truncated")))
-    return F.to_json(F.when(F.size(failures) > KEPT, F.concat(shown, marker)).otherwise(shown))
 
+def violations(raw: DataFrame, compiled: CompiledContract) -> DataFrame:
+    """Rows with a failure: first code as reason_code, all of them, in order, as
+    the JSON array reason_detail, which ends after ``KEPT`` with their number.
 
-def violations(evaluated: DataFrame) -> DataFrame:
-    """Rows with a failure: first code as reason_code, all of them as reason_detail."""
-    failed = evaluated.where(F.size(FAILURES) > 0)
-    return failed.withColumns({"reason_code": F.element_at(FAILURES, 1)["code"], "reason_detail": reason_detail(F.col(FAILURES))}).drop(FAILURES)
+    A malformed row has no cells, so beside its own failure only the checks for
+    suspect encoding and for nulls can speak about it."""
+    bad = raw.where(failed(compiled))
+    told = bad.withColumn(FAILURES, failures(compiled))
+    code = F.substring_index(F.substring(FAILURES, len('{"code":"') + 1, 1 << 20), '"', 1)  # codes hold no quote
+    every = F.replace(F.col(FAILURES), F.lit(BREAK), F.lit(","))
+    if len(compiled.checks) > KEPT:
+        each = F.split(FAILURES, BREAK)
+        cut = F.concat(F.array_join(F.slice(each, 1, KEPT), ","), F.lit(',{"truncated":'), F.size(each).cast("string"), F.lit("}"))
+        every = F.when(F.size(each) > KEPT, cut).otherwise(every)
+    return told.withColumns({"reason_code": code, "reason_detail": F.concat(F.lit("["), every, F.lit("]"))}).drop(FAILURES)
 
 
 def any_cast_failure(compiled: CompiledContract) -> Column:

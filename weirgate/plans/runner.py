@@ -126,8 +126,7 @@ def land(spark: SparkSession, b: Batch, s: Stores) -> Batch:
 def pre_check(spark: SparkSession, b: Batch, s: Stores) -> Batch:
     spec, batch = b.pipeline.spec, b.lineage.batch_id
     compiled = checks.compile_contract(spec.raw)
-    seen = checks.evaluate(b.raw, compiled)
-    refused = checks.violations(seen)
+    refused = checks.violations(b.raw, compiled)
     if s.quarantine.has_batch(batch, check_stage="pre_check"):
         durable = s.quarantine.batch(batch, check_stage="pre_check")
         left = subtract.locator_subtract(b.raw, durable)
@@ -138,13 +137,13 @@ def pre_check(spark: SparkSession, b: Batch, s: Stores) -> Batch:
         n = refused.count()
         text = f"drift: durable=0 recomputed={n} only_durable=0 only_recomputed={n} admitted_cast_failures={left.where(checks.any_cast_failure(compiled)).count()}" if n else None
         return b.plus(valid=checks.typed_projection(left, compiled), pre_quarantined=0, pre_drift=text)
-    sizes = seen.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.size(checks.FAILURES) > 0).alias("bad")).first()
-    checks.Counts(b.raw_count, sizes["all"] - sizes.bad, sizes.bad).demand("pre_check")
+    sizes = checks.counts(b.raw, compiled).first()
+    checks.Counts(b.raw_count, sizes.admitted, sizes.refused).demand("pre_check")
     version = None
-    if sizes.bad:
+    if sizes.refused:
         shaped = quarantine.pre_check(refused, b.lineage, check_version(spec), utc_now())
         version, _ = s.quarantine.append(shaped, batch_id=batch, check_stage="pre_check")
-    return b.plus(valid=checks.admitted(seen, compiled), pre_quarantined=sizes.bad, pre_version=version)
+    return b.plus(valid=checks.admitted(b.raw, compiled), pre_quarantined=sizes.refused, pre_version=version)
 
 
 def pull(spark: SparkSession, b: Batch, s: Stores) -> Batch:

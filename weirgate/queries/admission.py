@@ -79,28 +79,25 @@ def raw_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _seen(spark, sf_dir):
-    compiled = checks.compile_contract(CONTRACT)
-    return checks.evaluate(raw_lineitem(spark, sf_dir), compiled), compiled
+def _raw(spark, sf_dir):
+    return raw_lineitem(spark, sf_dir), checks.compile_contract(CONTRACT)
 
 
 def admission_valid(spark, sf_dir):
-    seen, compiled = _seen(spark, sf_dir)
-    rows = checks.admitted(seen, compiled, ("row_index",))
+    rows = checks.admitted(*_raw(spark, sf_dir), ("row_index",))
     return rows.withColumns({"price": F.col("price").cast("string"), "shipdate": F.col("shipdate").cast("string")})
 
 
 def admission_violations(spark, sf_dir):
-    return checks.violations(_seen(spark, sf_dir)[0]).groupBy("reason_code").agg(F.count(F.lit(1)).alias("n"), F.min("row_index").alias("first_row"))
+    return checks.violations(*_raw(spark, sf_dir)).groupBy("reason_code").agg(F.count(F.lit(1)).alias("n"), F.min("row_index").alias("first_row"))
 
 
 def admission_reason_detail(spark, sf_dir):
-    return checks.violations(_seen(spark, sf_dir)[0]).select("row_index", "reason_code", "reason_detail")
+    return checks.violations(*_raw(spark, sf_dir)).select("row_index", "reason_code", "reason_detail")
 
 
 def admission_counts(spark, sf_dir):
-    bad = F.size(checks.FAILURES) > 0
-    return _seen(spark, sf_dir)[0].agg(F.count(F.lit(1)).alias("candidate"), F.count_if(~bad).alias("admitted"), F.count_if(bad).alias("refused"))
+    return checks.counts(*_raw(spark, sf_dir))
 
 
 def structural_check(spark, sf_dir):
@@ -108,7 +105,7 @@ def structural_check(spark, sf_dir):
 
 
 def encoding_suspect(spark, sf_dir):
-    return checks.violations(_seen(spark, sf_dir)[0]).where("reason_code = 'unreadable/encoding-suspect'").select("row_index", "reason_detail")
+    return checks.violations(*_raw(spark, sf_dir)).where("reason_code = 'unreadable/encoding-suspect'").select("row_index", "reason_detail")
 
 
 def pattern_fullmatch(spark, sf_dir):
@@ -119,13 +116,13 @@ def pattern_fullmatch(spark, sf_dir):
 def allowed_values(spark, sf_dir):
     c = RawContract((DeclaredColumn("status", allowed_values=("F", "O")), DeclaredColumn("priority", allowed_values=("1-URGENT", "2-HIGH"))))
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.lit(None).cast("string").alias("malformed_text"), F.create_map(F.lit("k"), F.lit("v")).alias("extras"))
-    return checks.violations(checks.evaluate(rows, checks.compile_contract(c))).select("o_orderkey", "reason_code", "reason_detail")
+    return checks.violations(rows, checks.compile_contract(c)).select("o_orderkey", "reason_code", "reason_detail")
 
 
 def bounds(spark, sf_dir):
     c = RawContract((DeclaredColumn("size", "int", min="5", max="40"), DeclaredColumn("price", "decimal(10,2)", min="1000.00")))
     rows = table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("string").alias("size"), F.col("p_retailprice").cast("decimal(10,2)").cast("string").alias("price"), F.lit(None).cast("string").alias("malformed_text"), F.create_map(F.lit("k"), F.lit("v")).alias("extras"))
-    return checks.violations(checks.evaluate(rows, checks.compile_contract(c))).select("p_partkey", "reason_detail")
+    return checks.violations(rows, checks.compile_contract(c)).select("p_partkey", "reason_detail")
 
 
 def _cast(name, kind, text):
@@ -183,7 +180,7 @@ def locator_subtract(spark, sf_dir):
 
 def drift_probe(spark, sf_dir):
     raw, compiled = raw_lineitem(spark, sf_dir), checks.compile_contract(CONTRACT)
-    refused = checks.violations(checks.evaluate(raw, compiled))
+    refused = checks.violations(raw, compiled)
     durable = raw.where("row_index % 3 = 0")
     left = subtract.locator_subtract(raw, durable).where(checks.any_cast_failure(compiled))
     return subtract.drift(durable, refused, left)
@@ -194,7 +191,7 @@ def touched_state_slice(spark, sf_dir):
 
 
 def quarantine_pre(spark, sf_dir):
-    refused = checks.violations(_seen(spark, sf_dir)[0])
+    refused = checks.violations(*_raw(spark, sf_dir))
     return quarantine.pre_check(refused, LINEAGE, "cv", NOW).select("row_index", "check_stage", "reason_code", "domain_id", "row_hash", "row_snapshot")
 
 

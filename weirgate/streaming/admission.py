@@ -18,11 +18,11 @@ def admission_stream(raw: DataFrame, contract: RawContract, admitted: Callable[[
     compiled = checks.compile_contract(contract)
 
     def split(rows: DataFrame, batch: int) -> None:
-        seen = checks.evaluate(rows, compiled).persist()  # both sinks read it
+        rows = rows.persist()  # both sinks read it
         try:
-            admitted(checks.admitted(seen, compiled), batch)
-            refused(checks.violations(seen), batch)
+            admitted(checks.admitted(rows, compiled), batch)
+            refused(checks.violations(rows, compiled), batch)
         finally:
-            seen.unpersist()
+            rows.unpersist()
 
     return raw.writeStream.foreachBatch(split)
