@@ -58,12 +58,6 @@ SIGNATURE = 1024
 FILTER_BITS = 1 << 23
 
 
-def required_overlap(threshold: float, n: int, m: int) -> int:
-    """Least intersection of sets of n and m elements with Jaccard >= threshold."""
-    p = round(threshold * 1000)
-    return -(-p * (n + m) // (1000 + p))
-
-
 def _sets(col: pa.Array, k: int) -> Iterator[np.ndarray]:
     for words in shared.spaced_words().column(col):
         yield np.empty(0, np.uint64) if words is None else np.unique(shared.shingle_hashes(words, k))
@@ -152,7 +146,7 @@ def required_size(threshold: float, n: int) -> int:
 
 
 def _need(p: int, n, m):
-    """`required_overlap` as a column expression."""
+    """Least intersection of sets of n and m elements that reach p thousandths."""
     return F.ceil((F.lit(p) * (n + m)) / F.lit(1000 + p))
 
 
@@ -217,7 +211,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     p = round(threshold * 1000)
     base = shared.durable(prefixes(docs, id_col, text_col, k, threshold, shingle_counts(docs, text_col, k)), "prefixes")
 
-    each = base.where("sid is not null").groupBy("sid").agg(F.any_value("n_shingles").cast("int").alias("n"), F.any_value("prefix").alias("prefix"), F.any_value("signature").alias("signature"))
+    each = base.where("sid is not null").groupBy("sid").agg(F.any_value("n_shingles").alias("n"), F.any_value("prefix").alias("prefix"), F.any_value("signature").alias("signature"))
     each = shared.durable(each, "each")
     signs, entries = each.select("sid", "n", "signature"), each.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     own = F.struct(F.col("pos").alias("pp"), F.xxhash64("sid").alias("h"), F.col("sid").alias("pivot"), F.col("n").alias("pn"))

@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 
 from . import shared
 
-TABLES, PROBES, ROTATIONS = 16, 8, 3
+TABLES, PROBES, ROTATIONS = 20, 8, 3
 #: Rows of a bucket's part.
 PART = 20_000
 
