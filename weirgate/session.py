@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -17,3 +19,17 @@ def share_code(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; where unset (tests), a temporary one is set."""
+    at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = "file://" + tempfile.mkdtemp(prefix="weirgate-")
+        spark.sparkContext.setCheckpointDir(at)
+    return at.rstrip("/")
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """The name of a new folder below the shared one."""
+    return f"{shared_dir(spark)}/weirgate/{tag}-{uuid.uuid4().hex}"
