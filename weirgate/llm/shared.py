@@ -3,8 +3,6 @@ folder, connected components over edge tables, and vectorised word hashing."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import share_code
+from ..session import scratch, share_code
 
 #: Rows per Arrow batch for text columns; bounds what a Python worker holds.
 TEXT_ROWS_PER_BATCH = 1000
@@ -21,20 +19,11 @@ TEXT_ROWS_PER_BATCH = 1000
 HASH_CHUNK = 1 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where unset (tests), a temporary one is set."""
-    at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="weirgate-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
 def durable(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: lineage ends
     there, so a lost executor costs no more than a reread."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/weirgate/{tag}-{uuid.uuid4().hex}"
+    path = scratch(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

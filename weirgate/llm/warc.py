@@ -134,7 +134,7 @@ def write(pages: DataFrame, root: str | None = None, id_col: str = "page_id", ur
     """Archives and index of ``pages``."""
     spark = pages.sparkSession
     shared.text_session(spark)
-    root = root or f"{shared.shared_dir(spark)}/weirgate/warc-{uuid.uuid4().hex}"
+    root = root or shared.scratch(spark, "warc")
     body = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), body.alias("payload"), F.sha2(body, 256).alias("digest"))
     narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("n"))
