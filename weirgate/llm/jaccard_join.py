@@ -94,19 +94,27 @@ def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
         )
 
     def merge(batches):
-        have: dict[tuple[int, int], np.ndarray] = {}
+        """Sums runs of equal (piece, fan); one piece is held at a time."""
+        at, total = None, None
+
+        def row():
+            return pa.RecordBatch.from_pydict({"piece": pa.array([at[0]], pa.int32()), "fan": pa.array([at[1]], pa.int32()), "n": pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())})
+
         for batch in batches:
-            for piece, fan, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                x = np.frombuffer(n, "<u2").astype(np.int64)
-                have[piece, fan] = have[piece, fan] + x if (piece, fan) in have else x
-        if have:
-            yield pa.RecordBatch.from_pydict(
-                {"piece": pa.array([p for p, _ in have], pa.int32()), "fan": pa.array([f for _, f in have], pa.int32()), "n": pa.array([np.minimum(x, 65535).astype("<u2").tobytes() for x in have.values()], pa.binary())}
-            )
+            for piece, fan, n in zip(*batch.columns, strict=True):
+                key, x = (piece.as_py(), fan.as_py()), np.frombuffer(n.as_py(), "<u2").astype(np.int64)
+                if key != at:
+                    if at is not None:
+                        yield row()
+                    at, total = key, x
+                else:
+                    total = total + x
+        if at is not None:
+            yield row()
 
     shape = "piece int, fan int, n binary"
-    parts = docs.select(text_col).mapInArrow(count, shape).repartition("piece", "fan").mapInArrow(merge, shape)
-    parts = parts.withColumn("fan", F.lit(0)).repartition("piece").mapInArrow(merge, shape)  # at most FAN_IN rows a piece
+    parts = docs.select(text_col).mapInArrow(count, shape).repartition("piece", "fan").sortWithinPartitions("piece", "fan").mapInArrow(merge, shape)
+    parts = parts.withColumn("fan", F.lit(0)).repartition("piece").sortWithinPartitions("piece").mapInArrow(merge, shape)  # at most FAN_IN rows a piece
     table = np.zeros((PIECES, SKETCH // PIECES), np.int64)
     for row in parts.toLocalIterator():
         table[row.piece] += np.frombuffer(row.n, "<u2")

@@ -64,7 +64,15 @@ class Tokens:
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.whole = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
+        self._load = lambda: Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
+        self._whole = None
+
+    @property
+    def whole(self):
+        """Loaded only where a text needs it."""
+        if self._whole is None:
+            self._whole = self._load()
+        return self._whole
 
     def ids(self, text: str) -> np.ndarray:
         if _PLAIN.search(text) or "<|" in text:

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from ..session import scratch, share_code
 
 #: Rows per Arrow batch for text columns; bounds what a Python worker holds.
-TEXT_ROWS_PER_BATCH = 1000
+TEXT_ROWS_PER_BATCH = 500
 
 #: Bytes of text hashed at once; bounds the work arrays (about 40 x this).
-HASH_CHUNK = 1 << 20
+HASH_CHUNK = 1 << 18
 
 
 def durable(df: DataFrame, tag: str) -> DataFrame:

@@ -181,9 +181,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for f in _features(text):
                     seen[f, label] += 1
-            if len(seen) > 300_000:
-                yield flush(seen)
-                seen = Counter()
+                if len(seen) > 100_000:
+                    yield flush(seen)
+                    seen = Counter()
         yield flush(seen)
 
     def flush(seen):
