@@ -115,15 +115,15 @@ _ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTU
 _PLACE = {c: (a, i) for a in _ALPHABETS for i, c in enumerate(a)}
 
 _NUMBERS = re.compile(
-    r"""(?P<date>(?<![\w.-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d([./])\d\d\2(?:19|20)\d\d)(?![\w-]|[.]\d))
-      |(?P<ipv4>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|[.]\d))
+    r"""(?P<date>(?<![\w-])(?<!\d[.])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d([./])\d\d\2(?:19|20)\d\d)(?![\w-]|[.]\d))
+      |(?P<ipv4>(?<!\w)(?<!\d[.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|[.]\d))
       |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
       |(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?![\w]|-\d)
                 |(?<![\w(+])\(\d{3}\)[ ]?\d{3}[-.]\d{4}(?![\w]|-\d)
                 |(?<![\w.+-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w]|[-.]\d))
       |(?P<secret>(?<![\w])(?=[0-9A-Fa-f]{0,31}\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\w]))
       |(?P<iban>(?<![\w])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\w]))
-      |(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w]))""",
+      |(?P<card>(?<!\w)(?<!\d[.])\d(?:[ -]?\d){12,18}(?![\w]))""",
     re.X,
 )
 _LOCAL = re.compile(r"[^\W_][\w.%+-]{0,63}$")
