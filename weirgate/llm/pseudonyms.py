@@ -11,7 +11,9 @@ ones, and nothing else of the text changes:
 * IPv4 addresses: within all addresses;
 * dates (ISO, or day.month.year and day/month/year): within 1900 to 2099;
 * e-mail addresses: letters and digits of the local part, each within its kind;
-* long hexadecimal secrets (32 digits or more): their digits.
+* secrets: hexadecimal ones of 32 digits or more, cloud access keys, and values
+  with a digit that a label such as ``password=`` announces: their digits and
+  letters, each within its kind.
 
 The permutation is a Feistel network on two unequal halves with keyed BLAKE2b as
 round function and cycle walking (Black and Rogaway, 2002).  Separators, case
@@ -122,13 +124,15 @@ _NUMBERS = re.compile(
                 |(?<![\w(+])\(\d{3}\)[ ]?\d{3}[-.]\d{4}(?![\w]|-\d)
                 |(?<![\w.+-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w]|[-.]\d))
       |(?P<secret>(?<![\w])(?=[0-9A-Fa-f]{0,31}\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\w]))
+      |(?P<key>(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w))
       |(?P<iban>(?<![\w])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\w]))
       |(?P<card>(?<!\w)(?<!\d[.])\d(?:[ -]?\d){12,18}(?![\w]))""",
     re.X,
 )
+_LABELLED = re.compile(r"(?<![^\W_])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>(?=[\w.+/-]{0,127}\d)[A-Za-z0-9_.+/-]{6,128})", re.I)
 _LOCAL = re.compile(r"[^\W_][\w.%+-]{0,63}$")
 _DOMAIN = re.compile(r"@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9][A-Za-z0-9-]{0,62})*\.[A-Za-z]{2,24}(?![A-Za-z0-9])")
-_ANY = re.compile(r"[0-9@]|[A-Fa-f]{32}")
+_ANY = re.compile(r"[0-9@]|[A-Fa-f]{32}|A[KS]IA")
 
 
 class Pseudonyms:
@@ -183,28 +187,32 @@ class Pseudonyms:
                 return None
             new = _EPOCH + datetime.timedelta(self._permuted("date", day, _DAYS))
             return new.isoformat() if iso else new.strftime(f"%d{text[2]}%m{text[2]}%Y")
-        if kind == "secret":
+        if kind == "key":
+            return text[:4] + self._by_kind("key", text[4:])
+        if kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", text):
             new = self._digits("secret", text.lower(), 16)
             return new if text == text.lower() else new.upper()
-        return self._email(text)
-
-    def _email(self, text: str) -> str:
+        if kind == "secret":
+            return self._by_kind("secret", text)
         local, _, domain = text.rpartition("@")
-        size = value = 0
-        size = 1
-        for c in local:
+        return f"{self._by_kind('email', local)}@{domain}"
+
+    def _by_kind(self, tweak: str, text: str) -> str:
+        """Digits and letters permuted together, each place within its own alphabet."""
+        value, size = 0, 1
+        for c in text:
             if c in _PLACE:
                 alphabet, i = _PLACE[c]
                 value, size = value + i * size, size * len(alphabet)
-        value, out = self._permuted("email", value, size) if size > 1 else 0, []
-        for c in local:
+        value, out = self._permuted(tweak, value, size) if size > 1 else 0, []
+        for c in text:
             if c in _PLACE:
                 alphabet = _PLACE[c][0]
                 out.append(alphabet[value % len(alphabet)])
                 value //= len(alphabet)
             else:
                 out.append(c)
-        return f"{''.join(out)}@{domain}"
+        return "".join(out)
 
     def finds(self, text: str) -> list[tuple[int, int, str, str]]:
         """(start, end, kind, pseudonym) of all finds, in order, none overlapping."""
@@ -215,11 +223,13 @@ class Pseudonyms:
             if (left := _LOCAL.search(text[max(0, at - 64) : at])) and (right := _DOMAIN.match(text, at)):
                 start = at - len(left[0])
                 whole = text[start : right.end()]
-                out.append((start, right.end(), "email", self._email(whole)))
+                out.append((start, right.end(), "email", self.replaced("email", whole)))
             at = text.find("@", at + 1)
         for m in _NUMBERS.finditer(text):
             if (new := self.replaced(m.lastgroup, m[0])) is not None:
                 out.append((m.start(), m.end(), m.lastgroup, new))
+        for m in _LABELLED.finditer(text):
+            out.append((*m.span("value"), "secret", self.replaced("secret", m["value"])))
         out.sort(key=lambda x: (x[0], -x[1]))
         kept, end = [], 0
         for x in out:
