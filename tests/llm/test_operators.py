@@ -79,7 +79,7 @@ def test_jaccard_on_empty_table_and_one_of_each(spark):
     rows = near_rows()
     kept = [r.doc_id for r in jaccard_join.one_of_each(docs_of(spark, rows)).collect()]
     want = [i for i, _ in rows if i is None or i in (400, 401, 402)] + sorted({c for _, n, c in brute_components(rows, 5, 80) if n})
-    assert set(kept) == set(want) and {400, 401, 402, None} <= set(kept)
+    assert set(kept) == set(want) and {400, 401, 402, None} <= set(kept) and len(kept) == len(set(kept))
 
 
 def test_components_of_chains_and_hubs(spark):
@@ -380,3 +380,18 @@ def test_pipeline_stages_against_brute_force(spark):
     whole = corpus_pipeline.run(spark, SF).collect()
     key = lambda r: (r.doc_id, r.piece, r.length, r.ids_crc32)
     assert sorted(map(key, whole)) == sorted(map(key, packed))
+
+
+def test_pipeline_stages_on_nulls_repeats_and_nothing(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    rows = [(None, "idiot text", "en", "s", 1), (1, None, None, None, None), (2, "", "en", None, 0), (3, "plain words here", None, "s", 9), (3, "plain words here", None, "s", 9), (4, "call +1 (743) 555-3824 now", "en", "s", None)]
+    docs = spark.createDataFrame(rows, schema)
+    for some in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, some, SF)
+            assert out.columns == docs.columns and out.count() <= some.count()
+        assert corpus_pipeline.pack_sequences(spark, some, SF).count() == some.count()
+    masked = {r.doc_id: r for r in corpus_pipeline.replace_personal_data(spark, docs, SF).collect()}
+    assert masked[1].text is None and masked[2].text == "" and "3824" not in masked[4].text and masked[4].n_chars == len(rows[5][1])
+    once = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert sorted((r.doc_id for r in once.collect()), key=str) == [1, 2, 3, 4, None]  # repeated rows are one document

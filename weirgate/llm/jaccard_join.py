@@ -257,8 +257,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that name their own component, one row each; rows
-    without an id or without words are all kept."""
-    found = jaccard_components(docs, id_col, text_col, k, threshold)
-    gone = found.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone").select(F.col("doc_id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti")
+    """The rows of ``docs`` that name their own component, repeated rows once;
+    rows without an id or without words are all kept."""
+    found = shared.durable(jaccard_components(docs, id_col, text_col, k, threshold).where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()), "found")
+    ids = found.groupBy(F.col("doc_id").alias(id_col)).agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count(F.lit(1)).alias("n"))
+    kept = docs.join(ids.where("gone").select(id_col), id_col, "left_anti")
+    repeated = ids.where("not gone and n > 1").select(id_col)
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, id_col, "left_anti").unionByName(kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col, text_col]))
