@@ -219,11 +219,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     p = round(threshold * 1000)
     base = shared.durable(prefixes(docs, id_col, text_col, k, threshold, shingle_counts(docs, text_col, k)), "prefixes")
 
-    each = base.where("sid is not null").groupBy("sid").agg(F.any_value("n_shingles").alias("n"), F.any_value("prefix").alias("prefix"), F.any_value("signature").alias("signature"))
-    each = shared.durable(each, "each")
-    signs, entries = each.select("sid", "n", "signature"), each.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
-    own = F.struct(F.col("pos").alias("pp"), F.xxhash64("sid").alias("h"), F.col("sid").alias("pivot"), F.col("n").alias("pn"))
-    lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(own).alias("pivot")).where("c > 1").select("token", "pivot.*").drop("h")
+    # each set once; the prefixes are read for the lists only, the signatures for candidates only
+    sets = base.where("sid is not null").groupBy("sid")
+    signs = sets.agg(F.any_value("n_shingles").alias("n"), F.any_value("signature").alias("signature"))
+    entries = sets.agg(F.any_value("n_shingles").alias("n"), F.any_value("prefix").alias("prefix")).select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
+    own = F.struct(F.col("pos").alias("pp"), F.col("sid").alias("pivot"), F.col("n").alias("pn"))  # a set id is a hash: ties fall at random
+    lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(own).alias("pivot")).where("c > 1").select("token", "pivot.*")
     shown = shared.durable(entries.join(lists, "token"), "lists")
 
     def fits(n, pos, m, pos2):
