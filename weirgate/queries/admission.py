@@ -216,13 +216,22 @@ def canonical_temporal(spark, sf_dir):
     return rows.select("o_orderkey", canonical.row_snapshot(rows).alias("snapshot"))
 
 
-def csv_tokenize(spark, sf_dir):
-    line = F.concat_ws(",", F.col("conv_id").cast("string"), "role", F.concat(F.lit('"'), F.replace(F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), 1, 60), F.lit('"'), F.lit('""')), F.lit('"')))
+def _tokenised(spark, sf_dir, text):
+    line = F.concat_ws(",", F.col("conv_id").cast("string"), "role", F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", line.alias("line"))
     t = X.tokens(F.col("line"))
     return rows.select("conv_id", "turn", F.size(t).alias("fields"), F.get(t, F.lit(1)).alias("role"), F.get(t, F.lit(2)).alias("body"))
 
 
+def csv_tokenize(spark, sf_dir):
+    return _tokenised(spark, sf_dir, F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), 1, 60))
+
+
+def csv_tokenize_whole(spark, sf_dir):
+    """Whole texts, line breaks included; csv_tokenize has the 60 characters that its SQL has."""
+    return _tokenised(spark, sf_dir, F.col("text"))
+
+
 def csv_malformed(spark, sf_dir):
     n = F.col("event_id") % 6
     line = F.when(n == 0, F.lit('a,"open')).when(n == 1, F.lit('a,"x"y')).when(n == 2, F.lit('a,"x ""y"" z",')).when(n == 3, F.lit("")).when(n == 4, F.concat(F.lit('a,b"c,'), "event_type")).otherwise(F.lit("a,,"))
@@ -235,7 +244,7 @@ QUERIES = [
     admission_valid, admission_violations, admission_reason_detail, admission_counts, structural_check, encoding_suspect, pattern_fullmatch, allowed_values, bounds,
     _cast("cast_int", "int", _int_text), _cast("cast_decimal", "decimal(5,2)", _decimal_text), _cast("cast_bool", "bool", _bool_text), _cast("cast_date", "date(yyyy-MM-dd)", _date_text),
     lineage_stamp, bag_subtract, hash_subtract, locator_subtract, drift_probe, touched_state_slice, quarantine_pre, quarantine_post, business_reasons, canonical_json_hash, canonical_temporal,
-    csv_tokenize, csv_malformed,
+    csv_tokenize, csv_tokenize_whole, csv_malformed,
 ]
 
 _DETAIL = """'[' || array_to_string(list_transform({f}, lambda x: '{{"code":"' || x.code || '",' || CASE WHEN x.col IS NULL THEN '' ELSE '"column":"' || x.col || '",' END || '"expected":"' || x.expected || '"}}'), ',') || ']'"""
@@ -315,5 +324,6 @@ WITH r AS (SELECT c_custkey, '{"balance":"' || CAST(CAST(c_acctbal AS DECIMAL(12
 SELECT c_custkey, s AS snapshot, sha256(s) AS row_hash FROM r""",
     "canonical_temporal": """SELECT o_orderkey, '{"at":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') || '","day":"' || strftime(o_orderdate, '%Y-%m-%d') || '","m":{"a":null,"z":"' || o_orderstatus || '"},"o_orderkey":' || o_orderkey || '}' AS snapshot FROM orders""",
     "csv_tokenize": """SELECT conv_id, turn, 3 AS fields, role, substr(replace(text, chr(10), ' '), 1, 60) AS body FROM conversations""",
+    "csv_tokenize_whole": """SELECT conv_id, turn, 3 AS fields, role, text AS body FROM conversations""",
     "csv_malformed": """SELECT event_id, event_id % 6 NOT IN (0, 1) AS ok, CASE event_id % 6 WHEN 0 THEN -1 WHEN 1 THEN -1 WHEN 2 THEN 3 WHEN 3 THEN 0 ELSE 3 END AS fields FROM events""",
 }
