@@ -82,10 +82,18 @@ def _orders(spark, sf_dir):
 _ORDER = ("o_orderdate", "o_totalprice", "o_orderkey")
 
 
+def _merged(o, first, second):
+    state = fold.winners(o.where(first), "o_custkey", _ORDER)
+    return fold.fold(state, o.where(second), "o_custkey", _ORDER).withColumns(_text("o_orderdate"))
+
+
 def state_merge(spark, sf_dir):
-    o = _orders(spark, sf_dir)
-    state = fold.winners(o.where("o_orderkey % 3 = 0"), "o_custkey", _ORDER)
-    return fold.fold(state, o.where("o_orderkey % 3 = 1"), "o_custkey", _ORDER).withColumns(_text("o_orderdate"))
+    return _merged(_orders(spark, sf_dir), "o_orderkey % 3 = 0", "o_orderkey % 3 = 1")
+
+
+def state_merge_whole(spark, sf_dir):
+    """State and delta are the whole table; state_merge has the two thirds that its SQL has."""
+    return _merged(_orders(spark, sf_dir), "o_orderkey % 3 = 0", "o_orderkey % 3 <> 0")
 
 
 def merge_noop(spark, sf_dir):
@@ -269,7 +277,7 @@ def row_locators(spark, sf_dir):
 
 
 QUERIES = [
-    lww_fold, state_merge, merge_noop, repeated_merge_keys, latest_disposition, registered_deliveries, feed_watermarks, acquired_set, defective_set, live_duplicates, reconcile, supersession,
+    lww_fold, state_merge, state_merge_whole, merge_noop, repeated_merge_keys, latest_disposition, registered_deliveries, feed_watermarks, acquired_set, defective_set, live_duplicates, reconcile, supersession,
     registration_dispositions, nondelivery_changes, candidate_select, content_hashes, mint_batch_id, manifest_verdict, trailer_verdict, overdue_dates, duplicate_rate, run_status, attempts_per_batch,
     stage_durations, rerun_noop_rate, quarantine_reasons, quarantine_rate, attempt_alarms, transition_metrics, feed_counts, budget_prefix, publish_counts, name_functions, row_locators,
 ]
@@ -280,6 +288,7 @@ _WIN = "ORDER BY o_orderdate DESC NULLS LAST, o_totalprice DESC, o_orderkey DESC
 SQL = {
     "lww_fold": "SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1",
     "state_merge": f"WITH {_O} SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey {_WIN}) AS rn FROM o WHERE o_orderkey % 3 < 2) WHERE rn = 1",
+    "state_merge_whole": f"WITH {_O} SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey {_WIN}) AS rn FROM o) WHERE rn = 1",
     "merge_noop": "SELECT CAST(0 AS BIGINT) AS changed, 0 AS zero",
     "repeated_merge_keys": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1",
     "latest_disposition": f"WITH {_LEDGER} SELECT delivery_id, disposition, strftime(recorded_at, '%Y-%m-%d') AS recorded FROM latest",
