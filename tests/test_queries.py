@@ -28,6 +28,6 @@ def test_csv_tokenize_whole_keeps_long_fields(spark, tmp_path):
     assert sorted((r.conv_id, r.fields, r.role, r.body) for r in got) == [(i, 3, "user", t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("name", ["csv_tokenize_whole", "state_merge_whole"])
+@pytest.mark.parametrize("name", ["csv_tokenize_whole", "state_merge_whole", "quarantine_reasons_whole"])
 def test_whole_tables_equal_sql(spark, name):
     assert rows(spark, name) == by_sql(name)

@@ -230,12 +230,21 @@ def rerun_noop_rate(spark, sf_dir):
     return ops.rerun_noop_rate(_runs(spark, sf_dir))
 
 
-def quarantine_reasons(spark, sf_dir):
+def _counted_reasons(spark, sf_dir, pipelines):
     e = table(spark, sf_dir, "events").select(F.concat(F.lit("f"), (_id() % 4).cast("string")).alias("feed_id"), F.when(_id() % 2 == 0, F.lit("pre_check")).otherwise(F.lit("post_check")).alias("check_stage"), F.date_trunc("second", "ts").cast("timestamp").alias("quarantined_at"), F.concat(F.lit("business/"), "event_type").alias("reason_code"), "event_id")
-    out = ops.quarantine_reasons({"one": e.where("event_id % 3 = 0"), "two": e.where("event_id % 3 = 1")}, F.lit("1900-01-01").cast("timestamp"))
+    out = ops.quarantine_reasons({name: e.where(rows) for name, rows in pipelines.items()}, F.lit("1900-01-01").cast("timestamp"))
     return out.withColumn("day", F.col("day").cast("string"))
 
 
+def quarantine_reasons(spark, sf_dir):
+    return _counted_reasons(spark, sf_dir, {"one": "event_id % 3 = 0", "two": "event_id % 3 = 1"})
+
+
+def quarantine_reasons_whole(spark, sf_dir):
+    """The pipelines are the whole table; quarantine_reasons has the two thirds that its SQL has."""
+    return _counted_reasons(spark, sf_dir, {"one": "event_id % 3 = 0", "two": "event_id % 3 = 1", "three": "event_id % 3 = 2"})
+
+
 def quarantine_rate(spark, sf_dir):
     return ops.quarantine_rate(_runs(spark, sf_dir), 24).withColumns(_text("window_start"))
 
@@ -279,7 +288,7 @@ def row_locators(spark, sf_dir):
 QUERIES = [
     lww_fold, state_merge, state_merge_whole, merge_noop, repeated_merge_keys, latest_disposition, registered_deliveries, feed_watermarks, acquired_set, defective_set, live_duplicates, reconcile, supersession,
     registration_dispositions, nondelivery_changes, candidate_select, content_hashes, mint_batch_id, manifest_verdict, trailer_verdict, overdue_dates, duplicate_rate, run_status, attempts_per_batch,
-    stage_durations, rerun_noop_rate, quarantine_reasons, quarantine_rate, attempt_alarms, transition_metrics, feed_counts, budget_prefix, publish_counts, name_functions, row_locators,
+    stage_durations, rerun_noop_rate, quarantine_reasons, quarantine_reasons_whole, quarantine_rate, attempt_alarms, transition_metrics, feed_counts, budget_prefix, publish_counts, name_functions, row_locators,
 ]
 
 _O = """o AS (SELECT o_custkey, CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate END AS o_orderdate, o_totalprice, o_orderkey FROM orders)"""
@@ -334,6 +343,7 @@ SELECT feed_id, CAST(day AS VARCHAR) AS expected_date, strftime(due, '%Y-%m-%d %
     "stage_durations": f"WITH {_RUNS}, d AS (SELECT stage, epoch_ms(finished_at) - epoch_ms(started_at) AS ms FROM runs WHERE outcome = 'ok') SELECT stage, quantile_cont(ms, 0.5) AS p50_ms, quantile_cont(ms, 0.95) AS p95_ms, count(*) AS sample_count FROM d GROUP BY 1",
     "rerun_noop_rate": f"WITH {_RUNS}, a AS (SELECT batch_id, attempt_id, bool_and(outcome = 'skipped-guard') AND sum(coalesce(facts_appended, 0)) = 0 AS noop FROM runs GROUP BY 1, 2) SELECT count_if(noop) AS noop_attempts, count(*) AS total_attempts, CAST(count_if(noop) AS DOUBLE) / nullif(count(*), 0) AS noop_rate FROM a",
     "quarantine_reasons": "SELECT CASE WHEN event_id % 3 = 0 THEN 'one' ELSE 'two' END AS pipeline, 'f' || (event_id % 4) AS feed_id, CASE WHEN event_id % 2 = 0 THEN 'pre_check' ELSE 'post_check' END AS check_stage, strftime(ts, '%Y-%m-%d') AS day, 'business/' || event_type AS reason_code, count(*) AS reason_count FROM events WHERE event_id % 3 < 2 GROUP BY ALL",
+    "quarantine_reasons_whole": "SELECT CASE event_id % 3 WHEN 0 THEN 'one' WHEN 1 THEN 'two' ELSE 'three' END AS pipeline, 'f' || (event_id % 4) AS feed_id, CASE WHEN event_id % 2 = 0 THEN 'pre_check' ELSE 'post_check' END AS check_stage, strftime(ts, '%Y-%m-%d') AS day, 'business/' || event_type AS reason_code, count(*) AS reason_count FROM events GROUP BY ALL",
     "quarantine_rate": f"WITH {_RUNS}, w AS (SELECT pipeline, date_trunc('day', finished_at) AS d, CAST(sum(coalesce(pre_quarantined, 0)) AS BIGINT) AS quarantined, CAST(sum(coalesce(raw_count, 0)) AS BIGINT) AS raw FROM runs GROUP BY 1, 2) SELECT pipeline, strftime(d, '%Y-%m-%d %H:%M:%S') AS window_start, quarantined, raw, quarantined / nullif(raw, 0) AS rate, coalesce(quarantined / nullif(raw, 0) > 0.05, false) AS alarm FROM w",
     "attempt_alarms": f"WITH {_RUNS} SELECT pipeline, strftime(date_trunc('day', started_at), '%Y-%m-%d %H:%M:%S') AS window_start, count(DISTINCT (batch_id, attempt_id)) AS attempts, count(DISTINCT (batch_id, attempt_id)) > 10 AS alarm FROM runs GROUP BY pipeline, date_trunc('day', started_at)",
     "transition_metrics": f"""WITH {_RUNS}, m AS (
