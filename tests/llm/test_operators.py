@@ -74,6 +74,20 @@ def test_jaccard_components_equal_brute_force(spark, k, p):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None) == brute_components(rows, k, p)
 
 
+@pytest.mark.parametrize("k,p", [(3, 90), (5, 80), (1, 50)])
+def test_jaccard_links_equal_brute_force(spark, k, p, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LIST", 4)
+    rows, sets = near_rows(), []
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} if w else set())
+    want = [(i or -1, len(x), sum(100 * len(x & y) >= p * len(x | y) for y in sets if y) - 1 if x else 0) for (i, _), x in zip(rows, sets, strict=True)]
+    got = jaccard_join.jaccard_links(docs_of(spark, rows), k=k, threshold=p / 100).collect()
+    assert sorted((r.doc_id or -1, r.n_shingles, r.n_links) for r in got) == sorted(want)
+    assert max(n for *_, n in want) > 2
+    assert jaccard_join.jaccard_links(docs_of(spark, [])).count() == 0
+
+
 def test_jaccard_on_empty_table_and_one_of_each(spark):
     assert jaccard_join.jaccard_components(docs_of(spark, [])).count() == 0
     rows = near_rows()

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def by_sql(name, sf_dir=SF):
     with duckdb.connect() as db:
-        for t in ("conversations", "orders", "events"):
+        for t in ("conversations", "orders", "events", "documents"):
             db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
         return Counter(map(tuple, db.execute(__spark_entry__.oracle_sql()[name]).fetchall()))
 
@@ -28,6 +28,6 @@ def test_csv_tokenize_whole_keeps_long_fields(spark, tmp_path):
     assert sorted((r.conv_id, r.fields, r.role, r.body) for r in got) == [(i, 3, "user", t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("name", ["csv_tokenize_whole", "state_merge_whole", "quarantine_reasons_whole"])
+@pytest.mark.parametrize("name", ["csv_tokenize_whole", "state_merge_whole", "quarantine_reasons_whole", "op3_ngram_jaccard_links"])
 def test_whole_tables_equal_sql(spark, name):
     assert rows(spark, name) == by_sql(name)

@@ -34,6 +34,11 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), k=3, threshold=0.9)
 
 
+def op3_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents each one is linked to; op3_ngram_jaccard_join has the columns of its SQL."""
+    return jaccard_join.jaccard_links(_table(spark, sf_dir, "documents"), k=3, threshold=0.9)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return language.identify(docs, language.learn(docs, "doc_id", "text", "lang"))
@@ -134,6 +139,23 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
 """
 
+OP3_LINKS_SQL = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+items AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM items GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS same
+  FROM items a JOIN items b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, count(*) AS n FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * same >= 90 * (p.n + q.n - same) GROUP BY x)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.n, 0) AS n_links
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN links l ON l.x = d.doc_id
+"""
+
 OP6_SQL = rf"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -187,9 +209,9 @@ FROM placed GROUP BY conv_id, perspective, chunk
 def queries() -> dict:
     return {
         f.__name__: f
-        for f in (op1_nearest_neighbours, op2_license_scan, op3_ngram_jaccard_join, op4_language_id, op5_toxicity, op6_decontamination, op7_warc_capture_index, op8_chat_perspectives, op9_pii_pseudonyms, op10_best_fit_packing)
+        for f in (op1_nearest_neighbours, op2_license_scan, op3_ngram_jaccard_join, op3_ngram_jaccard_links, op4_language_id, op5_toxicity, op6_decontamination, op7_warc_capture_index, op8_chat_perspectives, op9_pii_pseudonyms, op10_best_fit_packing)
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": OP2_SQL, "op3_ngram_jaccard_join": OP3_SQL, "op6_decontamination": OP6_SQL, "op7_warc_capture_index": OP7_SQL, "op8_chat_perspectives": OP8_SQL}
+    return {"op2_license_scan": OP2_SQL, "op3_ngram_jaccard_join": OP3_SQL, "op3_ngram_jaccard_links": OP3_LINKS_SQL, "op6_decontamination": OP6_SQL, "op7_warc_capture_index": OP7_SQL, "op8_chat_perspectives": OP8_SQL}

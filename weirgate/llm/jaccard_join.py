@@ -23,7 +23,7 @@ the answers of a set are derived from those of a highly similar set.
    block joins itself and the next one, and position bounds cut the rest.
    Survivors are verified too, and the links of both steps give the result.
 
-No step emits the pairs of a group: step 3 is linear in the lists, step 4
+No step of the components emits the pairs of a group: step 3 is linear in the lists, step 4
 leaves out what is already connected.
 
 Defined results: null, empty or word-less texts have an empty set and stay
@@ -56,6 +56,8 @@ PIECES, FAN_IN = 64, 64
 SIGNATURE = 1024
 #: Bits of the filter of sets that take part in any candidate pair.
 FILTER_BITS = 1 << 23
+#: Longer index lists are joined in so many cuts of this many sets when links are counted.
+LIST = 256
 
 
 def _sets(col: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -193,8 +195,9 @@ def _full_sets(docs: DataFrame, text_col: str, k: int, nodes: DataFrame) -> Data
     return shared.durable(full, "sets")
 
 
-def _verified(docs: DataFrame, text_col: str, k: int, threshold: float, signs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The candidate ``pairs`` (a, b) of set ids whose full sets reach the threshold.
+def _verified(docs: DataFrame, text_col: str, k: int, threshold: float, signs: DataFrame, pairs: DataFrame, differences: bool = False) -> DataFrame:
+    """The candidate ``pairs`` (a, b) of set ids whose full sets reach the threshold,
+    if asked with the shingles that only one of them has.
 
     Signatures drop pairs that differ in too many shingles for sure; full sets
     are made for what is left."""
@@ -204,19 +207,27 @@ def _verified(docs: DataFrame, text_col: str, k: int, threshold: float, signs: D
     apart = F.aggregate(F.zip_with("ax", "bx", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
     both_sizes = F.col("an") + F.col("bn")
     pairs = shared.durable(signed.where(apart <= both_sizes - 2 * _need(p, F.col("an"), F.col("bn"))).select("a", "b"), "pairs")
+    shown = ["a", "b", *[F.array_union(F.array_except("x", "y"), F.array_except("y", "x")).alias("diff")] * differences]
     if pairs.isEmpty():
-        return pairs
+        return pairs.select("a", "b", *[F.array().cast("array<long>").alias("diff")] * differences)
     full = _full_sets(docs, text_col, k, pairs.select(F.col("a").alias("sid")).union(pairs.select("b")))
     both = pairs.join(full.withColumnsRenamed({"sid": "a", "items": "x"}), "a").join(full.withColumnsRenamed({"sid": "b", "items": "y"}), "b")
     same = F.size(F.array_intersect("x", "y")).cast("long")
-    return both.select("a", "b", (F.size("x") + F.size("y")).alias("all"), same.alias("same")).where(F.lit(1000) * F.col("same") >= F.lit(p) * (F.col("all") - F.col("same"))).select("a", "b")
+    found = both.select(*shown, (F.size("x") + F.size("y")).alias("all"), same.alias("same")).where(F.lit(1000) * F.col("same") >= F.lit(p) * (F.col("all") - F.col("same")))
+    return found.drop("all", "same")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id
-    reachable by links of similarity >= threshold, the row's own included)."""
-    shared.text_session(docs.sparkSession)
-    p = round(threshold * 1000)
+def _fits(p: int, n, pos, m, pos2):
+    """Size and position bounds of two sets that share a token at these places."""
+    return (F.least(n, m) * 1000 >= F.greatest(n, m) * p) & (1 + F.least(n - pos - 1, m - pos2 - 1) >= _need(p, n, m))
+
+
+def _block(p: int):
+    return F.floor(F.log(F.col("n").cast("double")) / F.lit(1.000001 * math.log(1000 / p))).cast("int")  # a shade wide, for rounding
+
+
+def _indexed(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their prefixes, the signature of each set, and the index lists with their pivots."""
     base = shared.durable(prefixes(docs, id_col, text_col, k, threshold, shingle_counts(docs, text_col, k)), "prefixes")
 
     # each set once; the prefixes are read for the lists only, the signatures for candidates only
@@ -225,22 +236,71 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     entries = sets.agg(F.any_value("n_shingles").alias("n"), F.any_value("prefix").alias("prefix")).select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     own = F.struct(F.col("pos").alias("pp"), F.col("sid").alias("pivot"), F.col("n").alias("pn"))  # a set id is a hash: ties fall at random
     lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(own).alias("pivot")).where("c > 1").select("token", "pivot.*")
-    shown = shared.durable(entries.join(lists, "token"), "lists")
+    return base, signs, shared.durable(entries.join(lists, "token"), "lists")
 
-    def fits(n, pos, m, pos2):
-        return (F.least(n, m) * 1000 >= F.greatest(n, m) * p) & (1 + F.least(n - pos - 1, m - pos2 - 1) >= _need(p, n, m))
 
+def _starred(shown: DataFrame, p: int) -> DataFrame:
+    """Every set of a list with the list's pivot."""
+    c = F.col
+    return shown.where((c("sid") != c("pivot")) & _fits(p, c("n"), c("pos"), c("pn"), c("pp"))).select(F.greatest("sid", "pivot").alias("a"), F.least("sid", "pivot").alias("b")).distinct()
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, n_links (the other rows of
+    similarity >= threshold, rows with an equal set included; exact).
+
+    Every pair of a list is answered once.  Sets whose difference to the list's
+    pivot is known derive their answer from it: the sum of the two differences
+    bounds theirs, and where that is not enough, what the two differences share
+    makes it exact.  Only pairs without such a pivot are verified on full sets.
+    Unlike the components this lists the pairs of a group."""
+    shared.text_session(docs.sparkSession)
+    p, c = round(threshold * 1000), F.col
+    base, signs, shown = _indexed(docs, id_col, text_col, k, threshold)
+    starred = shared.durable(_starred(shown, p), "starred")
+    links = shared.durable(_verified(docs, text_col, k, threshold, signs, starred, differences=True), "links")
+    near = shared.durable(links.select(c("a").alias("sid"), c("b").alias("pivot"), "diff").unionByName(links.select(c("b").alias("sid"), c("a").alias("pivot"), "diff")), "near")
+
+    known = near.select("sid", "pivot", F.size("diff").cast("long").alias("d"))
+    long = shown.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(c("c") > LIST).select("token", F.ceil(c("c") / LIST).cast("int").alias("cuts"))
+    rows = shown.where("sid <> pivot").join(known, ["sid", "pivot"], "left").join(long, "token", "left")
+    rows = shared.durable(rows.select("token", "sid", "n", "pos", "pivot", "d", F.coalesce("cuts", F.lit(1)).alias("cuts"), _block(p).alias("block")), "open")
+    left = rows.withColumn("cut", F.pmod("sid", "cuts").cast("int"))
+    right = rows.select("token", F.explode(F.array(c("block"), c("block") - 1)).alias("block"), c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("d").alias("d2"), "cuts")
+    right = right.withColumn("cut", F.explode(F.sequence(F.lit(0), c("cuts") - 1))).drop("cuts")
+    pairs = left.join(right, ["token", "block", "cut"]).where(((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & _fits(p, c("n"), c("pos"), c("n2"), c("pos2")))
+    apart = c("d") + c("d2")
+    pairs = pairs.groupBy(F.greatest("sid", "sid2").alias("a"), F.least("sid", "sid2").alias("b"), (c("n") + c("n2") - 2 * _need(p, c("n"), c("n2"))).alias("most")).agg(F.min(apart).alias("apart"), F.min(F.when(apart.isNotNull(), c("pivot"))).alias("pivot"))
+    pairs = shared.durable(pairs.join(starred, ["a", "b"], "left_anti"), "candidates")
+    sure = pairs.where("apart <= most").select("a", "b")
+    unsure = pairs.where("apart > most").join(near.withColumnsRenamed({"sid": "a", "diff": "x"}), ["a", "pivot"]).join(near.withColumnsRenamed({"sid": "b", "diff": "y"}), ["b", "pivot"])
+    derived = unsure.where(F.size("x") + F.size("y") - 2 * F.size(F.array_intersect("x", "y")) <= c("most")).select("a", "b")
+    verified = _verified(docs, text_col, k, threshold, signs, pairs.where("apart is null").select("a", "b"))
+    links = links.select("a", "b").unionByName(sure).unionByName(derived).unionByName(verified)
+
+    held = shared.durable(base.where("sid is not null").groupBy("sid").agg(F.count(F.lit(1)).alias("rows")), "held")
+    ends = links.unionByName(links.select(c("b").alias("a"), c("a").alias("b")))
+    others = ends.join(held.withColumnRenamed("sid", "b"), "b").groupBy(c("a").alias("sid")).agg(F.sum("rows").alias("others"))
+    counted = held.join(others, "sid", "left").select("sid", (c("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return base.select("doc_id", "n_shingles", "sid").join(counted, "sid", "left").select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id
+    reachable by links of similarity >= threshold, the row's own included)."""
+    shared.text_session(docs.sparkSession)
+    p = round(threshold * 1000)
+    base, signs, shown = _indexed(docs, id_col, text_col, k, threshold)
     c = F.col
-    starred = shown.where((c("sid") != c("pivot")) & fits(c("n"), c("pos"), c("pn"), c("pp"))).select(F.greatest("sid", "pivot").alias("a"), F.least("sid", "pivot").alias("b")).distinct()
+    starred = _starred(shown, p)
     links = shared.durable(_verified(docs, text_col, k, threshold, signs, starred), "links")
     first = shared.durable(shared.components(links, "stars"), "components")
 
     labelled = shown.select("token", "sid", "n", "pos").join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     open_lists = labelled.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-    block = F.floor(F.log(c("n").cast("double")) / F.lit(1.000001 * math.log(1000 / p))).cast("int")  # a shade wide, for rounding
-    labelled = shared.durable(labelled.join(open_lists, "token").withColumn("block", block), "open")
+    labelled = shared.durable(labelled.join(open_lists, "token").withColumn("block", _block(p)), "open")
     right = labelled.select("token", F.explode(F.array(c("block"), c("block") - 1)).alias("block"), c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("root").alias("root2"))
-    across = labelled.join(right, ["token", "block"]).where((c("root") != c("root2")) & ((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & fits(c("n"), c("pos"), c("n2"), c("pos2")))
+    across = labelled.join(right, ["token", "block"]).where((c("root") != c("root2")) & ((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & _fits(p, c("n"), c("pos"), c("n2"), c("pos2")))
     across = across.select(F.greatest("sid", "sid2").alias("a"), F.least("sid", "sid2").alias("b")).distinct()
     late = _verified(docs, text_col, k, threshold, signs, across)
     everything = first.select(c("node").alias("a"), c("root").alias("b")).unionByName(late)
