@@ -238,6 +238,27 @@ def test_pseudonyms_keep_format_and_link(spark):
     assert rows[1].text == new and rows[1].n_found == 14 and rows[2].text is None and rows[3].text == "" and rows[None].text == new and rows[5].n_found == 1
 
 
+@pytest.mark.parametrize("text,want", [
+    ("4111 1111 1111 1111 12/26", [("card", "4111 1111 1111 1111")]), ("4111-1111-1111-1111 123", [("card", "4111-1111-1111-1111")]), ("no 5 4111 1111 1111 1111", [("card", "4111 1111 1111 1111")]),
+    ("12 34 4111 1111 1111 1111 99 7", [("card", "4111 1111 1111 1111")]), ("4111 1111 1111 1111 5500 0000 0000 0004", [("card", "4111 1111 1111 1111"), ("card", "5500 0000 0000 0004")]),
+    ("AB12 4111 1111 1111 1111", [("card", "4111 1111 1111 1111")]), ("+4111 1111 1111 1111", [("card", "4111 1111 1111 1111")]), ("4111 1111 1111 1111 2020-01-31", [("card", "4111 1111 1111 1111"), ("date", "2020-01-31")]),
+    ("AT61 1904 3002 3457 3201 ABCD", [("iban", "AT61 1904 3002 3457 3201")]), ("AT611904300234573201 1234 EURO", [("iban", "AT611904300234573201")]),
+    ("2020-01-31T10:00:00Z", [("date", "2020-01-31")]), ("on 12/31/2020.", [("date", "12/31/2020")]), ("4111111111111112 31/31/2020 10.2.3.400 2020-01-31X", []),
+])
+def test_pseudonyms_find_values_inside_longer_spans(text, want):
+    of = pseudonyms.Pseudonyms(b"secret")
+    new, finds = of.apply(text)
+    assert [(k, text[a:b]) for a, b, k, _ in finds] == want and all(value not in new for _, value in want)
+    assert of.apply("12/31/2020")[0] == datetime.date.fromisoformat(of.apply("2020-12-31")[0]).strftime("%m/%d/%Y")
+
+
+def test_pseudonyms_of_long_runs_of_numbers():
+    of, dice = pseudonyms.Pseudonyms(b"secret"), random.Random(3)
+    text = " ".join(str(dice.randrange(10_000)) for _ in range(20_000))
+    finds = of.finds(text)
+    assert all(a[1] <= b[0] for a, b in itertools.pairwise(finds)) and len(finds) > 0
+
+
 # ---------------------------------------------------------------- packing
 
 

@@ -9,7 +9,8 @@ ones, and nothing else of the text changes:
 * account numbers in IBAN form (mod 97): permuted and checked again;
 * social security numbers, telephone numbers: their digits;
 * IPv4 addresses: within all addresses;
-* dates (ISO, or day.month.year and day/month/year): within 1900 to 2099;
+* dates (ISO, or day.month.year and day/month/year, month first where only that
+  is a date): within 1900 to 2099;
 * e-mail addresses: letters and digits of the local part, each within its kind;
 * secrets: hexadecimal ones of 32 digits or more, cloud access keys, and values
   with a digit that a label such as ``password=`` announces: their digits and
@@ -117,7 +118,7 @@ _ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTU
 _PLACE = {c: (a, i) for a in _ALPHABETS for i, c in enumerate(a)}
 
 _NUMBERS = re.compile(
-    r"""(?P<date>(?<![\w-])(?<!\d[.])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d([./])\d\d\2(?:19|20)\d\d)(?![\w-]|[.]\d))
+    r"""(?P<date>(?<![\w-])(?<!\d[.])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d([./])\d\d\2(?:19|20)\d\d)(?!(?!T\d)[\w-]|[.]\d))
       |(?P<ipv4>(?<!\w)(?<!\d[.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|[.]\d))
       |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
       |(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?![\w]|-\d)
@@ -129,6 +130,10 @@ _NUMBERS = re.compile(
       |(?P<card>(?<!\w)(?<!\d[.])\d(?:[ -]?\d){12,18}(?![\w]))""",
     re.X,
 )
+_RUN = re.compile(r"\d(?:[ -]?\d)*")
+_GROUP = re.compile(r"(?<!\w)\w")
+#: Group lengths in which card numbers are written.
+_GROUPED = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), *((n,) for n in range(13, 20))}
 _LABELLED = re.compile(r"(?<![^\W_])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>(?=[\w.+/-]{0,127}\d)[A-Za-z0-9_.+/-]{6,128})", re.I)
 _LOCAL = re.compile(r"[^\W_][\w.%+-]{0,63}$")
 _DOMAIN = re.compile(r"@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9][A-Za-z0-9-]{0,62})*\.[A-Za-z]{2,24}(?![A-Za-z0-9])")
@@ -181,12 +186,15 @@ class Pseudonyms:
         if kind == "date":
             iso = text[4] == "-"
             y, m, d = (int(text[:4]), int(text[5:7]), int(text[8:])) if iso else (int(text[6:]), int(text[3:5]), int(text[:2]))
+            month_first = not iso and m > 12
+            if month_first:
+                m, d = d, m
             try:
                 day = (datetime.date(y, m, d) - _EPOCH).days
             except ValueError:
                 return None
             new = _EPOCH + datetime.timedelta(self._permuted("date", day, _DAYS))
-            return new.isoformat() if iso else new.strftime(f"%d{text[2]}%m{text[2]}%Y")
+            return new.isoformat() if iso else new.strftime(f"%m{text[2]}%d{text[2]}%Y" if month_first else f"%d{text[2]}%m{text[2]}%Y")
         if kind == "key":
             return text[:4] + self._by_kind("key", text[4:])
         if kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", text):
@@ -214,6 +222,60 @@ class Pseudonyms:
                 out.append(c)
         return "".join(out)
 
+    def _cards(self, text: str, start: int, end: int) -> list[tuple[int, int, str, str]]:
+        """The card numbers among the groups of a run of digits: the whole run,
+        then usual groupings, then the longest; none overlapping, in order."""
+        groups = [m.span() for m in re.finditer(r"\d+", text[start:end])]
+        valid = []
+        for i, (a, _) in enumerate(groups):
+            lengths: tuple[int, ...] = ()
+            for x, b in groups[i:]:
+                lengths += (b - x,)
+                if (n := sum(lengths)) > 19:
+                    break
+                if n < 13 or re.match(r"\w", text[start + b : start + b + 1]):
+                    continue
+                if (new := self.replaced("card", text[start + a : start + b])) is not None:
+                    valid.append((len(lengths) < len(groups), lengths not in _GROUPED, -n, start + a, start + b, new))
+        kept: dict[int, tuple[int, int, str, str]] = {}
+        for *_, a, b, new in sorted(valid):
+            if not any(at in kept and kept[at][1] > a for at in range(a - 40, b)):  # a number with its separators has at most 37 characters
+                kept[a] = (a, b, "card", new)
+        return [kept[a] for a in sorted(kept)]
+
+    def _numbers(self, text: str) -> list[tuple[int, int, str, str]]:
+        """The finds of `_NUMBERS`.  A find that fails validation is tried shorter
+        where it has groups, and the search goes on at its next group."""
+        out: list[tuple[int, int, str, str]] = []
+        cards: list[tuple[int, int, str, str]] = []  # those of the run of digits up to ``seen``
+        at, seen = 0, 0
+        while True:
+            m = _NUMBERS.search(text, at, cards[0][0] if cards else len(text))
+            if m is None:
+                if not cards:
+                    return out
+                out.append(cards.pop(0))
+                at = out[-1][1]
+                continue
+            kind, start, end, new = m.lastgroup, m.start(), m.end(), None
+            if kind == "card":
+                if start >= seen:
+                    seen = _RUN.match(text, start).end()
+                    cards = self._cards(text, start, seen)
+                    if cards:
+                        at = start
+                        continue
+            else:
+                new = self.replaced(kind, m[0])
+                while new is None and kind == "iban" and (cut := text.rfind(" ", start, end)) - start - text.count(" ", start, cut) >= 15:
+                    end, new = cut, self.replaced(kind, text[start:cut])
+            if new is not None:
+                out.append((start, end, kind, new))
+                at = end
+            else:
+                following = _GROUP.search(text, start + 1, m.end())
+                at = following.start() if following else m.end()
+
     def finds(self, text: str) -> list[tuple[int, int, str, str]]:
         """(start, end, kind, pseudonym) of all finds, in order, none overlapping."""
         if not _ANY.search(text):
@@ -225,9 +287,7 @@ class Pseudonyms:
                 whole = text[start : right.end()]
                 out.append((start, right.end(), "email", self.replaced("email", whole)))
             at = text.find("@", at + 1)
-        for m in _NUMBERS.finditer(text):
-            if (new := self.replaced(m.lastgroup, m[0])) is not None:
-                out.append((m.start(), m.end(), m.lastgroup, new))
+        out += self._numbers(text)
         for m in _LABELLED.finditer(text):
             out.append((*m.span("value"), "secret", self.replaced("secret", m["value"])))
         out.sort(key=lambda x: (x[0], -x[1]))
