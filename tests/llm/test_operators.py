@@ -345,6 +345,16 @@ def test_warc_round_trip(spark, monkeypatch):
     assert warc.lookup(warc.write(df.limit(0)), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("directory", [1, 2])
+def test_warc_lookup_of_keys_that_cross_directory_chunks(spark, monkeypatch, directory):
+    monkeypatch.setattr(warc, "LINES", 2)
+    monkeypatch.setattr(warc, "DIRECTORY", directory)
+    pages = [(1, "http://a/", "one")] + [(2, "http://b/", "two")] * 7 + [(None, "http://c/", f"null {i}") for i in range(6)] + [(3, "http://d/", "three")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = [(r.page_id or 0, r.url, bytes(r.payload).decode()) for r in warc.lookup(warc.write(df), df).collect()]
+    assert sorted(got) == sorted((i or 0, u, h) for i, u, h in pages)
+
+
 def test_surt_keys_sort_by_reversed_host():
     assert warc.surt("http://www.Example.com:80/a?b#c") == "com,example,www)/a?b"
     assert warc.surt("https://example.com:8443") == "com,example:8443)/" and warc.surt(None) == ")/"

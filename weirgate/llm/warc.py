@@ -302,7 +302,7 @@ def lookup(archives: Archives, wanted: DataFrame, id_col: str = "page_id", url_c
         if i:
             own = own.where(F.col("key") >= chunk[0][0])
         if i + 1 < len(chunks):
-            own = own.where(F.col("key") < chunks[i + 1][0][0])
+            own = own.where(F.col("key") <= chunks[i + 1][0][0])  # its captures can begin in this chunk; chunks read disjoint blocks
         part = own.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(reading(spark.sparkContext.broadcast(chunk)), shape)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], shape)
