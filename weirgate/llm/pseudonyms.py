@@ -16,10 +16,13 @@ ones, and nothing else of the text changes:
   with a digit that a label such as ``password=`` announces: their digits and
   letters, each within its kind.
 
-The permutation is a Feistel network on two unequal halves with keyed BLAKE2b as
-round function and cycle walking (Black and Rogaway, 2002).  Separators, case
-and country prefixes stay; a value written with other separators has the same
-pseudonym.  A value that the permutation maps to itself is moved on once more.
+A Feistel network on two unequal halves, with keyed BLAKE2b as round function and
+cycle walking (Black and Rogaway, 2002), orders the values of a format as one
+cycle; a value's pseudonym is its successor, the next valid one where the format
+has invalid ones.  So no value keeps its own form, however few there are.  Long
+values are permuted in chunks, each tweaked by all that stands before it.
+Separators, case and country prefixes stay; a value written with other
+separators has the same pseudonym.
 
 Defined results: null texts stay null with no spans; empty texts stay empty;
 repeated rows give the same result; overlapping finds keep the first and then
@@ -41,51 +44,54 @@ from pyspark.sql import types as T
 from . import shared
 
 ROUNDS = 10
+#: Characters that are permuted together; longer values have several chunks.
+CHUNK = 48
 
 
 class Permutation:
-    """A keyed permutation of 0 .. size - 1; ``tweak`` names the format."""
+    """A keyed permutation of 0 .. size - 1 that is one cycle, so with two values or
+    more none stays, and walking on from a value meets every other one.  ``tweak``
+    names the format."""
 
     def __init__(self, key: bytes, tweak: str, size: int):
         self.size = size
-        self.a = 1
-        while self.a * self.a < size:
-            self.a = self.a * 2
+        self.a = 1 << ((size - 1).bit_length() + 1) // 2
         self.b = -(-size // self.a)
-        self.key = hashlib.blake2b(tweak.encode() + b"/" + str(size).encode(), key=key[:64], digest_size=32).digest()
+        own = key if len(key) <= 64 else hashlib.blake2b(key).digest()
+        self.key = hashlib.blake2b(tweak.encode() + b"/" + str(size).encode(), key=own, digest_size=32).digest()
 
     def _round(self, i: int, half: int) -> int:
         return int.from_bytes(hashlib.blake2b(i.to_bytes(1, "big") + half.to_bytes(-(-half.bit_length() // 8) or 1, "big"), key=self.key).digest(), "big")
 
-    def _once(self, m: int) -> int:
-        left, right = m % self.a, m // self.a
-        for i in range(ROUNDS):
-            if i % 2:
-                right = (right + self._round(i, left)) % self.b
-            else:
-                left = (left + self._round(i, right)) % self.a
-        return right * self.a + left
+    def _there(self, m: int) -> int:
+        while True:
+            left, right = m % self.a, m // self.a
+            for i in range(ROUNDS):
+                if i % 2:
+                    right = (right + self._round(i, left)) % self.b
+                else:
+                    left = (left + self._round(i, right)) % self.a
+            m = right * self.a + left
+            if m < self.size:
+                return m
 
     def _back(self, m: int) -> int:
-        left, right = m % self.a, m // self.a
-        for i in reversed(range(ROUNDS)):
-            if i % 2:
-                right = (right - self._round(i, left)) % self.b
-            else:
-                left = (left - self._round(i, right)) % self.a
-        return right * self.a + left
+        while True:
+            left, right = m % self.a, m // self.a
+            for i in reversed(range(ROUNDS)):
+                if i % 2:
+                    right = (right - self._round(i, left)) % self.b
+                else:
+                    left = (left - self._round(i, right)) % self.a
+            m = right * self.a + left
+            if m < self.size:
+                return m
 
     def __call__(self, m: int) -> int:
-        x = self._once(m)
-        while x >= self.size:
-            x = self._once(x)
-        return x
+        return self._back((self._there(m) + 1) % self.size)
 
     def inverse(self, m: int) -> int:
-        x = self._back(m)
-        while x >= self.size:
-            x = self._back(x)
-        return x
+        return self._back((self._there(m) - 1) % self.size)
 
 
 def luhn_digit(digits: str) -> str:
@@ -116,6 +122,13 @@ _EPOCH, _DAYS = datetime.date(1900, 1, 1), (datetime.date(2100, 1, 1) - datetime
 #: The alphabets within which letters of an address are permuted.
 _ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ")
 _PLACE = {c: (a, i) for a in _ALPHABETS for i, c in enumerate(a)}
+_HEX = "0123456789abcdef"
+
+
+def _given_out(ssn: str) -> bool:
+    """Whether nine digits can be a social security number."""
+    return ssn[:3] not in ("000", "666") and ssn[3:5] != "00" and ssn[5:] != "0000"
+
 
 _NUMBERS = re.compile(
     r"""(?P<date>(?<![\w-])(?<!\d[.])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d([./])\d\d\2(?:19|20)\d\d)(?!(?!T\d)[\w-]|[.]\d))
@@ -124,7 +137,7 @@ _NUMBERS = re.compile(
       |(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?![\w]|-\d)
                 |(?<![\w(+])\(\d{3}\)[ ]?\d{3}[-.]\d{4}(?![\w]|-\d)
                 |(?<![\w.+-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w]|[-.]\d))
-      |(?P<secret>(?<![\w])(?=[0-9A-Fa-f]{0,31}\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\w]))
+      |(?P<secret>(?<![\w])(?=[0-9A-Fa-f]*\d)(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\w]))
       |(?P<key>(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w))
       |(?P<iban>(?<![\w])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\w]))
       |(?P<card>(?<!\w)(?<!\d[.])\d(?:[ -]?\d){12,18}(?![\w]))""",
@@ -134,8 +147,8 @@ _RUN = re.compile(r"\d(?:[ -]?\d)*")
 _GROUP = re.compile(r"(?<!\w)\w")
 #: Group lengths in which card numbers are written.
 _GROUPED = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), *((n,) for n in range(13, 20))}
-_LABELLED = re.compile(r"(?<![^\W_])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>(?=[\w.+/-]{0,127}\d)[A-Za-z0-9_.+/-]{6,128})", re.I)
-_LOCAL = re.compile(r"[^\W_][\w.%+-]{0,63}$")
+_LABELLED = re.compile(r"(?<![^\W_])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>(?=[A-Za-z0-9_.+/-]*[0-9])[A-Za-z0-9_.+/-]{6,}+)", re.I)
+_LOCAL = re.compile(r"[\w.%+-]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9][A-Za-z0-9-]{0,62})*\.[A-Za-z]{2,24}(?![A-Za-z0-9])")
 _ANY = re.compile(r"[0-9@]|[A-Fa-f]{32}|A[KS]IA")
 
@@ -145,14 +158,36 @@ class Pseudonyms:
         self.key = key
         self._made: dict[tuple[str, int], Permutation] = {}
 
-    def _permuted(self, tweak: str, m: int, size: int) -> int:
+    def _permuted(self, tweak: str, m: int, size: int, fits: Callable[[int], bool] = lambda x: True) -> int:
+        """The first value after ``m`` in its format's cycle that fits."""
         p = self._made.get((tweak, size)) or self._made.setdefault((tweak, size), Permutation(self.key, tweak, size))
         x = p(m)
-        return p(x) if x == m else x
+        while not fits(x):
+            x = p(x)
+        return x
 
-    def _digits(self, tweak: str, digits: str, base: int = 10) -> str:
-        x = self._permuted(tweak, int(digits, base), base ** len(digits))
-        return f"{x:0{len(digits)}d}" if base == 10 else f"{x:0{len(digits)}x}"
+    def _digits(self, tweak: str, digits: str, fits: Callable[[str], bool] = lambda x: True) -> str:
+        n = len(digits)
+        return f"{self._permuted(tweak, int(digits), 10**n, lambda x: fits(f'{x:0{n}d}')):0{n}d}"
+
+    def _by_kind(self, tweak: str, text: str, alphabets: tuple[str, ...] = _ALPHABETS) -> str:
+        """Characters permuted together in chunks, each place within its own alphabet."""
+        place = _PLACE if alphabets is _ALPHABETS else {c: (a, i) for a in alphabets for i, c in enumerate(a)}
+        at = [i for i, c in enumerate(text) if c in place]
+        out, before, chunks = list(text), hashlib.blake2b(), -(-len(at) // CHUNK)
+        for k in range(chunks):
+            own = at[len(at) * k // chunks : len(at) * (k + 1) // chunks]
+            m, size = 0, 1
+            for i in own:
+                alphabet, j = place[text[i]]
+                m, size = m + j * size, size * len(alphabet)
+            new = self._permuted(tweak, m, size) if chunks == 1 else Permutation(self.key, f"{tweak}/{len(at)}/{k}/{before.hexdigest()}", size)(m)
+            for i in own:
+                alphabet = place[text[i]][0]
+                out[i] = alphabet[new % len(alphabet)]
+                new //= len(alphabet)
+            before.update("".join(text[i] for i in own).encode())
+        return "".join(out)
 
     def replaced(self, kind: str, text: str) -> str | None:
         """The pseudonym of a find, or None if it fails validation."""
@@ -166,7 +201,7 @@ class Pseudonyms:
             plain = text.replace(" ", "")
             if iban_rest(plain) != 1:
                 return None
-            number = _put_back(plain[4:], self._digits("iban", "".join(filter(_digit, plain[4:])) or "0"), _digit)
+            number = self._by_kind("iban", plain[4:])
             check = 98 - iban_rest(f"{plain[:2]}00{number}")
             return _put_back(text, f"{plain[:2]}{check:02d}{number}", lambda c: c != " ")
         if kind == "ipv4":
@@ -176,13 +211,13 @@ class Pseudonyms:
             x = self._permuted("ipv4", int.from_bytes(bytes(parts), "big"), 1 << 32)
             return ".".join(map(str, x.to_bytes(4, "big")))
         if kind == "ssn":
-            area, group, serial = text.split("-")
-            return None if area in ("000", "666") or group == "00" or serial == "0000" else _put_back(text, self._digits("ssn", digits), _digit)
+            return _put_back(text, self._digits("ssn", digits, _given_out), _digit) if _given_out(digits) else None
         if kind == "phone":
-            at = len(re.match(r"\+\d{1,3}(?=[ .(-])|\+|", text)[0])
+            at = len(re.match(r"\+\d{1,3}(?=[ .(-])|\+1(?=\d{10})|\+|", text)[0])
             head, tail = text[:at], text[at:]
             own = "".join(filter(_digit, tail))
-            return head + _put_back(tail, self._digits("phone", own), _digit) if 7 <= len(own) <= 15 else None
+            fits = len(own) == 10 if head == "+1" else 7 <= len(own) <= 15 - max(0, len(head) - 1)
+            return head + _put_back(tail, self._digits("phone", own), _digit) if fits else None
         if kind == "date":
             iso = text[4] == "-"
             y, m, d = (int(text[:4]), int(text[5:7]), int(text[8:])) if iso else (int(text[6:]), int(text[3:5]), int(text[:2]))
@@ -193,35 +228,19 @@ class Pseudonyms:
                 day = (datetime.date(y, m, d) - _EPOCH).days
             except ValueError:
                 return None
-            new = _EPOCH + datetime.timedelta(self._permuted("date", day, _DAYS))
+            # days that only one reading can have stay such days, so every form has its own dates
+            new = _EPOCH + datetime.timedelta(self._permuted("date", day, _DAYS, lambda x: ((_EPOCH + datetime.timedelta(x)).day > 12) == (d > 12)))
             return new.isoformat() if iso else new.strftime(f"%m{text[2]}%d{text[2]}%Y" if month_first else f"%d{text[2]}%m{text[2]}%Y")
         if kind == "key":
             return text[:4] + self._by_kind("key", text[4:])
         if kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", text):
-            new = self._digits("secret", text.lower(), 16)
+            new = self._by_kind("secret", text.lower(), (_HEX,))
             return new if text == text.lower() else new.upper()
         if kind == "secret":
             return self._by_kind("secret", text)
         local, _, domain = text.rpartition("@")
         return f"{self._by_kind('email', local)}@{domain}"
 
-    def _by_kind(self, tweak: str, text: str) -> str:
-        """Digits and letters permuted together, each place within its own alphabet."""
-        value, size = 0, 1
-        for c in text:
-            if c in _PLACE:
-                alphabet, i = _PLACE[c]
-                value, size = value + i * size, size * len(alphabet)
-        value, out = self._permuted(tweak, value, size) if size > 1 else 0, []
-        for c in text:
-            if c in _PLACE:
-                alphabet = _PLACE[c][0]
-                out.append(alphabet[value % len(alphabet)])
-                value //= len(alphabet)
-            else:
-                out.append(c)
-        return "".join(out)
-
     def _cards(self, text: str, start: int, end: int) -> list[tuple[int, int, str, str]]:
         """The card numbers among the groups of a run of digits: the whole run,
         then usual groupings, then the longest; none overlapping, in order."""
@@ -269,6 +288,9 @@ class Pseudonyms:
                 new = self.replaced(kind, m[0])
                 while new is None and kind == "iban" and (cut := text.rfind(" ", start, end)) - start - text.count(" ", start, cut) >= 15:
                     end, new = cut, self.replaced(kind, text[start:cut])
+                if new is None and kind == "phone" and not self._cards(text, start + 1, end):
+                    while new is None and (cut := max(text.rfind(c, start, end) for c in " .-")) > start:
+                        end, new = cut, self.replaced(kind, text[start:cut])
             if new is not None:
                 out.append((start, end, kind, new))
                 at = end
@@ -282,10 +304,14 @@ class Pseudonyms:
             return []
         out, at = [], text.find("@")
         while at >= 0:
-            if (left := _LOCAL.search(text[max(0, at - 64) : at])) and (right := _DOMAIN.match(text, at)):
-                start = at - len(left[0])
-                whole = text[start : right.end()]
-                out.append((start, right.end(), "email", self.replaced("email", whole)))
+            if right := _DOMAIN.match(text, at):
+                start = at
+                while start and _LOCAL.match(text[start - 1]):
+                    start -= 1
+                while start < at and not text[start].isalnum():
+                    start += 1
+                if start < at:
+                    out.append((start, right.end(), "email", self.replaced("email", text[start : right.end()])))
             at = text.find("@", at + 1)
         out += self._numbers(text)
         for m in _LABELLED.finditer(text):
@@ -312,6 +338,8 @@ class Pseudonyms:
 def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """One row per document: doc_id, text with pseudonyms, n_found, spans (kind
     and place in the text as it was), and, if asked, the whole row as it was as ``kept``."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
     shared.text_session(docs.sparkSession)
     secret = key.encode()
     more = docs.select(*[shared.kept_row(docs)] * keep)
