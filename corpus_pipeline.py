@@ -7,13 +7,18 @@ all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import decontaminate, entries, jaccard_join, packing, pseudonyms, shared, toxicity
+from weirgate.llm import decontaminate, jaccard_join, packing, pseudonyms, shared, toxicity
 
 #: Near duplicates: shingles of five words, Jaccard similarity of 0.8 or more.
 SHINGLE, SIMILARITY = 5, 0.8
+#: The session setting that holds the key of the pseudonyms.  Without one a run
+#: draws a key of its own, which nobody keeps.
+KEY = "spark.weirgate.pseudonym.key"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +40,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms; n_chars follows the new text."""
-    new = pseudonyms.pseudonymised(docs, entries.DEMO_KEY, keep=True)
+    new = pseudonyms.pseudonymised(docs, spark.conf.get(KEY, None) or secrets.token_hex(32), keep=True)
     changed = {"text": F.col("text"), "n_chars": F.when(F.col("n_found") > 0, F.length("text").cast("long")).otherwise(F.col("kept.n_chars"))}
     return new.select(*(changed.get(c, F.col(f"kept.`{c}`")).alias(c) for c in docs.columns))
 
