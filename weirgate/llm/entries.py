@@ -187,15 +187,16 @@ FROM d LEFT JOIN f USING (payload_digest)
 """
 
 OP8_SQL = """
-WITH rows AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS text,
-    CAST(floor(coalesce(turn, 0) / 256) AS BIGINT) AS chunk FROM conversations),
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+rows AS (
+  SELECT *, (n - 1) // 1024 AS chunk FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, sha256(text)) AS n FROM said)),
 people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM rows WHERE speaker <> 'system'),
 parts AS (
   SELECT r.conv_id, p.perspective, r.chunk, r.speaker = p.perspective AS own,
     '<|im_start|>' || CASE WHEN r.speaker = p.perspective THEN 'assistant' WHEN r.speaker = 'system' THEN 'system'
       ELSE 'user name=' || r.speaker END || chr(10) AS head, r.text || '<|im_end|>' AS body,
-    row_number() OVER (PARTITION BY r.conv_id, p.perspective, r.chunk ORDER BY r.turn NULLS FIRST, r.speaker, r.text) AS place
+    r.n AS place
   FROM rows r JOIN people p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
 placed AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, chunk ORDER BY place
