@@ -8,8 +8,9 @@ language counting ``PROFILE``.
 
 Profiles are learned from at most about ``TRAIN_ROWS`` rows a language (a hash
 of the id decides, by a fraction found from exact counts); every text is scored
-whole.  Letters are classes: a-z, the small letters of Latin-1, and the others
-by code point modulo 67, which keeps n-grams in 22 bits.
+whole.  An n-gram is up to three code points of 21 bits in one 64-bit number, so
+letters of all scripts count as themselves.  Marks that combine with letters
+(vowel signs, accents) belong to the word.
 
 Defined results: ``und`` and score 0 for null texts, texts without a letter, and
 if nothing was learned.  Ties go to the alphabetically first language.  Rows
@@ -19,6 +20,7 @@ each for themselves.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 
 import numpy as np
@@ -33,32 +35,34 @@ from . import shared
 PROFILE = 400
 TRAIN_ROWS = 4000
 
-_CLASSES: list[np.ndarray] = []
+_LETTERS: list[np.ndarray] = []
+_BITS = 21
 
 
-def classes() -> np.ndarray:
-    """Code point -> class: 0 for what is no letter."""
-    if not _CLASSES:
-        table = np.zeros(0x110000, np.uint8)
+def letters() -> np.ndarray:
+    """Code point -> its small letter's code point, a mark's own with the sign reversed, 0 for all else."""
+    if not _LETTERS:
+        table = np.zeros(0x110000, np.int32)
         for cp in range(0x110000):
             c = chr(cp)
             if c.isalpha():
-                low = ord(c.lower()[0])
-                table[cp] = low - 96 if 97 <= low <= 122 else low - 0xDF + 27 if 0xDF <= low <= 0xFF else 60 + low % 67
-        _CLASSES.append(table)
-    return _CLASSES[0]
+                table[cp] = ord(c.lower()[0])
+            elif unicodedata.category(c)[0] == "M":
+                table[cp] = -cp
+        _LETTERS.append(table)
+    return _LETTERS[0]
 
 
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-gram codes of a text, sorted, and how often each occurs."""
-    x = classes()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int32)
-    x = np.concatenate([[0], x, [0]]).astype(np.int32)
+    x = letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    if not (x > 0).any():
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    x = np.abs(np.concatenate([[0], x, [0]])).astype(np.int64)
     x = x[np.concatenate([[True], (x[1:] != 0) | (x[:-1] != 0)])]  # runs of boundaries are one
-    if not x.any():
-        return np.empty(0, np.int32), np.empty(0, np.int64)
     one = x[x > 0]
-    two = x[:-1] * 128 + x[1:] + (1 << 7)
-    three = x[:-2] * 16384 + x[1:-1] * 128 + x[2:] + (1 << 15)
+    two = ((x[:-1] + 1) << _BITS) + x[1:]
+    three = ((((x[:-2] + 1) << _BITS) + x[1:-1]) << _BITS) + x[2:]
     return np.unique(np.concatenate([one, two, three[(x[1:-1] > 0)]]), return_counts=True)
 
 
@@ -75,7 +79,7 @@ class Profiles:
     def __init__(self, by_language: dict[str, list[int]], size: int):
         self.size = size
         self.languages = sorted(by_language)
-        self.codes = np.array(sorted({c for p in by_language.values() for c in p}), np.int32)
+        self.codes = np.array(sorted({c for p in by_language.values() for c in p}), np.int64)
         self.ranks = np.full((len(self.codes) + 1, len(self.languages)), -1, np.int32)
         for j, name in enumerate(self.languages):
             self.ranks[np.searchsorted(self.codes, by_language[name]), j] = np.arange(len(by_language[name]))
@@ -113,9 +117,9 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, size: int
                     total[name] = [_summed(total[name])]
         for name, each in total.items():
             codes, n = _summed(each)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(codes), pa.string()), pa.array(codes, pa.int32()), pa.array(n, pa.int64())], names=["lang", "code", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(codes), pa.string()), pa.array(codes, pa.int64()), pa.array(n, pa.int64())], names=["lang", "code", "n"])
 
-    found = taught.select(F.col(lang_col).cast("string"), text_col).mapInArrow(count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    found = taught.select(F.col(lang_col).cast("string"), text_col).mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     top: dict[str, list[int]] = defaultdict(list)
     for r in found.withColumn("place", place).where(F.col("place") <= size).orderBy("lang", "place").collect():  # size rows a language
