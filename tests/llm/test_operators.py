@@ -5,7 +5,10 @@ import hashlib
 import itertools
 import random
 import re
+import time
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -200,6 +203,71 @@ def test_language_held_out_accuracy_and_edges(spark):
     assert {r.lang_pred for r in language.identify(odd, nothing).collect()} == {"und"}
 
 
+def brute_guess(text, profiles, size):
+    """(language, score) by counting n-grams one by one."""
+    kept, last = [], ""
+    for c in f" {text or ''} ":
+        c = c.lower()[0] if c.isalpha() else c if unicodedata.category(c)[0] == "M" else " "
+        if c != " " or last != " ":
+            kept.append(c)
+        last = c
+    grams = [tuple(kept[i : i + n]) for n in (1, 2, 3) for i in range(len(kept) - n + 1)]
+    grams = [g for g in grams if g != (" ",) and (len(g) < 3 or g[1] != " ")]
+    if not any(c.isalpha() for c in text or "") or not profiles:
+        return "und", 0.0
+    code = {1: lambda g: ord(g[0]), 2: lambda g: ((at(g[0]) + 1) << 21) + at(g[1]), 3: lambda g: ((((at(g[0]) + 1) << 21) + at(g[1])) << 21) + at(g[2])}
+    at = lambda c: 0 if c == " " else ord(c)
+    own = sorted(Counter(code[len(g)](g) for g in grams).items(), key=lambda x: (-x[1], x[0]))[:size]
+    far = {name: sum(abs(i - profile.index(g)) if g in profile else size for i, (g, _) in enumerate(own)) for name, profile in profiles.items()}
+    best = min(sorted(far), key=far.get)
+    return best, 1 - far[best] / (size * len(own))
+
+
+def test_language_equals_brute_force(spark):
+    taught = {"en": "the cat and the hat of the man", "ru": "кошка и шляпа этого человека", "hi": "बिल्ली और टोपी यह आदमी की", "zh": "猫和帽子这个人的", "el": "η γάτα και το καπέλο"}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(sorted(taught.items()) * 8)]
+    docs = spark.createDataFrame([(i, t, lang, 1.0) for i, t, lang in rows], "doc_id long, text string, lang string, score double")
+    profiles = language.learn(docs, "doc_id", "text", "lang", size=60)
+    by_name = {name: [int(profiles.codes[j]) for j in np.argsort(profiles.ranks[:-1, k]) if profiles.ranks[j, k] >= 0] for k, name in enumerate(profiles.languages)}
+    texts = ["the man", "КОШКА человека", "टोपी की", "这个帽子", "το καπέλο", "x1y2 的 и", "", None, "12 !", "\u0301", "aaa aaa", "猫 the и η की" * 50, "\ud83d\ude00"]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs_of(spark, [(i, t) for i, t in enumerate(texts)]), profiles).collect()}
+    for i, t in enumerate(texts):
+        name, score = brute_guess(t, by_name, 60)
+        assert got[i][0] == name and got[i][1] == pytest.approx(score, abs=1e-12), t
+    assert [got[i][0] for i in range(5)] == ["en", "ru", "hi", "zh", "el"]  # scripts do not share letters
+    tie = language.Profiles({"b": by_name["en"], "a": by_name["en"]}, 60)
+    assert tie.guess("the cat")[0] == "a" and language.identify(docs_of(spark, []), profiles).count() == 0
+
+
+def brute_weight(lexicon, text):
+    folded = toxicity.fold(text)
+    at = lambda x: [(i, i + len(x)) for i in range(len(folded)) if folded.startswith(x, i)]
+    free = [s for x in lexicon.exceptions for s in at(x)]
+    total = sum(w for term, w in lexicon.terms.items() for a, b in at(term) if not any(c <= a and b <= d for c, d in free))
+    return total / max(1, folded.count(" ") - 1) ** toxicity.LENGTH_POWER
+
+
+def test_toxicity_query_equals_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    lexicon = toxicity.learn(docs, labels)
+    got = {r.doc_id: r for r in entries.op5_toxicity(spark, "/root/testdata/sf0.01").collect()}
+    assert len(got) == docs.count() and lexicon.terms
+    for r in docs.collect():
+        want = lexicon.score(brute_weight(lexicon, r.text)) if r.text and lexicon.terms else lexicon.score(0.0)
+        assert got[r.doc_id].score == pytest.approx(want, abs=1e-9) and got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.3) and got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+    made = toxicity.Lexicon({" bad ": 2.0, " worse": 1.5, " clown ": 1.0}, (" clown fish ", " not bad ", " bad luck "), 1.0, 0.0)
+    machine, dice = made.machine(), random.Random(5)
+    for _ in range(200):
+        t = " ".join(dice.choice(["bad", "worse", "worsened", "clown", "fish", "not", "luck", "b4d", "fine"]) for _ in range(dice.randrange(30)))
+        assert made.weight(machine, t) == pytest.approx(brute_weight(made, t) if t else 0.0)
+    began = time.perf_counter()
+    made.weight(machine, "not bad bad clown fish " * 50_000)  # linear in matches and exceptions
+    assert time.perf_counter() - began < 20
+    twice = toxicity.scored(docs_of(spark, [(1, "bad"), (1, "bad")]), made).collect()
+    assert len(twice) == 2 and len({r.score for r in twice}) == 1 and toxicity.scored(docs_of(spark, []), made).count() == 0
+    assert toxicity.learn(docs.limit(0), labels).terms == {}
+
+
 def test_toxicity_held_out_accuracy_folding_and_exceptions(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     lexicon = toxicity.learn(docs, labels, exceptions=("clown fish",))
@@ -485,6 +553,13 @@ def test_chat_perspectives(spark, monkeypatch):
     monkeypatch.setattr(chat, "CHUNK", 2)
     parts = [r.text for r in chat.perspectives(df).where("conv_id = 1 and perspective = 'bob'").orderBy("chunk").collect()]
     assert len(parts) == 2 and "".join(parts) == bob.text
+    monkeypatch.undo()
+    sparse = spark.createDataFrame([(7, 1_700_000_000 + 900 * i, "ab"[i % 2], f"t{i}") for i in range(4)] + [(8, i % 5, f"p{i % 3}", f"u{i}" * (i % 7)) for i in range(3000)] + [(9, None, "q", "same")] * 40, "conv_id long, turn long, role string, text string")
+    got = chat.perspectives(sparse).collect()
+    assert [(r.n_turns, r.chunk) for r in got if r.conv_id == 7] == [(4, 0)] * 2  # turn numbers need not be near each other
+    long = {(r.perspective, r.chunk): r.n_turns for r in got if r.conv_id == 8}
+    assert long == {(f"p{p}", c): n for p in range(3) for c, n in enumerate((1024, 1024, 952))}
+    assert [r.n_turns for r in got if r.conv_id == 9] == [40]
     assert chat.perspectives(df.limit(0)).count() == 0
 
 

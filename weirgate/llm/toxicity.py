@@ -5,9 +5,9 @@ look Latin, and digits or signs that stand for letters inside a word; whatever
 is no letter then becomes one space.  Terms are whole words or word beginnings,
 learned with their weights (log odds of documents with label 1 against 0) from
 labelled rows outside the held-out fold, at most about ``TRAIN_ROWS`` of them (a
-hash of the id decides).  A term has to pass a significance test, so that rare
-words of single documents stay out, and of terms that begin alike the most
-telling one is kept.
+hash of the id decides; what is learned is bounded by these rows' words).  A term
+has to pass a significance test, so that rare words of single documents stay
+out, and of terms that begin alike the most telling one is kept.
 
 A text's weight is the sum over matches, less matches covered by an exception
 phrase (given by the caller, or learned: a term with the word before or after it
@@ -27,8 +27,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,8 @@ from pyspark.sql import types as T
 from . import shared
 
 TRAIN_ROWS = 20_000
-LEXICON, EXCEPTIONS = 2000, 500
+#: Clean rows that a learned exception phrase needs.
+SPARED = 5
 STEM = range(4, 9)
 LENGTH_POWER = 0.25
 CUT = 0.3
@@ -121,7 +124,10 @@ class Lexicon:
         if not spans:
             return 0.0
         if free:
-            spans = [s for s in spans if not any(a <= s[0] and s[1] <= b for a, b in free)]
+            free.sort()
+            starts = [a for a, _ in free]
+            reach = list(accumulate((b for _, b in free), max))  # how far phrases that begin up to here go
+            spans = [s for s in spans if not (i := bisect_right(starts, s[0])) or reach[i - 1] < s[1]]
         return sum(w for *_, w in spans) / max(1, folded.count(" ") - 1) ** LENGTH_POWER
 
     def score(self, weight: float) -> float:
@@ -135,7 +141,7 @@ def _training(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (shared.fold_of(id_col) != 2)).groupBy(id_col).agg(F.max(label_col).cast("int").alias("label"))
     n = known.count()
     parts = 1 << 20
-    known = known.where(F.pmod(F.xxhash64(id_col), F.lit(parts)) < -(-parts * rows // max(n, rows))).limit(2 * rows)
+    known = known.where(F.pmod(F.xxhash64(id_col), F.lit(parts)) < -(-parts * rows // max(n, rows)))  # about ``rows`` rows
     texts = docs.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(known), id_col).select(F.col(text_col).alias("text"), "label")
 
     def kind(batches):
@@ -156,18 +162,8 @@ def _features(text: str) -> set[str]:
     return found
 
 
-def _tested(t: np.ndarray, c: np.ndarray, toxic: int, clean: int) -> np.ndarray:
-    """The likelihood-ratio statistic of terms that lean to label 1."""
-    n, p = t + c, toxic / (toxic + clean)
-
-    def part(x, expected):
-        return np.where(x > 0, x * np.log(np.maximum(x, 1) / np.maximum(expected, 1e-9)), 0)
-
-    return np.where(t > n * p, 2 * (part(t, n * p) + part(c, n * (1 - p))), 0)
-
-
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS, exceptions: tuple[str, ...] = ()) -> Lexicon:
-    """A lexicon from labelled rows outside the held-out fold."""
+    """A lexicon from labelled rows outside the held-out fold, about ``rows`` of them."""
     shared.text_session(docs.sparkSession)
     taught = shared.durable(_training(docs, labels, id_col, text_col, label_col, rows), "labelled")
     kinds = {r.label: r["count"] for r in taught.groupBy("label").count().collect()}
@@ -194,17 +190,19 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     terms = shared.durable(counted.where((F.col("t") >= 3) & (F.col("t") * (1 - p) > 4 * p * F.col("c"))), "terms")
     # an expected number of chance finds far below one among the terms tested
     bar = 2 * math.log(max(10, terms.count())) + 12
-    got = terms.orderBy(F.desc(F.col("t") - F.col("c")), "term").limit(20 * LEXICON).toPandas()
-    got["g"] = _tested(got.t.to_numpy(float), got.c.to_numpy(float), toxic, clean)
-    got = got[got.g >= bar]
+    p_term = (F.col("t") + F.col("c")) * p
+    telling = F.col("t") * F.log(F.col("t") / p_term) + F.coalesce(F.col("c") * F.log(F.nullif(F.col("c"), F.lit(0)) / ((F.col("t") + F.col("c")) * (1 - p))), F.lit(0.0))
+    got = terms.withColumn("g", F.round(2 * telling, 9)).where(F.col("g") >= bar).toPandas()  # terms of the bounded rows that pass the test
     got["n"] = got.term.str.len()
     chosen: dict[str, float] = {}
+    stems: set[str] = set()
+    begun: set[str] = set()  # beginnings of chosen stems
     for r in got.sort_values(["g", "n", "term"], ascending=[False, False, True]).itertuples():
-        if len(chosen) == LEXICON:
-            break
         stem = r.term.rstrip(" ")
-        if not any(stem.startswith(x.rstrip(" ")) or x.rstrip(" ").startswith(stem) for x in chosen):
+        if stem not in begun and not any(stem[:i] in stems for i in range(2, len(stem) + 1)):
             chosen[r.term] = math.log((r.t + 0.5) / (toxic + 1)) - math.log((r.c + 0.5) / (clean + 1))
+            stems.add(stem)
+            begun.update(stem[:i] for i in range(2, len(stem) + 1))
     lexicon = Lexicon(chosen, tuple(sorted(fold(x) for x in exceptions)))
     if not chosen:
         return lexicon
@@ -230,7 +228,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         yield flush(seen)
 
     around = taught.mapInArrow(contexts, "term string, t long, c long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    spared = around.where("t = 0 and c >= 5").orderBy(F.desc("c"), "term").limit(EXCEPTIONS)
+    spared = around.where((F.col("t") == 0) & (F.col("c") >= SPARED))
     lexicon.exceptions = tuple(sorted({*lexicon.exceptions, *(r.term for r in spared.collect())}))
 
     def weigh(batches):
@@ -239,7 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             w = [round(lexicon.weight(machine, x), 2) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(w, pa.float64()), batch.column(1)], names=["weight", "label"])
 
-    weights = taught.mapInArrow(weigh, "weight double, label int").groupBy("weight", "label").count().limit(2 * rows).toPandas()
+    weights = taught.mapInArrow(weigh, "weight double, label int").groupBy("weight", "label").count().toPandas()
     lexicon.slope, lexicon.offset = _logistic(weights["weight"].to_numpy(), (weights["label"] == 1).to_numpy(float), weights["count"].to_numpy(float))
     return lexicon
 
@@ -264,7 +262,7 @@ def scored(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col:
     """One row per document: doc_id, held_out, score, predicted and, if asked, the whole row as ``kept``."""
     shared.text_session(docs.sparkSession)
     more = docs.select(*[shared.kept_row(docs)] * keep)
-    known = docs.sparkSession.sparkContext.broadcast(lexicon)  # LEXICON + EXCEPTIONS phrases at most
+    known = docs.sparkSession.sparkContext.broadcast(lexicon)  # bounded by the words of the rows learned from
 
     def score(batches):
         machine, of = known.value.machine(), known.value
