@@ -21,13 +21,13 @@ def rows(spark, name, sf_dir=SF):
     return Counter(map(tuple, __spark_entry__.queries()[name](spark, sf_dir).collect()))
 
 
-def test_csv_tokenize_whole_keeps_long_fields(spark, tmp_path):
+def test_csv_tokenize_keeps_long_fields(spark, tmp_path):
     texts = ["x" * 59 + '",", "" and\nmore', '"', "", "a,b\r\n" * 40_000, '""' * 50_000 + "end"]
     spark.createDataFrame([(i, 0, "user", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    got = __spark_entry__.queries()["csv_tokenize_whole"](spark, str(tmp_path)).collect()
+    got = __spark_entry__.queries()["csv_tokenize"](spark, str(tmp_path)).collect()
     assert sorted((r.conv_id, r.fields, r.role, r.body) for r in got) == [(i, 3, "user", t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("name", ["csv_tokenize_whole", "state_merge_whole", "quarantine_reasons_whole"])
+@pytest.mark.parametrize("name", ["csv_tokenize", "state_merge", "quarantine_reasons"])
 def test_whole_tables_equal_sql(spark, name):
     assert rows(spark, name) == by_sql(name)

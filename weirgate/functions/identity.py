@@ -9,7 +9,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Fixed value: the namespace of batch ids (the DNS namespace of RFC 4122).
+#: Fixed value: the namespace of batch ids (the URL namespace of RFC 4122).
 BATCH_NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 

@@ -14,7 +14,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..contract import INTERNAL_PREFIX, DeclaredColumn, RawContract
+from ..contract import INTERNAL_PREFIX, ContractError, DeclaredColumn, RawContract
 from ..functions.casts import full_match, typed
 
 FAILURES = f"{INTERNAL_PREFIX}failures"
@@ -152,7 +152,7 @@ class Counts:
 
     def demand(self, stage: str) -> Counts:
         if not self.holds():
-            raise ValueError(f"{stage}: {self.candidate} candidate rows are not {self.admitted} admitted + {self.refused} refused")
+            raise ContractError(f"{stage}: {self.candidate} candidate rows are not {self.admitted} admitted + {self.refused} refused")
         return self
 
 
@@ -171,8 +171,6 @@ def structural_faults(facts: DataFrame, domain_id: str, expected: tuple[str, ...
 def probe(contract: RawContract, spark) -> None:
     """One row that runs every pattern, format and temporal bound of a contract
     in the engine, so that a contract which cannot run fails when it is bound."""
-    from ..contract import ContractError
-
     tests: dict[str, Column] = {}
     for c in contract.columns:
         if c.pattern is not None:

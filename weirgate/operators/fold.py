@@ -30,14 +30,17 @@ def winners(facts: DataFrame, domain_id: str, order: tuple[str, ...] = DEFAULT_O
     return best.select("w.*")
 
 
-def merged(state: DataFrame, source: DataFrame, domain_id: str, order: tuple[str, ...] = DEFAULT_ORDER) -> DataFrame:
+def merged(state: DataFrame, source: DataFrame, domain_id: str, order: tuple[str, ...] = DEFAULT_ORDER, change: str | None = None) -> DataFrame:
     """``state`` after ``source`` (one row a domain id): a source row replaces a
-    state row only with a strictly greater ordering tuple, new ids are added."""
+    state row only with a strictly greater ordering tuple, new ids are added.
+    ``change`` names a column that says inserted, updated or kept."""
     keep = F.struct(*(F.col(f"`{c}`") for c in state.columns))
     s = state.select(F.col(domain_id).alias("id"), keep.alias("s"), F.struct(*(F.col(c) for c in order)).alias("so"))
     w = source.select(F.col(domain_id).alias("id"), keep.alias("w"), F.struct(*(F.col(c) for c in order)).alias("wo"))
-    take = F.col("s").isNull() | (F.col("w").isNotNull() & (F.col("wo") > F.col("so")))
-    return s.join(w, "id", "full_outer").select(F.when(take, F.col("w")).otherwise(F.col("s")).alias("r")).select("r.*")
+    newer = F.col("w").isNotNull() & (F.col("wo") > F.col("so"))
+    what = F.when(F.col("s").isNull(), F.lit("inserted")).when(newer, F.lit("updated")).otherwise(F.lit("kept"))
+    rows = s.join(w, "id", "full_outer").select(F.when(F.col("s").isNull() | newer, F.col("w")).otherwise(F.col("s")).alias("r"), *([what.alias(change)] if change else []))
+    return rows.select("r.*", *([change] if change else []))
 
 
 def repeated_keys(source: DataFrame, domain_id: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""From observed objects to ledger rows: registration, non-deliveries, sweeps and the run router.
+"""From observed objects to ledger rows: pulls, registration, non-deliveries, sweeps and the run router.
 
 Decisions are values (`Plan`), made without side effects and then carried out in
 one order: copies, ledger rows, event, completion of the claim.
@@ -10,6 +10,7 @@ import dataclasses
 import datetime
 import json
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -20,10 +21,13 @@ from ..contract import utc_now
 from ..functions import identity
 from ..operators import decisions, ledger
 from ..sinks import events
+from ..sources import objects
 from ..sources.tables import Table
 
 #: Fixed value: how far back a pull looks for what it has seen.
 LOOKBACK_DAYS = 45
+#: Seconds after which a pull leaves the rest to the next run.
+RUN_S = 600
 PAYLOAD_BYTES = 8192
 
 
@@ -120,7 +124,7 @@ class Registrar:
 
     def __init__(self, spark: SparkSession, table: Table, claims: events.Claims, emit: Callable[[str, dict], None], copy: Callable[[str, str], None] | None = None):
         self.spark, self.table, self.claims, self.emit = spark, table, claims, emit
-        self.copy = copy or (lambda *_: None)
+        self.copy = copy or (lambda source, target: objects.copied(spark, source, target))
         table.create(spark.createDataFrame([], ledger.SCHEMA).schema)
 
     def frame(self, rows: Iterable[dict]) -> DataFrame:
@@ -164,6 +168,13 @@ class Registrar:
         self.execute(plan, "")
         return plan
 
+    def stuck(self, now: float | None = None) -> list[dict]:
+        """Emits an event for each claim that was left open."""
+        found = self.claims.stuck(now)
+        for c in found:
+            self.emit("claim-stuck", {"schema_version": 1, **{k: c[k] for k in ("feed_id", "batch_id", "owner")}, "claimed_at": events.instant(datetime.datetime.fromtimestamp(c["claimed_at"], datetime.UTC))})
+        return found
+
     def reconcile(self, at: datetime.datetime | None = None) -> int:
         """Supersedes all but the newest of live duplicates; how many."""
         found = ledger.superseding_rows(ledger.reconciliation(self.table.read()[0]), F.lit(at or utc_now()).cast("timestamp"))
@@ -184,6 +195,107 @@ class Registrar:
         return told
 
 
+# -- pulls
+
+
+@dataclasses.dataclass(frozen=True)
+class Feed:
+    """What a pull looks for and how it tells that a delivery is complete."""
+
+    feed_id: str
+    pipeline: str
+    glob: str = "*"
+    mode: str = "none"
+    trailer: str | None = None
+    count_group: int | None = None
+    quiet_minutes: int | None = None
+
+    def __post_init__(self) -> None:
+        if self.mode not in ("none", "trailer", "manifest") or (self.mode == "trailer") != (self.trailer is not None):
+            raise ValueError("mode is none, trailer (with a pattern) or manifest")
+
+
+@dataclasses.dataclass(frozen=True)
+class Pulled:
+    plans: tuple[Plan, ...]
+    carried: int
+
+
+def pull(reg: Registrar, feed: Feed, folder: str, stage: str, now: datetime.datetime | None = None, budget: int = decisions.RUN_BYTES, seconds: float = RUN_S, force: bool = False, clock: Callable[[], float] = time.monotonic, run_id: str = "") -> Pulled:
+    """Registers what a folder holds and the ledger does not know, oldest first.
+
+    What exceeds the budget of bytes or time is carried over: it is not in the
+    ledger, so the next run finds it.  In manifest mode the glob names the manifests,
+    and those seen defective are looked at again."""
+    spark, began, now = reg.spark, clock(), now or utc_now()
+    run_id = run_id or uuid.uuid4().hex
+    known = reg.feed(feed.feed_id, now - datetime.timedelta(days=LOOKBACK_DAYS))
+    seen = ledger.acquired(known) if feed.mode == "manifest" else ledger.acquired(known).unionByName(ledger.defective(known))
+    listing = objects.listing(spark, folder).withColumn("feed_id", F.lit(feed.feed_id))
+    found = decisions.candidates(listing, seen, feed.glob, decisions.utc(now), feed.quiet_minutes, force)
+    todo = decisions.budget_prefix(found, budget).orderBy("mtime", "name").collect()  # names of one run, bounded by its budget
+    plans: list[Plan] = []
+    for at, item in enumerate(todo):
+        if clock() - began > seconds:
+            return Pulled(tuple(plans), found.count() - at)
+        look = _by_manifest if feed.mode == "manifest" else _alone
+        plans.append(look(reg, feed, item, listing, stage, now, run_id))
+    return Pulled(tuple(plans), found.count() - len(todo))
+
+
+def _request(feed: Feed, key: str, now: datetime.datetime, found: list[Observed], stage: str, **more) -> Request:
+    delivery = uuid.uuid4().hex
+    prefix = f"{stage.rstrip('/')}/{feed.feed_id}/received_at={now.astimezone(datetime.UTC):%Y%m%dT%H%M%S%fZ}/dl-{delivery}/"
+    return Request(feed.feed_id, feed.pipeline, delivery, key, now, tuple(dataclasses.replace(o, uri=prefix + o.name) for o in found), "pull", completeness_mode=feed.mode, **more)
+
+
+def _alone(reg: Registrar, feed: Feed, item, listing: DataFrame, stage: str, now: datetime.datetime, run_id: str) -> Plan:
+    """An object that is a delivery by itself."""
+    told = objects.digests(reg.spark, [item.uri])
+    if feed.trailer is not None:
+        told = told.withColumn("v", decisions.trailer_verdict(F.col("tail"), feed.trailer, feed.count_group))
+    told = told.drop("tail").first()
+    verdict, count = (told.v.verdict, told.v.asserted_record_count) if feed.trailer is not None else ("complete", None)
+    r = _request(feed, item.name, now, [Observed(item.name, told.bytes, told.sha256, source=item.uri)], stage, run_id=run_id, asserted_record_count=count)
+    if verdict == "complete":
+        return reg.register(r, now)
+    return reg.nondelivery(r, "incomplete" if verdict == "incomplete" else "unreadable", now)
+
+
+def _by_manifest(reg: Registrar, feed: Feed, item, listing: DataFrame, stage: str, now: datetime.datetime, run_id: str) -> Plan:
+    """A manifest and the objects that it declares."""
+    spark = reg.spark
+    own = Observed(item.name, item.bytes, None, "manifest", item.uri)
+    text = spark.read.format("binaryFile").load(item.uri).where(F.col("length") <= objects.MANIFEST_BYTES).select(F.decode("content", "UTF-8").alias("t"), F.sha2("content", 256).alias("sha")).first()
+    told = spark.createDataFrame([(text.t if text else None,)], "t string").select(objects.parse_manifests(F.col("t")).alias("m")).first().m
+    if told.fault is not None:
+        fault = told.fault if text else "too-large"
+        return reg.nondelivery(_request(feed, item.name, now, [own], stage, run_id=run_id, notes=fault), "unreadable", now)
+    own = dataclasses.replace(own, sha256=text.sha)
+    m = told.manifest
+    declared = spark.createDataFrame([(m.manifest_id, m.feed_id, i, f.name, f.bytes, f.sha256, f.record_count) for i, f in enumerate(m.files)], "manifest_id string, feed_id string, place int, name string, bytes long, sha256 string, record_count long")
+    here = listing.join(declared.select("name").distinct(), "name").select("name", "bytes", "uri").collect()  # at most `objects.MANIFEST_FILES`
+    shas = {r.uri: r.sha256 for r in objects.digests(spark, [h.uri for h in here]).select("uri", "sha256").collect()} if here else {}
+    observed = spark.createDataFrame([(m.feed_id, h.name, h.bytes, shas[h.uri]) for h in here], "feed_id string, name string, bytes long, sha256 string")
+    verdict = decisions.manifest_verdicts(declared, observed, F.lit(feed.feed_id)).first()
+    r = _request(feed, m.manifest_id, now, [*(Observed(h.name, h.bytes, shas[h.uri], source=h.uri) for h in here), own], stage, run_id=run_id, asserted_record_count=verdict.asserted_record_count, notes=verdict.reason)
+    if verdict.verdict == "complete":
+        return reg.register(r, now)
+    return reg.nondelivery(r, "incomplete" if verdict.verdict == "incomplete" else "unreadable", now)
+
+
+def push(reg: Registrar, feed: Feed, uri: str, stage: str, now: datetime.datetime | None = None, run_id: str = "") -> Plan:
+    """One object that a store announces."""
+    now = now or utc_now()
+    folder, _, name = uri.rpartition("/")
+    found = objects.listing(reg.spark, folder).where(F.col("name") == name)
+    item = found.first()
+    if item is None:
+        raise FileNotFoundError("the announced object is not there")
+    look = _by_manifest if feed.mode == "manifest" else _alone
+    return look(reg, feed, item, objects.listing(reg.spark, folder), stage, now, run_id or uuid.uuid4().hex)
+
+
 # -- the router of batch runs
 
 

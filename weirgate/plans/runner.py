@@ -21,17 +21,22 @@ from pyspark.sql import types as T
 from ..contract import ContractError, PipelineSpec, check_version, read_spec_version, utc_now
 from ..operators import checks, fold, quarantine, subtract
 from ..operators.lineage import Lineage, stamp
+from ..session import durable as stored
 from ..sinks import events
 from ..sources import delimited
 from ..sources.tables import Table, merge, plan_ddl
 
 RUN_COLUMNS = (
-    "batch_id string", "pipeline string", "feed_id string", "attempt_id string", "sfn_retry_count int", "sfn_redrive_count int", "stage string", "outcome string", "started_at timestamp",
+    "batch_id string", "pipeline string", "feed_id string", "attempt_id string", "retry_count int", "redrive_count int", "stage string", "outcome string", "started_at timestamp",
     "finished_at timestamp", "rows_in bigint", "raw_count bigint", "pre_quarantined bigint", "post_quarantined bigint", "facts_appended bigint", "rows_merged bigint", "snapshot_id bigint",
     "state_read_snapshot_id bigint", "co_effect_snapshot_ids map<string,bigint>", "merge_summary map<string,string>", "error_type string", "error_message string", "recorded_at timestamp",
 )
 
 
+#: Buckets of a state table: a merge rewrites those that its batch touches.
+STATE_BUCKETS = 64
+
+
 @dataclasses.dataclass(frozen=True)
 class Pipeline:
     """A specification and the pure functions of its author."""
@@ -54,9 +59,9 @@ class Stores:
     emit: Callable[[str, dict], None]
 
     @staticmethod
-    def at(spark: SparkSession, root: str, emit: Callable[[str, dict], None] | None = None) -> Stores:
+    def at(spark: SparkSession, root: str, emit: Callable[[str, dict], None] | None = None, domain_id: str = "domain_id", buckets: int = STATE_BUCKETS) -> Stores:
         table = lambda name, *by: Table(spark, f"{root}/{name}", by)
-        return Stores(table("raw", "batch_id"), table("quarantine", "batch_id"), table("facts", "batch_id"), table("state"), table("runs"), emit or (lambda *_: None))
+        return Stores(table("raw", "batch_id"), table("quarantine", "batch_id"), table("facts", "batch_id"), Table(spark, f"{root}/state", buckets=(domain_id, buckets)), table("runs"), emit or (lambda *_: None))
 
 
 @dataclasses.dataclass(frozen=True)
@@ -153,12 +158,16 @@ def pull(spark: SparkSession, b: Batch, s: Stores) -> Batch:
 
 
 def apply(spark: SparkSession, b: Batch, s: Stores) -> Batch:
-    return b.plus(candidate=b.pipeline.apply(b.valid, b.co_effects))
+    """The author's rows, written once: checks, subtraction and commit all see the same ones."""
+    return b.plus(candidate=stored(b.pipeline.apply(b.valid, b.co_effects), "candidate"))
 
 
 def post_check(spark: SparkSession, b: Batch, s: Stores) -> Batch:
     spec, batch, candidate = b.pipeline.spec, b.lineage.batch_id, b.candidate
-    refused = b.pipeline.post_check(candidate, b.co_effects) if b.pipeline.post_check else candidate.limit(0).withColumn("reason", F.lit(None).cast("string"))
+    if b.pipeline.post_check:
+        refused = stored(b.pipeline.post_check(candidate, b.co_effects), "refused")
+    else:
+        refused = spark.createDataFrame([], T.StructType([*candidate.schema.fields, T.StructField("reason", T.StringType())]))
     if s.quarantine.has_batch(batch, check_stage="post_check"):
         durable = s.quarantine.batch(batch, check_stage="post_check")
         hashed = quarantine.candidate_hashes(candidate, "_weirgate_hash")
@@ -170,7 +179,7 @@ def post_check(spark: SparkSession, b: Batch, s: Stores) -> Batch:
         n = refused.count()
         return b.plus(admitted=candidate, post_quarantined=0, post_drift=f"drift: recomputed={n} durable=0" if n else None)
     if not (bad := quarantine.bad_reasons(refused)).isEmpty():
-        raise ValueError(f"post_check: {bad.count()} rows have a reason outside business/...")
+        raise ContractError(f"post_check: {bad.count()} rows have a reason outside business/...")
     n = refused.count()
     if not n:
         return b.plus(admitted=candidate, post_quarantined=0)
@@ -186,7 +195,7 @@ def commit(spark: SparkSession, b: Batch, s: Stores) -> Batch:
     facts = stamp(b.admitted, dataclasses.replace(b.lineage, source_uri=None))
     have = s.facts.schema()
     if faults := checks.structural_faults(facts, b.pipeline.spec.domain_id, tuple(have.fieldNames()) if have else None):
-        raise ValueError("commit: " + "; ".join(faults))
+        raise ContractError("commit: " + "; ".join(faults))
     if have is None:
         s.facts.create(facts.schema)
     done = s.facts.append_if_absent(facts, batch, stage="commit")
@@ -204,7 +213,7 @@ def fold_stage(spark: SparkSession, b: Batch, s: Stores) -> Batch:
         source = b.pipeline.fold(subtract.touched_slice(state, b.facts, spec.domain_id), b.facts)
     else:
         source = fold.winners(b.facts, spec.domain_id, spec.fold_order)
-    version, summary = merge(s.state, source, spec.domain_id, spec.fold_order, batch_id=b.lineage.batch_id, stage="fold")
+    version, summary = merge(s.state, source, spec.domain_id, spec.fold_order, unique=b.pipeline.fold is None, batch_id=b.lineage.batch_id, stage="fold")
     return b.plus(state_read=at, state_version=version, merge_summary=summary)
 
 
@@ -232,8 +241,9 @@ TOLD = {
 
 
 def safe_message(error: BaseException) -> str:
-    """A message without row values: contract faults by their first line, others by where they arose."""
-    if isinstance(error, (ContractError, ValueError)) and type(error).__module__.startswith(("builtins", "weirgate")):
+    """A message without row values: contract faults by their first line, others,
+    whose text may quote a cell, by where they arose."""
+    if isinstance(error, ContractError):
         return f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"[:256]
     tb = error.__traceback__
     while tb is not None and tb.tb_next is not None:
@@ -244,7 +254,7 @@ def safe_message(error: BaseException) -> str:
 def run_fact(stage: str, before: Batch, after: Batch | None, began: datetime.datetime, error: BaseException | None, retry: int = 0, redrive: int = 0) -> dict:
     b = after or before
     row = {c.split()[0]: None for c in RUN_COLUMNS} | {
-        "batch_id": b.lineage.batch_id, "pipeline": b.pipeline.spec.name, "feed_id": b.lineage.feed_id, "attempt_id": b.attempt_id, "sfn_retry_count": retry, "sfn_redrive_count": redrive,
+        "batch_id": b.lineage.batch_id, "pipeline": b.pipeline.spec.name, "feed_id": b.lineage.feed_id, "attempt_id": b.attempt_id, "retry_count": retry, "redrive_count": redrive,
         "stage": stage, "started_at": began, "finished_at": utc_now(), "recorded_at": utc_now(),
     }
     if error is not None:

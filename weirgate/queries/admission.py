@@ -11,6 +11,7 @@ from ..contract import ColumnType, DeclaredColumn, RawContract
 from ..functions import canonical, casts
 from ..functions import text as X
 from ..operators import checks, lineage, quarantine, subtract
+from ..session import durable
 
 NOW = datetime.datetime(2026, 1, 1, tzinfo=datetime.UTC)
 LINEAGE = lineage.Lineage("b-1", "d-1", "feed/lineitem", NOW)
@@ -79,8 +80,13 @@ def raw_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows as a stored table, which is what checks see in the lane."""
+    return durable(raw_lineitem(spark, sf_dir), "raw")
+
+
 def _raw(spark, sf_dir):
-    return raw_lineitem(spark, sf_dir), checks.compile_contract(CONTRACT)
+    return landed(spark, sf_dir), checks.compile_contract(CONTRACT)
 
 
 def admission_valid(spark, sf_dir):
@@ -100,10 +106,6 @@ def admission_counts(spark, sf_dir):
     return checks.counts(*_raw(spark, sf_dir))
 
 
-def structural_check(spark, sf_dir):
-    return raw_lineitem(spark, sf_dir).agg(F.count_if(F.col("domain_id").isNull()).alias("null_domain_ids"), F.count_distinct("domain_id").alias("domains"))
-
-
 def encoding_suspect(spark, sf_dir):
     return checks.violations(*_raw(spark, sf_dir)).where("reason_code = 'unreadable/encoding-suspect'").select("row_index", "reason_detail")
 
@@ -174,12 +176,12 @@ def hash_subtract(spark, sf_dir):
 
 
 def locator_subtract(spark, sf_dir):
-    raw = raw_lineitem(spark, sf_dir)
+    raw = landed(spark, sf_dir)
     return subtract.locator_subtract(raw, raw.where("quantity = 'garbage'")).groupBy("source_uri").agg(F.count(F.lit(1)).alias("n"), F.sum("row_index").alias("rows"))
 
 
 def drift_probe(spark, sf_dir):
-    raw, compiled = raw_lineitem(spark, sf_dir), checks.compile_contract(CONTRACT)
+    raw, compiled = _raw(spark, sf_dir)
     refused = checks.violations(raw, compiled)
     durable = raw.where("row_index % 3 = 0")
     left = subtract.locator_subtract(raw, durable).where(checks.any_cast_failure(compiled))
@@ -196,7 +198,7 @@ def quarantine_pre(spark, sf_dir):
 
 
 def quarantine_post(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("domain_id"), "o_orderkey", F.lit("business/pending").alias("reason"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("domain_id"), "o_orderkey", F.concat(F.lit("business/status-"), F.lower("o_orderstatus")).alias("reason"))
     return quarantine.post_check(rows, LINEAGE, "cv", NOW, "domain_id").select("domain_id", "check_stage", "reason_code", "row_hash", "row_snapshot", F.col("object_seq").isNull().alias("no_locator"))
 
 
@@ -216,22 +218,14 @@ def canonical_temporal(spark, sf_dir):
     return rows.select("o_orderkey", canonical.row_snapshot(rows).alias("snapshot"))
 
 
-def _tokenised(spark, sf_dir, text):
-    line = F.concat_ws(",", F.col("conv_id").cast("string"), "role", F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')))
+def csv_tokenize(spark, sf_dir):
+    """Whole texts as quoted fields, line breaks included."""
+    line = F.concat_ws(",", F.col("conv_id").cast("string"), "role", F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"')))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", line.alias("line"))
     t = X.tokens(F.col("line"))
     return rows.select("conv_id", "turn", F.size(t).alias("fields"), F.get(t, F.lit(1)).alias("role"), F.get(t, F.lit(2)).alias("body"))
 
 
-def csv_tokenize(spark, sf_dir):
-    return _tokenised(spark, sf_dir, F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), 1, 60))
-
-
-def csv_tokenize_whole(spark, sf_dir):
-    """Whole texts, line breaks included; csv_tokenize has the 60 characters that its SQL has."""
-    return _tokenised(spark, sf_dir, F.col("text"))
-
-
 def csv_malformed(spark, sf_dir):
     n = F.col("event_id") % 6
     line = F.when(n == 0, F.lit('a,"open')).when(n == 1, F.lit('a,"x"y')).when(n == 2, F.lit('a,"x ""y"" z",')).when(n == 3, F.lit("")).when(n == 4, F.concat(F.lit('a,b"c,'), "event_type")).otherwise(F.lit("a,,"))
@@ -241,10 +235,10 @@ def csv_malformed(spark, sf_dir):
 
 
 QUERIES = [
-    admission_valid, admission_violations, admission_reason_detail, admission_counts, structural_check, encoding_suspect, pattern_fullmatch, allowed_values, bounds,
+    admission_valid, admission_violations, admission_reason_detail, admission_counts, encoding_suspect, pattern_fullmatch, allowed_values, bounds,
     _cast("cast_int", "int", _int_text), _cast("cast_decimal", "decimal(5,2)", _decimal_text), _cast("cast_bool", "bool", _bool_text), _cast("cast_date", "date(yyyy-MM-dd)", _date_text),
     lineage_stamp, bag_subtract, hash_subtract, locator_subtract, drift_probe, touched_state_slice, quarantine_pre, quarantine_post, business_reasons, canonical_json_hash, canonical_temporal,
-    csv_tokenize, csv_tokenize_whole, csv_malformed,
+    csv_tokenize, csv_malformed,
 ]
 
 _DETAIL = """'[' || array_to_string(list_transform({f}, lambda x: '{{"code":"' || x.code || '",' || CASE WHEN x.col IS NULL THEN '' ELSE '"column":"' || x.col || '",' END || '"expected":"' || x.expected || '"}}'), ',') || ']'"""
@@ -271,7 +265,6 @@ SQL = {
     "admission_violations": _W + "SELECT f[1].code AS reason_code, count(*) AS n, min(row_index) AS first_row FROM seen WHERE len(f) > 0 GROUP BY 1",
     "admission_reason_detail": _W + f"SELECT row_index, f[1].code AS reason_code, {_DETAIL.format(f='f')} AS reason_detail FROM seen WHERE len(f) > 0",
     "admission_counts": _W + "SELECT count(*) AS candidate, count_if(len(f) = 0) AS admitted, count_if(len(f) > 0) AS refused FROM seen",
-    "structural_check": _W + "SELECT count_if(domain_id IS NULL) AS null_domain_ids, count(DISTINCT domain_id) AS domains FROM seen",
     "encoding_suspect": _W + f"SELECT row_index, {_DETAIL.format(f='f')} AS reason_detail FROM seen WHERE f[1].code = 'unreadable/encoding-suspect'",
     "pattern_fullmatch": "SELECT p_partkey, regexp_full_match(p_brand, 'Brand#[1-3][0-9]?') AS brand_ok, false AS with_line_end FROM part",
     "allowed_values": f"""
@@ -313,8 +306,8 @@ FROM d FULL JOIN v ON d.row_index = v.row_index""",
     "touched_state_slice": "SELECT c_custkey AS domain, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 100000)",
     "quarantine_pre": _W + f"""SELECT row_index, 'pre_check' AS check_stage, f[1].code AS reason_code, CAST(NULL AS VARCHAR) AS domain_id, sha256({_SNAP}) AS row_hash, {_SNAP} AS row_snapshot FROM seen WHERE len(f) > 0""",
     "quarantine_post": """
-WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS domain_id, '{"domain_id":' || o_custkey || ',"o_orderkey":' || o_orderkey || '}' AS s FROM orders WHERE o_orderstatus = 'P')
-SELECT domain_id, 'post_check' AS check_stage, 'business/pending' AS reason_code, sha256(s) AS row_hash, s AS row_snapshot, true AS no_locator FROM r""",
+WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS domain_id, '{"domain_id":' || o_custkey || ',"o_orderkey":' || o_orderkey || '}' AS s, 'business/status-' || lower(o_orderstatus) AS c FROM orders)
+SELECT domain_id, 'post_check' AS check_stage, c AS reason_code, sha256(s) AS row_hash, s AS row_snapshot, true AS no_locator FROM r""",
     "business_reasons": """
 SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'business/' || event_type WHEN event_id % 3 = 1 THEN 'Business/x' ELSE 'none' END AS reason FROM events
 WHERE event_id % 3 > 0 OR NOT regexp_full_match('business/' || event_type, 'business/[a-z0-9][a-z0-9-]*')""",
@@ -323,7 +316,6 @@ WITH r AS (SELECT c_custkey, '{"balance":"' || CAST(CAST(c_acctbal AS DECIMAL(12
   || CASE WHEN c_custkey % 2 = 0 THEN '"q' || chr(92) || '"' || chr(92) || 't' || chr(92) || chr(92) || c_mktsegment || '"' ELSE 'null' END || '}' AS s FROM customer)
 SELECT c_custkey, s AS snapshot, sha256(s) AS row_hash FROM r""",
     "canonical_temporal": """SELECT o_orderkey, '{"at":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') || '","day":"' || strftime(o_orderdate, '%Y-%m-%d') || '","m":{"a":null,"z":"' || o_orderstatus || '"},"o_orderkey":' || o_orderkey || '}' AS snapshot FROM orders""",
-    "csv_tokenize": """SELECT conv_id, turn, 3 AS fields, role, substr(replace(text, chr(10), ' '), 1, 60) AS body FROM conversations""",
-    "csv_tokenize_whole": """SELECT conv_id, turn, 3 AS fields, role, text AS body FROM conversations""",
+    "csv_tokenize": """SELECT conv_id, turn, 3 AS fields, role, text AS body FROM conversations""",
     "csv_malformed": """SELECT event_id, event_id % 6 NOT IN (0, 1) AS ok, CASE event_id % 6 WHEN 0 THEN -1 WHEN 1 THEN -1 WHEN 2 THEN 3 WHEN 3 THEN 0 ELSE 3 END AS fields FROM events""",
 }

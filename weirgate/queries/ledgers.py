@@ -42,6 +42,12 @@ latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY delivery_id
 reg AS (SELECT * FROM latest WHERE disposition = 'registered')
 """
 
+#: The questions about the last 30 days are asked here, in the middle of the events' month plus 30 days.
+def _now():
+    return F.lit("2024-02-15 12:00:00").cast("timestamp")
+
+
+_RECENT = "TIMESTAMP '2024-01-16 12:00:00'"
 _STAGES = ("land", "pre_check", "commit", "fold")
 
 
@@ -82,18 +88,11 @@ def _orders(spark, sf_dir):
 _ORDER = ("o_orderdate", "o_totalprice", "o_orderkey")
 
 
-def _merged(o, first, second):
-    state = fold.winners(o.where(first), "o_custkey", _ORDER)
-    return fold.fold(state, o.where(second), "o_custkey", _ORDER).withColumns(_text("o_orderdate"))
-
-
 def state_merge(spark, sf_dir):
-    return _merged(_orders(spark, sf_dir), "o_orderkey % 3 = 0", "o_orderkey % 3 = 1")
-
-
-def state_merge_whole(spark, sf_dir):
-    """State and delta are the whole table; state_merge has the two thirds that its SQL has."""
-    return _merged(_orders(spark, sf_dir), "o_orderkey % 3 = 0", "o_orderkey % 3 <> 0")
+    """State from a third of the orders, delta from all others."""
+    o = _orders(spark, sf_dir)
+    state = fold.winners(o.where("o_orderkey % 3 = 0"), "o_custkey", _ORDER)
+    return fold.fold(state, o.where("o_orderkey % 3 <> 0"), "o_custkey", _ORDER).withColumns(_text("o_orderdate"))
 
 
 def merge_noop(spark, sf_dir):
@@ -211,7 +210,7 @@ def overdue_dates(spark, sf_dir):
 
 
 def duplicate_rate(spark, sf_dir):
-    return ops.duplicate_rate(_ledger(spark, sf_dir), F.lit("1900-01-01").cast("timestamp"))
+    return ops.duplicate_rate(_ledger(spark, sf_dir), _now())
 
 
 def run_status(spark, sf_dir):
@@ -223,28 +222,19 @@ def attempts_per_batch(spark, sf_dir):
 
 
 def stage_durations(spark, sf_dir):
-    return ops.stage_durations(_runs(spark, sf_dir), F.lit("1900-01-01").cast("timestamp"), exact=True)
+    return ops.stage_durations(_runs(spark, sf_dir), _now(), exact=True)
 
 
 def rerun_noop_rate(spark, sf_dir):
     return ops.rerun_noop_rate(_runs(spark, sf_dir))
 
 
-def _counted_reasons(spark, sf_dir, pipelines):
+def quarantine_reasons(spark, sf_dir):
     e = table(spark, sf_dir, "events").select(F.concat(F.lit("f"), (_id() % 4).cast("string")).alias("feed_id"), F.when(_id() % 2 == 0, F.lit("pre_check")).otherwise(F.lit("post_check")).alias("check_stage"), F.date_trunc("second", "ts").cast("timestamp").alias("quarantined_at"), F.concat(F.lit("business/"), "event_type").alias("reason_code"), "event_id")
-    out = ops.quarantine_reasons({name: e.where(rows) for name, rows in pipelines.items()}, F.lit("1900-01-01").cast("timestamp"))
+    out = ops.quarantine_reasons({name: e.where(f"event_id % 3 = {i}") for i, name in enumerate(("one", "two", "three"))}, _now())
     return out.withColumn("day", F.col("day").cast("string"))
 
 
-def quarantine_reasons(spark, sf_dir):
-    return _counted_reasons(spark, sf_dir, {"one": "event_id % 3 = 0", "two": "event_id % 3 = 1"})
-
-
-def quarantine_reasons_whole(spark, sf_dir):
-    """The pipelines are the whole table; quarantine_reasons has the two thirds that its SQL has."""
-    return _counted_reasons(spark, sf_dir, {"one": "event_id % 3 = 0", "two": "event_id % 3 = 1", "three": "event_id % 3 = 2"})
-
-
 def quarantine_rate(spark, sf_dir):
     return ops.quarantine_rate(_runs(spark, sf_dir), 24).withColumns(_text("window_start"))
 
@@ -267,10 +257,6 @@ def budget_prefix(spark, sf_dir):
     return decisions.budget_prefix(d, 20_000, ("doc_id",), "n_chars", ("source",)).select("source", "doc_id")
 
 
-def publish_counts(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("b"), (F.col("l_orderkey") % 10).cast("string")).alias("batch_id")).agg(F.count(F.lit(1)).alias("raw_count"), F.count_if(F.col("l_returnflag") == "R").alias("refused"))
-
-
 def name_functions(spark, sf_dir):
     url = F.col("url")
     uri = X.split_uri(url)
@@ -279,16 +265,10 @@ def name_functions(spark, sf_dir):
     )
 
 
-def row_locators(spark, sf_dir):
-    """Line numbers inside the text of each document, blank lines left out."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line")).where("line <> ''")
-    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("records"), F.max("at").cast("long").alias("last_line"))
-
-
 QUERIES = [
-    lww_fold, state_merge, state_merge_whole, merge_noop, repeated_merge_keys, latest_disposition, registered_deliveries, feed_watermarks, acquired_set, defective_set, live_duplicates, reconcile, supersession,
+    lww_fold, state_merge, merge_noop, repeated_merge_keys, latest_disposition, registered_deliveries, feed_watermarks, acquired_set, defective_set, live_duplicates, reconcile, supersession,
     registration_dispositions, nondelivery_changes, candidate_select, content_hashes, mint_batch_id, manifest_verdict, trailer_verdict, overdue_dates, duplicate_rate, run_status, attempts_per_batch,
-    stage_durations, rerun_noop_rate, quarantine_reasons, quarantine_reasons_whole, quarantine_rate, attempt_alarms, transition_metrics, feed_counts, budget_prefix, publish_counts, name_functions, row_locators,
+    stage_durations, rerun_noop_rate, quarantine_reasons, quarantine_rate, attempt_alarms, transition_metrics, feed_counts, budget_prefix, name_functions,
 ]
 
 _O = """o AS (SELECT o_custkey, CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate END AS o_orderdate, o_totalprice, o_orderkey FROM orders)"""
@@ -296,8 +276,7 @@ _WIN = "ORDER BY o_orderdate DESC NULLS LAST, o_totalprice DESC, o_orderkey DESC
 
 SQL = {
     "lww_fold": "SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1",
-    "state_merge": f"WITH {_O} SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey {_WIN}) AS rn FROM o WHERE o_orderkey % 3 < 2) WHERE rn = 1",
-    "state_merge_whole": f"WITH {_O} SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey {_WIN}) AS rn FROM o) WHERE rn = 1",
+    "state_merge": f"WITH {_O} SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey {_WIN}) AS rn FROM o) WHERE rn = 1",
     "merge_noop": "SELECT CAST(0 AS BIGINT) AS changed, 0 AS zero",
     "repeated_merge_keys": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1",
     "latest_disposition": f"WITH {_LEDGER} SELECT delivery_id, disposition, strftime(recorded_at, '%Y-%m-%d') AS recorded FROM latest",
@@ -337,13 +316,12 @@ e AS (SELECT *, CAST(day AS TIMESTAMP) + to_hours(CAST(b[1:2] AS INTEGER)) + to_
   WHERE expected = 'daily' OR expected = 'weekdays' AND isodow(day) < 6 OR expected = 'weekly:wed' AND isodow(day) = 3 OR expected = 'monthly:31' AND day(day) = 31),
 r AS (SELECT DISTINCT 'f' || (event_id % 5) AS feed_id, DATE '2026-03-01' + CAST(event_id % 4 * 10 AS INTEGER) AS day FROM events)
 SELECT feed_id, CAST(day AS VARCHAR) AS expected_date, strftime(due, '%Y-%m-%d %H:%M:%S') AS expected_by FROM e WHERE due <= TIMESTAMP '2026-04-02 10:00:00' AND (feed_id, day) NOT IN (SELECT (feed_id, day) FROM r)""",
-    "duplicate_rate": f"WITH {_LEDGER} SELECT feed_id, count_if(disposition = 'duplicate') AS duplicates, count_if(disposition = 'registered') AS registered, CAST(count_if(disposition = 'duplicate') AS DOUBLE) / nullif(count_if(disposition IN ('registered', 'duplicate')), 0) AS duplicate_rate FROM led GROUP BY 1",
+    "duplicate_rate": f"WITH {_LEDGER} SELECT feed_id, count_if(disposition = 'duplicate') AS duplicates, count_if(disposition = 'registered') AS registered, CAST(count_if(disposition = 'duplicate') AS DOUBLE) / nullif(count_if(disposition IN ('registered', 'duplicate')), 0) AS duplicate_rate FROM led WHERE recorded_at >= {_RECENT} GROUP BY 1",
     "run_status": f"WITH {_RUNS} SELECT batch_id, stage, strftime(max(started_at), '%Y-%m-%d %H:%M:%S') AS started FROM runs GROUP BY 1, 2",
     "attempts_per_batch": f"WITH {_RUNS} SELECT batch_id, pipeline, feed_id, count(DISTINCT attempt_id) AS attempt_count, count(DISTINCT attempt_id) > 1 AS multiple_attempts FROM runs GROUP BY ALL",
-    "stage_durations": f"WITH {_RUNS}, d AS (SELECT stage, epoch_ms(finished_at) - epoch_ms(started_at) AS ms FROM runs WHERE outcome = 'ok') SELECT stage, quantile_cont(ms, 0.5) AS p50_ms, quantile_cont(ms, 0.95) AS p95_ms, count(*) AS sample_count FROM d GROUP BY 1",
+    "stage_durations": f"WITH {_RUNS}, d AS (SELECT stage, epoch_ms(finished_at) - epoch_ms(started_at) AS ms FROM runs WHERE outcome = 'ok' AND started_at >= {_RECENT}) SELECT stage, quantile_cont(ms, 0.5) AS p50_ms, quantile_cont(ms, 0.95) AS p95_ms, count(*) AS sample_count FROM d GROUP BY 1",
     "rerun_noop_rate": f"WITH {_RUNS}, a AS (SELECT batch_id, attempt_id, bool_and(outcome = 'skipped-guard') AND sum(coalesce(facts_appended, 0)) = 0 AS noop FROM runs GROUP BY 1, 2) SELECT count_if(noop) AS noop_attempts, count(*) AS total_attempts, CAST(count_if(noop) AS DOUBLE) / nullif(count(*), 0) AS noop_rate FROM a",
-    "quarantine_reasons": "SELECT CASE WHEN event_id % 3 = 0 THEN 'one' ELSE 'two' END AS pipeline, 'f' || (event_id % 4) AS feed_id, CASE WHEN event_id % 2 = 0 THEN 'pre_check' ELSE 'post_check' END AS check_stage, strftime(ts, '%Y-%m-%d') AS day, 'business/' || event_type AS reason_code, count(*) AS reason_count FROM events WHERE event_id % 3 < 2 GROUP BY ALL",
-    "quarantine_reasons_whole": "SELECT CASE event_id % 3 WHEN 0 THEN 'one' WHEN 1 THEN 'two' ELSE 'three' END AS pipeline, 'f' || (event_id % 4) AS feed_id, CASE WHEN event_id % 2 = 0 THEN 'pre_check' ELSE 'post_check' END AS check_stage, strftime(ts, '%Y-%m-%d') AS day, 'business/' || event_type AS reason_code, count(*) AS reason_count FROM events GROUP BY ALL",
+    "quarantine_reasons": "SELECT CASE event_id % 3 WHEN 0 THEN 'one' WHEN 1 THEN 'two' ELSE 'three' END AS pipeline, 'f' || (event_id % 4) AS feed_id, CASE WHEN event_id % 2 = 0 THEN 'pre_check' ELSE 'post_check' END AS check_stage, strftime(ts, '%Y-%m-%d') AS day, 'business/' || event_type AS reason_code, count(*) AS reason_count FROM events WHERE date_trunc('second', ts) >= TIMESTAMP '2024-01-16 12:00:00' GROUP BY ALL",
     "quarantine_rate": f"WITH {_RUNS}, w AS (SELECT pipeline, date_trunc('day', finished_at) AS d, CAST(sum(coalesce(pre_quarantined, 0)) AS BIGINT) AS quarantined, CAST(sum(coalesce(raw_count, 0)) AS BIGINT) AS raw FROM runs GROUP BY 1, 2) SELECT pipeline, strftime(d, '%Y-%m-%d %H:%M:%S') AS window_start, quarantined, raw, quarantined / nullif(raw, 0) AS rate, coalesce(quarantined / nullif(raw, 0) > 0.05, false) AS alarm FROM w",
     "attempt_alarms": f"WITH {_RUNS} SELECT pipeline, strftime(date_trunc('day', started_at), '%Y-%m-%d %H:%M:%S') AS window_start, count(DISTINCT (batch_id, attempt_id)) AS attempts, count(DISTINCT (batch_id, attempt_id)) > 10 AS alarm FROM runs GROUP BY pipeline, date_trunc('day', started_at)",
     "transition_metrics": f"""WITH {_RUNS}, m AS (
@@ -352,7 +330,5 @@ SELECT feed_id, CAST(day AS VARCHAR) AS expected_date, strftime(due, '%Y-%m-%d %
 SELECT pipeline, stage, metric, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM m WHERE value IS NOT NULL GROUP BY ALL""",
     "feed_counts": f"WITH {_LEDGER} SELECT feed_id, disposition, count(*) AS rows FROM led GROUP BY 1, 2",
     "budget_prefix": "SELECT source, doc_id FROM (SELECT source, doc_id, coalesce(sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM documents) WHERE before <= 20000",
-    "publish_counts": "SELECT 'b' || (l_orderkey % 10) AS batch_id, count(*) AS raw_count, count_if(l_returnflag = 'R') AS refused FROM lineitem GROUP BY 1",
     "name_functions": "SELECT page_id, NOT regexp_matches(url, '[/%]') AND url <> '' AS clean, regexp_matches(url, '^http.*[0-9]$') AS globbed, nullif(regexp_extract(url, '^[a-z][a-z0-9+.-]*://([^/]+)/(.+)$', 1), '') AS bucket, replace(url, '/', '--') AS slug, true AS slug_round_trip FROM pages",
-    "row_locators": "WITH x AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), y AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS k FROM x) SELECT doc_id, count(*) AS records, max(k) AS last_line FROM y WHERE line <> '' GROUP BY 1",
 }

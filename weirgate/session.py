@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -22,9 +23,12 @@ def share_code(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where unset (tests), a temporary one is set."""
+    """The folder named by ``spark.checkpoint.dir``.  Where unset, a temporary one
+    is set for a master that is this machine alone; a cluster needs the setting."""
     at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes see")
         at = "file://" + tempfile.mkdtemp(prefix="weirgate-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
@@ -33,3 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, tag: str) -> str:
     """The name of a new folder below the shared one."""
     return f"{shared_dir(spark)}/weirgate/{tag}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: lineage ends
+    there, so a lost executor costs no more than a reread."""
+    spark = df.sparkSession
+    path = scratch(spark, tag)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 import json
 import os
-import re
 import time
 import uuid
 from collections.abc import Callable
 
+from ..sources.files import LocalFiles
+
 
 def instant(at: datetime.datetime) -> str:
     at = at.astimezone(datetime.UTC)
@@ -56,71 +58,76 @@ def quietly(action: Callable[[], object], tries: int = 2, most_s: float = 2.0) -
     return False
 
 
+class EventFolder:
+    """Events as one JSON file each, in a folder that all nodes see."""
+
+    def __init__(self, files, folder: str):
+        self.files, self.folder = files, folder.rstrip("/")
+
+    def __call__(self, kind: str, event: dict) -> None:
+        self.files.put(f"{self.folder}/{time.time_ns():020d}-{uuid.uuid4().hex}.json", json.dumps({"type": kind, **event}).encode())
+
+
 # -- claims: one owner for each (feed, batch)
 
 
 class Claims:
-    """An exclusive claim for each (feed, batch), as a file created once.
+    """An exclusive claim for each (feed, batch): a row of generations, each a file
+    that is put in place once.
 
     ``claim`` gives WON, LOST_COMPLETED, LOST_IN_PROGRESS, or TAKEN_OVER for a claim
-    left open for longer than ``STALE_S``; the last returns what the dead owner had
-    claimed.  Completion is fenced: only the present owner can complete."""
+    left open for longer than ``stale_s``; the last returns what the dead owner had
+    claimed.  A taker puts the next generation in place, with its own time, so one
+    that dies as well goes stale in its turn.  Completion is fenced: it marks the
+    owner's generation and counts while that is the newest.  ``files`` is
+    `LocalFiles` or, for a store that several machines see, `SharedFiles`."""
 
     STALE_S = 1200
 
-    def __init__(self, folder: str):
-        self.folder = folder
-        os.makedirs(folder, exist_ok=True)
-
-    def _file(self, feed_id: str, batch_id: str) -> str:
-        return f"{self.folder}/{re.sub(r'[^A-Za-z0-9.-]', '_', feed_id)}--{batch_id}.json"
+    def __init__(self, folder: str, files=None, stale_s: float = STALE_S):
+        self.folder, self.files, self.stale_s = folder.rstrip("/"), files or LocalFiles(), stale_s
 
-    def _load(self, path: str) -> dict:
-        with open(path, encoding="utf-8") as f:
-            return json.load(f)
+    def _key(self, feed_id: str, batch_id: str) -> str:
+        return hashlib.sha256(f"{feed_id}\n{batch_id}".encode()).hexdigest()[:40]
 
-    def _replace(self, path: str, item: dict) -> None:
-        temp = f"{path}.{uuid.uuid4().hex}"
-        with open(temp, "w", encoding="utf-8") as f:
-            json.dump(item, f)
-        os.replace(temp, path)
+    def _newest(self, key: str) -> tuple[int, dict] | None:
+        names = self.files.names(f"{self.folder}/{key}")
+        made = [int(n[:-5]) for n in names if n.endswith(".json")]
+        if not made:
+            return None
+        at = max(made)
+        held = json.loads(self.files.read(f"{self.folder}/{key}/{at:06d}.json"))
+        return at, held | {"done": f"{at:06d}.done" in names}
 
     def claim(self, feed_id: str, batch_id: str, owner: str, item: dict, now: float | None = None) -> tuple[str, dict | None]:
-        now = time.time() if now is None else now
-        path = self._file(feed_id, batch_id)
-        own = {"owner": owner, "claimed_at": now, "done": False, "item": item, "feed_id": feed_id, "batch_id": batch_id}
-        temp = f"{path}.{uuid.uuid4().hex}"
-        with open(temp, "w", encoding="utf-8") as f:
-            json.dump(own, f)
-        try:
-            os.link(temp, path)  # fails if the claim exists
-            return "WON", None
-        except FileExistsError:
-            pass
-        finally:
-            os.unlink(temp)
-        held = self._load(path)
+        now, key = time.time() if now is None else now, self._key(feed_id, batch_id)
+        own = {"owner": owner, "claimed_at": now, "item": item, "feed_id": feed_id, "batch_id": batch_id}
+
+        def put(generation: int, claim: dict) -> bool:
+            return self.files.put(f"{self.folder}/{key}/{generation:06d}.json", json.dumps(claim).encode())
+
+        if (newest := self._newest(key)) is None:
+            if put(0, own):
+                return "WON", None
+            newest = self._newest(key)
+        at, held = newest
         if held["done"]:
             return "LOST_COMPLETED", held["item"]
-        if now - held["claimed_at"] <= self.STALE_S:
-            return "LOST_IN_PROGRESS", held["item"]
-        lock = f"{path}.take-{held['owner']}"
-        try:
-            os.close(os.open(lock, os.O_CREAT | os.O_EXCL))  # one taker of each owner
-        except FileExistsError:
+        if now - held["claimed_at"] <= self.stale_s or not put(at + 1, own | {"item": held["item"]}):
             return "LOST_IN_PROGRESS", held["item"]
-        self._replace(path, {**own, "item": held["item"]})
         return "TAKEN_OVER", held["item"]
 
     def complete(self, feed_id: str, batch_id: str, owner: str) -> bool:
-        path = self._file(feed_id, batch_id)
-        held = self._load(path)
-        if held["owner"] != owner:
+        key = self._key(feed_id, batch_id)
+        newest = self._newest(key)
+        if newest is None or newest[1]["owner"] != owner:
             return False
-        self._replace(path, {**held, "done": True})
-        return True
+        at, _ = newest
+        self.files.put(f"{self.folder}/{key}/{at:06d}.done", b"")
+        return self._newest(key)[0] == at
 
     def stuck(self, now: float | None = None) -> list[dict]:
+        """Open claims that have gone stale, oldest first."""
         now = time.time() if now is None else now
-        names = [f"{self.folder}/{n}" for n in sorted(os.listdir(self.folder)) if n.endswith(".json")]
-        return [c for c in map(self._load, names) if not c["done"] and now - c["claimed_at"] > self.STALE_S]
+        found = [newest[1] for key in self.files.names(self.folder) if (newest := self._newest(key))]
+        return sorted((c for c in found if not c["done"] and now - c["claimed_at"] > self.stale_s), key=lambda c: c["claimed_at"])

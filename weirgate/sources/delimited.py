@@ -1,9 +1,10 @@
 """Delivered delimited files as raw rows, tokenised by native expressions.
 
 All objects of a delivery are one scan.  Line order inside a file comes from the
-blocks that Spark read, so large files are split between tasks; headers are read
-by one small job for all files.  Records that span lines take the multiline
-reader, which parses a file in one executor task, never on the driver.
+blocks that Spark read, so large files are split between tasks, and rows are
+numbered without moving them; headers are bounded reads of the first lines.
+Records that span lines take the multiline reader, which parses a file (of up to
+2 GB, what one value can hold) in one executor task, never on the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import csv
 import dataclasses
 import io
 import re
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +22,17 @@ from pyspark.sql.window import Window
 
 from ..contract import ContractError, RawContract, ReadSpec
 from ..functions import text as X
-from ..session import share_code
+from ..session import durable, share_code
 
 BOM = "﻿"
 _CODECS = (".gz", ".gzip", ".bz2", ".lz4", ".snappy", ".deflate", ".zst", ".zstd", ".xz")
 MOST_OBJECTS, MOST_URI = 256, 1024
+#: Bytes in which the header of an object has to end.
+OPENING_BYTES = 64 << 20
+#: Block offsets that are sent to every task; more are joined.
+MOST_BLOCKS = 100_000
+#: Rows and characters of a batch of multiline records.
+BATCH_ROWS, BATCH_CHARS = 1000, 4 << 20
 
 
 @dataclasses.dataclass(frozen=True)
@@ -71,24 +79,34 @@ def _strict(line: str, spec: ReadSpec) -> list[str] | None:
 
 
 def _lines(spark: SparkSession, uris: list[str]) -> DataFrame:
-    """(uri, block, at, line): every line with its place in its file."""
+    """(uri, block, line): every line that is not blank, in the order of its block."""
     read = spark.read.text(uris).select(F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
-    return read.withColumn("at", F.monotonically_increasing_id())
-
-
-def _headers(spark: SparkSession, uris: list[str], spec: ReadSpec, contract: RawContract) -> dict[str, Binding]:
+    return read.where(F.col("line") != "")
+
+
+def _opening(spark: SparkSession, uri: str, spec: ReadSpec, n: int) -> list[str]:
+    """The first ``n`` lines of an object, as far as they end in `OPENING_BYTES`."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(uri)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        plain = jvm.java.util.zip.GZIPInputStream(stream) if spec.compression == "gzip" else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(jvm.org.apache.commons.io.input.BoundedInputStream(plain, OPENING_BYTES), "UTF-8"))
+        lines = []
+        while len(lines) < n and (line := reader.readLine()) is not None:
+            lines.append(line if lines else line.removeprefix(BOM))
+        return lines
+    finally:
+        stream.close()
+
+
+def _headers(openings: dict[str, list[str]], spec: ReadSpec, contract: RawContract) -> dict[str, Binding]:
     """One binding per object; every object is judged before any body is read."""
     if not spec.header:
-        return {u: bind_header(None, contract, spec) for u in uris}
-    n = spec.skip_leading_lines + 1
-    first = _lines(spark, uris).where(F.col("block") == 0).withColumn("k", F.row_number().over(Window.partitionBy("uri").orderBy("at"))).where(F.col("k") <= n)
-    found: dict[str, list[str]] = {}
-    for r in first.orderBy("uri", "k").collect():  # at most MOST_OBJECTS * (MOST_SKIP + 1) short lines
-        found.setdefault(_plain(r.uri), []).append(r.line)
-    out, faults = {}, []
-    for i, u in enumerate(uris, 1):
-        lines = found.get(_plain(u), [])
-        fields = _strict(lines[n - 1].removeprefix(BOM) if n == 1 else lines[n - 1], spec) if len(lines) >= n else None
+        return {u: bind_header(None, contract, spec) for u in openings}
+    out, faults, n = {}, [], spec.skip_leading_lines
+    for i, (u, lines) in enumerate(openings.items(), 1):
+        fields = _strict(lines[n], spec) if len(lines) > n else None
         if fields is None:
             faults.append(f"object {i}: no readable header")
             continue
@@ -152,67 +170,60 @@ def read_delivery(spark: SparkSession, uris: list[str], spec: ReadSpec, contract
     if not uris:
         return empty_raw(spark, contract)
     ordered = sorted(uris)
-    bindings = _headers(spark, ordered, spec, contract)
+    first = spec.skip_leading_lines + spec.header
+    openings = {u: _opening(spark, u, spec, first) if first else [] for u in ordered}
+    bindings = _headers(openings, spec, contract)
     kinds = sorted(set(map(_key, bindings.values())))
-    places = F.create_map(*(x for i, u in enumerate(ordered, 1) for x in (F.lit(_plain(u)), F.struct(F.lit(u).alias("u"), F.lit(i).alias("seq"), F.lit(kinds.index(_key(bindings[u])) + 1).alias("b")))))
+
+    def place(i: int, u: str):
+        told = sum(line != "" for line in openings[u])  # lines before the body that count as rows of the file
+        return F.struct(F.lit(u).alias("u"), F.lit(i).alias("seq"), F.lit(kinds.index(_key(bindings[u])) + 1).alias("b"), F.lit(told).alias("told"))
+
+    places = F.create_map(*(x for i, u in enumerate(ordered, 1) for x in (F.lit(_plain(u)), place(i, u))))
     if spec.multiline:
         return _shaped(_multiline(spark, ordered, spec, places), contract, bindings)
-    lines = _lines(spark, ordered).withColumn("p", places[F.regexp_replace("uri", "^file:/+", "/")])
-    if spec.header or spec.skip_leading_lines:
-        first = spec.skip_leading_lines + spec.header
-        head = F.row_number().over(Window.partitionBy("uri").orderBy("at"))
-        # only the block that begins a file can hold its first lines
-        opening = lines.where("block = 0").withColumn("k", head).where(F.col("k") > first).drop("k")
-        lines = opening.unionByName(lines.where("block > 0"))
-    lines = lines.withColumn("line", F.regexp_replace("line", f"^{BOM}", "")) if not spec.header and not spec.skip_leading_lines else lines
-    body = lines.where(F.col("line") != "")
-    row = _row_numbers(body)
+    rows = _numbered(_lines(spark, ordered)).withColumn("p", places[F.regexp_replace("uri", "^file:/+", "/")])
+    rows = rows.withColumn("row_index", F.col("row_index") - F.col("p.told")).where(F.col("row_index") > 0)
     ok = X.well_formed(F.col("line"), spec.delimiter, spec.quote)
-    shaped = row.select(
+    shaped = rows.select(
         F.col("p.u").alias("source_uri"), F.col("p.seq").alias("object_seq"), "row_index", F.col("p.b").alias("binding"), ok.alias("ok"),
         F.when(ok, X.tokens(F.col("line"), spec.delimiter, spec.quote)).otherwise(F.array().cast("array<string>")).alias("tokens"), "line",
     )
     return _shaped(shaped, contract, bindings)
 
 
-def _row_numbers(body: DataFrame) -> DataFrame:
-    """row_index within a file: a count per block, the sum of the blocks before,
-    and the place inside the block; no file is gathered in one task."""
-    blocks = body.groupBy("uri", "block").agg(F.count(F.lit(1)).alias("n"))
+def _numbered(lines: DataFrame) -> DataFrame:
+    """row_index within a file, from 1.  The rows of a block are consecutive in one
+    task, so a row's number is its id less the least of its block, plus the rows of
+    the blocks before; rows are joined with one small row a block and never move."""
+    told = lines.withColumn("id", F.monotonically_increasing_id())
+    blocks = told.groupBy("uri", "block").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = blocks.select("uri", "block", before.alias("before"))
-    inside = F.row_number().over(Window.partitionBy("uri", "block").orderBy("at"))
-    return body.withColumn("inside", inside).join(offsets, ["uri", "block"]).withColumn("row_index", (F.col("before") + F.col("inside")).cast("long")).drop("inside", "before")
+    shifts = durable(blocks.select("uri", "block", (before - F.col("least") + 1).alias("shift")), "blocks")
+    if shifts.count() <= MOST_BLOCKS:
+        shifts = F.broadcast(shifts)
+    return told.join(shifts, ["uri", "block"]).withColumn("row_index", F.col("id") + F.col("shift"))
+
+
+def _records(text: str, spec: ReadSpec):
+    """(tokens, text as it stands) of each record of a file whose quoted fields may
+    span lines, blank ones left out.  Read leniently: text after a closing quote
+    belongs to the field, and a quote that never closes takes what is left."""
+    csv.field_size_limit(sys.maxsize)
+    source = io.StringIO(text.removeprefix(BOM), newline="")
+    for _ in range(spec.skip_leading_lines):
+        source.readline()
+    begin = source.tell()
+    for fields in csv.reader(iter(source.readline, ""), delimiter=spec.delimiter, quotechar=spec.quote, doublequote=True):
+        end = source.tell()
+        if fields:
+            source.seek(begin)
+            yield fields, source.read(end - begin)
+        begin = end
 
 
 def _multiline(spark: SparkSession, uris: list[str], spec: ReadSpec, places) -> DataFrame:
     share_code(spark)
-    skip = spec.skip_leading_lines
-
-    def parse(content: bytes):
-        text = content.decode("utf-8", "replace").removeprefix(BOM)
-        for _ in range(skip):
-            text = re.sub(r"\A[^\r\n]*(?:\r\n|\r|\n|\Z)", "", text, count=1)
-        at, source = 0, io.StringIO(text, newline="")
-        rows = csv.reader(source, delimiter=spec.delimiter, quotechar=spec.quote, doublequote=True, strict=True)
-        left = spec.header
-        while True:
-            begin = source.tell()
-            try:
-                fields = next(rows)
-            except StopIteration:
-                return
-            except csv.Error:
-                at += 1
-                yield at, False, [], text[begin:]
-                return
-            if not fields:
-                continue
-            if left:
-                left = False
-                continue
-            at += 1
-            yield at, True, fields, spec.delimiter.join(fields)
 
     shape = T.StructType([T.StructField("uri", T.StringType()), T.StructField("row_index", T.LongType()), T.StructField("ok", T.BooleanType()), T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("line", T.StringType())])
 
@@ -221,13 +232,24 @@ def _multiline(spark: SparkSession, uris: list[str], spec: ReadSpec, places) ->
 
         import pyarrow as pa
 
+        def batch_of(uri, rows):
+            at, tokens, lines = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array([uri] * len(rows), pa.string()), pa.array(at, pa.int64()), pa.array([True] * len(rows), pa.bool_()), pa.array(tokens, pa.list_(pa.string())), pa.array(lines, pa.string())], names=["uri", "row_index", "ok", "tokens", "line"])
+
         for batch in batches:
-            for uri, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = list(parse(gzip.decompress(content) if spec.compression == "gzip" else content))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([uri] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.list_(pa.string())), pa.array([r[3] for r in rows], pa.string())],
-                    names=["uri", "row_index", "ok", "tokens", "line"],
-                )
+            for i in range(batch.num_rows):
+                uri, content = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                text = (gzip.decompress(content) if spec.compression == "gzip" else content).decode("utf-8", "replace")
+                rows, size = [], 0
+                for at, (fields, line) in enumerate(_records(text, spec), 1 - spec.header):
+                    if at:
+                        rows.append((at, fields, line))
+                        size += len(line)
+                    if len(rows) >= BATCH_ROWS or size >= BATCH_CHARS:
+                        yield batch_of(uri, rows)
+                        rows, size = [], 0
+                if rows:
+                    yield batch_of(uri, rows)
 
     files = spark.read.format("binaryFile").load(uris).select(F.col("path").alias("uri"), "content").mapInArrow(whole, shape)
     p = places[F.regexp_replace("uri", "^file:/+", "/")]

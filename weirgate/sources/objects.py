@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TAIL_BYTES = 4096
+#: Larger objects are not read as one value but streamed.
+WHOLE_BYTES = 1 << 30
+REGISTRY_S = 60
 MANIFEST_BYTES, MANIFEST_FILES = 1 << 20, 1000
 MANIFEST = "manifest_version int, manifest_id string, feed_id string, files array<struct<name:string,bytes:bigint,sha256:string,record_count:bigint>>, created_at string, _bad string"
 
@@ -20,10 +24,52 @@ def listing(spark: SparkSession, path: str, glob: str | None = None) -> DataFram
 
 
 def digests(spark: SparkSession, uris: list[str]) -> DataFrame:
-    """uri, bytes, sha256 and the tail of each object, hashed on the executors."""
+    """uri, bytes, sha256 and the tail of each object, hashed on the executors;
+    objects over `WHOLE_BYTES` are streamed."""
     read = spark.read.format("binaryFile").load(uris)
     tail = F.decode(F.substring(F.col("content"), -TAIL_BYTES, TAIL_BYTES), "UTF-8")
-    return read.select(F.col("path").alias("uri"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), tail.alias("tail"))
+    small = read.where(F.col("length") <= WHOLE_BYTES).select(F.col("path").alias("uri"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), tail.alias("tail"))
+    large = [r.path for r in read.where(F.col("length") > WHOLE_BYTES).select("path").collect()]  # of one delivery's objects
+    return small.unionByName(spark.createDataFrame([(u, *streamed(spark, u)) for u in large], small.schema)) if large else small
+
+
+def _opened(spark: SparkSession, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def streamed(spark: SparkSession, uri: str) -> tuple[int, str, str]:
+    """bytes, sha256 and tail of an object of any size, read in small pieces."""
+    fs, path = _opened(spark, uri)
+    n, sha = copied(spark, uri, None)
+    stream = fs.open(path)
+    try:
+        stream.seek(max(0, n - TAIL_BYTES))
+        return n, sha, bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8", "replace")
+    finally:
+        stream.close()
+
+
+def copied(spark: SparkSession, source: str, target: str | None) -> tuple[int, str]:
+    """Copies an object as it is, in small pieces and hashed on the way: its bytes
+    and sha256.  Without a target it is only hashed."""
+    jvm = spark._jvm
+    fs, path = _opened(spark, source)
+    sha = jvm.java.security.MessageDigest.getInstance("SHA-256")
+    stream = jvm.java.security.DigestInputStream(fs.open(path), sha)
+    try:
+        if target is None:
+            out = jvm.org.apache.commons.io.output.NullOutputStream.INSTANCE
+        else:
+            store, to = _opened(spark, target)
+            out = store.create(to, True)
+        try:
+            n = jvm.org.apache.commons.io.IOUtils.copyLarge(stream, out)
+        finally:
+            out.close()
+    finally:
+        stream.close()
+    return n, bytes(sha.digest()).hex()
 
 
 def parse_manifests(text: Column) -> Column:
@@ -60,3 +106,19 @@ def feed_registry(path: str) -> list[dict]:
         if f.get("driver") in ("api-pull", "db-unload"):
             raise NotImplementedError(f"driver {f['driver']} is reserved")
     return feeds
+
+
+class FeedRegistry:
+    """Feeds of a registry file, read again after `REGISTRY_S` seconds."""
+
+    def __init__(self, path: str, ttl_s: float = REGISTRY_S):
+        self.path, self.ttl_s, self._read_at, self._feeds = path, ttl_s, None, []
+
+    def feeds(self, now: float | None = None) -> list[dict]:
+        now = time.monotonic() if now is None else now
+        if self._read_at is None or now - self._read_at >= self.ttl_s:
+            self._feeds, self._read_at = feed_registry(self.path), now
+        return self._feeds
+
+    def feed(self, feed_id: str, now: float | None = None) -> dict | None:
+        return next((f for f in self.feeds(now) if f["feed_id"] == feed_id), None)
