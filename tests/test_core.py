@@ -198,11 +198,21 @@ def test_detail_is_cut_at_32(spark):
     assert r.reason_detail.count('"code"') == 32 and r.reason_detail.endswith('{"truncated":40}]')
 
 
+def test_each_cell_is_cast_once(spark):
+    c = checks.compile_contract(C.RawContract((C.DeclaredColumn("n", "decimal(9,2)", min="2", max="45"), C.DeclaredColumn("day", "date(yyyy-MM-dd)", min="2024-01-01"), C.DeclaredColumn("s", pattern="a+"))))
+    raw = spark.range(3).select(F.col("id").cast("string").alias("n"), F.lit("2024-02-0").alias("day"), F.lit("a").alias("s"), F.lit(None).cast("string").alias("malformed_text"), F.create_map(F.lit("k"), F.lit("v")).alias("extras"))
+    stored = spark.createDataFrame(raw.collect(), raw.schema)
+    for df in (checks.admitted(stored, c), checks.violations(stored, c), checks.counts(stored, c)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        casts = [line for line in plan.splitlines() if "gettimestamp(day" in line or "cast(n#" in line]
+        assert len(casts) == 1 and casts[0].count("gettimestamp(day") == 1 == casts[0].count("cast(n#"), plan
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_casts_are_the_same_under_ansi(spark, ansi):
     from weirgate.functions.casts import typed
 
-    cases = [("int", " 42 ", "42"), ("int", "007", "7"), ("int", "1.5", None), ("int", "99999999999", None), ("decimal(5,2)", "1.239", "1.24"), ("decimal(5,2)", "9999.99", None), ("decimal(5,2)", "1.5e2", "150.00"), ("bool", "Yes", "true"), ("bool", "maybe", None), ("date(yyyy-MM-dd)", "2024-02-30", None), ("date(yyyy-MM-dd)", "2024-2-3", None), ("timestamp(yyyy-MM-dd HH:mm)", "2024-01-02 03:04", "2024-01-02 03:04:00")]
+    cases = [("int", " 42 ", "42"), ("int", "007", "7"), ("int", "1.5", None), ("int", "99999999999", None), ("int", "-5", "-5"), ("int", "+6\t", "6"), ("long", "12x", None), ("long", "x", None), ("int", "", None), ("long", "99999999999", "99999999999"), ("decimal(5,2)", "1.239", "1.24"), ("decimal(5,2)", "9999.99", None), ("decimal(5,2)", "1.5e2", "150.00"), ("bool", "Yes", "true"), ("bool", "maybe", None), ("date(yyyy-MM-dd)", "2024-02-30", None), ("date(yyyy-MM-dd)", "2024-2-3", None), ("timestamp(yyyy-MM-dd HH:mm)", "2024-01-02 03:04", "2024-01-02 03:04:00")]
     old = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:

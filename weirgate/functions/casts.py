@@ -17,6 +17,8 @@ def typed(text: Column, kind: ColumnType) -> Column:
         return F.try_to_date(text, kind.fmt)
     if kind.kind == "timestamp":
         return F.try_to_timestamp(text, F.lit(kind.fmt))
+    if kind.kind in ("int", "long"):  # a failed cast costs an exception; texts that are surely no number are spared it
+        return F.when(text.rlike(r"\A[^A-Za-z]*[0-9][^A-Za-z]*\z"), text.try_cast(kind.spark))
     return text.try_cast(kind.spark)
 
 

@@ -2,8 +2,9 @@
 
 Order is by kind of check, then by column.  Null cells belong to the not-nullable
 check alone.  Nothing here runs a job.  Every expression is one that the engine
-compiles (no lambdas): rows are split by a disjunction that stops at the first
-failure, and only refused rows build their reasons, from texts known beforehand.
+compiles (no lambdas): each cell is cast once, rows are split by a disjunction that
+stops at the first failure, and only refused rows build their reasons, from texts
+known beforehand.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from ..contract import INTERNAL_PREFIX, ContractError, DeclaredColumn, RawContra
 from ..functions.casts import full_match, typed
 
 FAILURES = f"{INTERNAL_PREFIX}failures"
+TYPED = f"{INTERNAL_PREFIX}typed"
 #: Failures kept per row in reason_detail, before a marker with their number.
 KEPT = 32
 REPLACEMENT = "�"
@@ -34,10 +36,20 @@ class Check:
 
 @dataclasses.dataclass(frozen=True)
 class CompiledContract:
+    """``checks`` speak about rows with their cells cast (`cast_once`)."""
+
     contract: RawContract
     checks: tuple[Check, ...]
     typed: dict[str, Column]
 
+    @property
+    def cast(self) -> tuple[str, ...]:
+        """The columns that are no text."""
+        return tuple(c.name for c in self.contract.columns if c.parsed.kind != "string")
+
+    def value(self, name: str) -> Column:
+        return F.col(TYPED)[name] if name in self.cast else F.col(name)
+
 
 def _encoding(contract: RawContract) -> Column:
     # keys and values are joined, not walked by a lambda, so that the check is compiled
@@ -57,7 +69,8 @@ def _bounds(c: DeclaredColumn, value: Column) -> Column:
 
 
 def compile_contract(contract: RawContract) -> CompiledContract:
-    values = {c.name: typed(F.col(c.name), c.parsed) for c in contract.columns}
+    out = CompiledContract(contract, (), {c.name: typed(F.col(c.name), c.parsed) for c in contract.columns})
+    values = {c.name: out.value(c.name) for c in contract.columns}
     checks = [Check("unreadable/malformed-row", None, f"record(width={len(contract.columns)})", F.col("malformed_text").isNotNull())]
     if contract.check_encoding:
         checks.append(Check("unreadable/encoding-suspect", None, "no-replacement-char", _encoding(contract)))
@@ -76,7 +89,15 @@ def compile_contract(contract: RawContract) -> CompiledContract:
     for c in contract.columns:
         if c.min is not None or c.max is not None:
             checks.append(Check("contract/out-of-bounds", c.name, "bounds", _bounds(c, values[c.name])))
-    return CompiledContract(contract, tuple(checks), values)
+    return dataclasses.replace(out, checks=tuple(checks))
+
+
+def cast_once(raw: DataFrame, compiled: CompiledContract) -> DataFrame:
+    """``raw`` with its cells cast, in one struct.  A generator stands between the
+    casts and what uses them; the optimizer would copy them into every use otherwise."""
+    if not compiled.cast:
+        return raw
+    return raw.withColumn(TYPED, F.explode(F.array(F.struct(*(compiled.typed[n].alias(n) for n in compiled.cast)))))
 
 
 def failed(compiled: CompiledContract) -> Column:
@@ -101,7 +122,7 @@ def failures(compiled: CompiledContract) -> Column:
 def counts(raw: DataFrame, compiled: CompiledContract) -> DataFrame:
     """One row: candidate, admitted and refused rows."""
     bad = failed(compiled)
-    return raw.agg(F.count(F.lit(1)).alias("candidate"), F.count_if(~bad).alias("admitted"), F.count_if(bad).alias("refused"))
+    return cast_once(raw, compiled).agg(F.count(F.lit(1)).alias("candidate"), F.count_if(~bad).alias("admitted"), F.count_if(bad).alias("refused"))
 
 
 def typed_projection(rows: DataFrame, compiled: CompiledContract, also: tuple[str, ...] = ()) -> DataFrame:
@@ -111,7 +132,7 @@ def typed_projection(rows: DataFrame, compiled: CompiledContract, also: tuple[st
 
 def admitted(raw: DataFrame, compiled: CompiledContract, also: tuple[str, ...] = ()) -> DataFrame:
     """The rows without a failure, typed."""
-    return typed_projection(raw.where(~failed(compiled)), compiled, also)
+    return cast_once(raw, compiled).where(~failed(compiled)).select(*also, *(compiled.value(c).alias(c) for c in compiled.contract.names))
 
 
 def violations(raw: DataFrame, compiled: CompiledContract) -> DataFrame:
@@ -120,7 +141,7 @@ def violations(raw: DataFrame, compiled: CompiledContract) -> DataFrame:
 
     A malformed row has no cells, so beside its own failure only the checks for
     suspect encoding and for nulls can speak about it."""
-    bad = raw.where(failed(compiled))
+    bad = cast_once(raw, compiled).where(failed(compiled))
     told = bad.withColumn(FAILURES, failures(compiled))
     code = F.substring_index(F.substring(FAILURES, len('{"code":"') + 1, 1 << 20), '"', 1)  # codes hold no quote
     every = F.replace(F.col(FAILURES), F.lit(BREAK), F.lit(","))
@@ -128,15 +149,15 @@ def violations(raw: DataFrame, compiled: CompiledContract) -> DataFrame:
         each = F.split(FAILURES, BREAK)
         cut = F.concat(F.array_join(F.slice(each, 1, KEPT), ","), F.lit(',{"truncated":'), F.size(each).cast("string"), F.lit("}"))
         every = F.when(F.size(each) > KEPT, cut).otherwise(every)
-    return told.withColumns({"reason_code": code, "reason_detail": F.concat(F.lit("["), every, F.lit("]"))}).drop(FAILURES)
+    return told.withColumns({"reason_code": code, "reason_detail": F.concat(F.lit("["), every, F.lit("]"))}).drop(FAILURES, TYPED)
 
 
 def any_cast_failure(compiled: CompiledContract) -> Column:
-    failed = F.lit(False)
-    for c in compiled.checks:
-        if c.code == "contract/cast-failure":
-            failed = failed | c.fails
-    return failed
+    """Whether a cell of a raw row is no value of its type."""
+    bad = F.lit(False)
+    for name in compiled.cast:
+        bad = bad | (F.col(name).isNotNull() & compiled.typed[name].isNull())
+    return bad
 
 
 @dataclasses.dataclass(frozen=True)
