@@ -535,6 +535,36 @@ def test_licence_scan_and_inheritance(spark):
     assert licences.scan(df.limit(0), F.col("named")).count() == 0 and licences.scan(df, F.col("named")).count() == len(rows)
 
 
+def wrapped(text, mark="", width=70):
+    import textwrap
+
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_licence_files_and_wrapped_headers(spark):
+    t = licences.TEMPLATES
+    mit = "MIT License\n\nCopyright (c) 2024 Ann Lee\n\n" + "\n\n".join(wrapped(x, width=75) for x in (licences._MIT_GRANT, licences._MIT_NOTICE, licences._AS_IS)) + "\n"
+    bsd = "Copyright 2020 The Authors\n\n" + wrapped(licences._BSD_OPEN) + "\n\n" + "\n\n".join(wrapped(f"{i}. {x}") for i, x in enumerate((licences._BSD_SOURCE, licences._BSD_BINARY, licences._BSD_NAMES), 1)) + "\n\n" + wrapped(licences._BSD_AS_IS) + "\n"
+    two = bsd.replace("\n\n" + wrapped(f"3. {licences._BSD_NAMES}"), "")
+    gpl = "# frob.py - frobs\n#\n" + wrapped(licences._gnu("", "3", "", "")[1], "# ") + "\n#\n" + wrapped("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.", "# ") + "\n\nimport os\n"
+    apache = "/*\n" + wrapped("Copyright 2021 Ann Lee", " * ") + "\n *\n" + wrapped(t["Apache-2.0"][1], " * ") + "\n *\n" + wrapped(t["Apache-2.0"][2], " * ") + "\n */\nint main() {}\n"
+    texts = {"MIT": mit, "BSD-3-Clause": bsd, "BSD-2-Clause": two, "ISC": "ISC License\n\nCopyright 2019 Ann\n\n" + wrapped(t["ISC"][1]), "GPL-3.0": gpl, "Apache-2.0": apache, "LGPL-3.0": wrapped(licences._gnu("Lesser", "3", "", "")[1], "// "), "AGPL-3.0": wrapped(licences._gnu("Affero", "3", "", "")[1], ";; "),
+             "Unlicense": wrapped(t["Unlicense"][0]) + "\n\n" + wrapped(t["Unlicense"][1]), "GPL-2.0": wrapped(licences._gnu("", "2", "June 1991", "1989, 1991")[0]), "MPL-2.0": wrapped(t["MPL-2.0"][0], "# ")}
+    plain = ["def f(x):\n    return x\n" * 40, "The license of a car and the permission to drive it.\nSoftware is fun, and any person can write it.", "a b c\n" * 30_000 + "Released under the MIT License.\n" + "d e f\n" * 30_000]
+    rows = [(i, f"p{i}/" + ("LICENSE" if k in ("MIT", "BSD-3-Clause", "BSD-2-Clause", "ISC", "Unlicense", "GPL-2.0") else "x.py"), x) for i, (k, x) in enumerate(texts.items())] + [(100 + i, f"q{i}.py", x) for i, x in enumerate(plain)]
+    rows += [(200, "p0/deep/er/x.py", "pass")] + [(300 + i, f"z{i}", "words and more words\nof other files") for i in range(60)]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, path string, text string"), F.col("path").endswith("LICENSE")).collect()}
+    assert {k: got[i].licence for i, k in enumerate(texts)} == {k: k for k in texts}
+    assert [got[100 + i].licence for i in range(3)] == [None, None, "MIT"] and got[200].licence == "MIT" and got[200].from_dir == "p0"
+
+
+def test_licence_ties_go_to_the_first_name(spark):
+    same = {"B": ("shared words of licence",), "A": ("shared words of licence",)}
+    df = spark.createDataFrame([(1, "x/LICENSE", "shared words of licence"), (1, "x/LICENSE", "shared words of licence"), (2, "x/y/z", "other")], "doc_id long, path string, text string")
+    got = licences.scan(df, F.col("path").endswith("LICENSE"), templates=same).collect()
+    assert sorted((r.doc_id, r.licence, r.how) for r in got) == [(1, "A", "own"), (1, "A", "own"), (2, "A", "inherited")]
+
+
 def test_licence_scores_are_the_cosine(spark):
     df = spark.createDataFrame([(1, "a", "licensed under the mit license of old"), (2, "b", "Licensed under CC BY-NC 4.0.")], "doc_id long, path string, text string")
     got = {r.doc_id: r.score for r in licences.scan(df, F.lit(False), threshold=0.3).collect()}

@@ -21,11 +21,12 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as a tree of files: a quarter are licence files of the directories above the others."""
+    """Documents as a tree of files four levels deep: a quarter are licence files, at one of the upper three levels."""
     docs, doc = _table(spark, sf_dir, "documents"), F.col("doc_id")
-    named = F.pmod(F.floor(doc / 20), F.lit(4)) == 0
-    above = F.concat_ws("/", F.col("source"), F.floor(doc / 2000).cast("string"))
-    path = F.when(named, F.concat_ws("/", above, F.concat(F.lit("LICENSE-"), doc.cast("string")))).otherwise(F.concat_ws("/", above, F.floor(doc / 200).cast("string"), F.concat(doc.cast("string"), F.lit(".txt"))))
+    named, level = F.pmod(F.floor(doc / 20), F.lit(4)) == 0, F.pmod(F.floor(doc / 80), F.lit(3))
+    dirs = [F.concat_ws("/", F.col("source"), *(F.floor(doc / n).cast("string") for n in sizes)) for sizes in ((), (2000,), (2000, 200), (2000, 200, 40))]
+    above = F.when(level == 0, dirs[0]).when(level == 1, dirs[1]).otherwise(dirs[2])
+    path = F.when(named, F.concat(above, F.lit("/LICENSE-"), doc.cast("string"))).otherwise(F.concat(dirs[3], F.lit("/"), doc.cast("string"), F.lit(".txt")))
     found = licences.scan(docs.withColumn("path", path), named)
     return found.withColumn("score", F.round("score", 6))
 
@@ -93,16 +94,18 @@ tt AS (SELECT t, licence, unnest(regexp_extract_all(lower(text), '{_TERM}')) AS
 tw AS (SELECT t, licence, term, count(*) AS tf FROM tt GROUP BY ALL),
 vocab AS (SELECT DISTINCT term FROM tt),
 files AS (
-  SELECT doc_id, text, doc_id // 20 % 4 = 0 AS named, source || '/' || (doc_id // 2000) AS base,
-    CASE WHEN doc_id // 20 % 4 = 0 THEN '/LICENSE-' || doc_id ELSE '/' || (doc_id // 200) || '/' || doc_id || '.txt' END AS name FROM documents),
+  SELECT doc_id, text, doc_id // 20 % 4 = 0 AS named, dirs[1 : CASE WHEN doc_id // 20 % 4 = 0 THEN doc_id // 80 % 3 + 1 ELSE 4 END] AS dirs
+  FROM (SELECT *, [source, source || '/' || (doc_id // 2000), source || '/' || (doc_id // 2000) || '/' || (doc_id // 200), source || '/' || (doc_id // 2000) || '/' || (doc_id // 200) || '/' || (doc_id // 40)] AS dirs FROM documents)),
 ls AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS unit, unnest(range(len(string_split(text, chr(10))))) AS line FROM files WHERE text <> ''),
+ps AS (SELECT doc_id, unnest(string_split_regex(text, '\n(?:[^\p{{L}}\p{{N}}\n]*\n)+')) AS unit, unnest(range(len(string_split_regex(text, '\n(?:[^\p{{L}}\p{{N}}\n]*\n)+')))) AS place FROM files WHERE text <> ''),
 lt AS (SELECT doc_id, line, regexp_extract_all(lower(unit), '{_TERM}') AS terms FROM ls),
 lines AS (SELECT * FROM lt WHERE len(terms) > 0),
 n AS (SELECT count(*) AS n FROM lines),
 df AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(terms)) AS term FROM lines) JOIN vocab USING (term) GROUP BY term),
 idf AS (SELECT v.term, ln((1 + n.n) / (1.0 + coalesce(df.df, 0))) + 1 AS idf FROM vocab v CROSS JOIN n LEFT JOIN df USING (term)),
 w AS (SELECT t, licence, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY t)) AS w FROM tw JOIN idf USING (term)),
-units AS (SELECT doc_id, line, terms FROM lines UNION ALL SELECT doc_id, -1, regexp_extract_all(lower(text), '{_TERM}') FROM files WHERE named AND text <> ''),
+units AS (SELECT doc_id, line, terms FROM lines UNION ALL SELECT doc_id, -1073741824, regexp_extract_all(lower(text), '{_TERM}') FROM files WHERE named AND text <> ''
+  UNION ALL SELECT doc_id, place - 536870912, regexp_extract_all(lower(unit), '{_TERM}') FROM ps WHERE contains(unit, chr(10))),
 close AS (SELECT * FROM units WHERE list_has_any(terms, (SELECT list(term) FROM vocab))),
 tf AS (SELECT doc_id, line, term, count(*) AS tf FROM (SELECT doc_id, line, unnest(terms) AS term FROM close) GROUP BY ALL),
 x AS (SELECT doc_id, line, term, tf.tf * coalesce(idf.idf, (SELECT ln((1 + n) / 2.0) + 1 FROM n)) AS x FROM tf LEFT JOIN idf USING (term)),
@@ -110,12 +113,13 @@ norm AS (SELECT doc_id, line, sqrt(sum(x * x)) AS norm FROM x GROUP BY ALL),
 dot AS (SELECT doc_id, line, t, licence, sum(x * w) AS d FROM x JOIN w USING (term) GROUP BY ALL),
 best AS (SELECT doc_id, licence, line, round(d / norm, 9) AS score FROM dot JOIN norm USING (doc_id, line) WHERE round(d / norm, 9) >= 0.75),
 own AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line, licence) AS k FROM best) WHERE k = 1),
-found AS (SELECT f.doc_id, base || name AS path, named, CASE WHEN named THEN base ELSE base || '/' || (f.doc_id // 200) END AS dir, base, o.licence, o.score
-  FROM files f LEFT JOIN own o USING (doc_id)),
-given AS (SELECT dir, licence FROM (SELECT dir, licence, row_number() OVER (PARTITION BY dir ORDER BY score DESC, licence) AS k FROM found WHERE named AND licence IS NOT NULL) WHERE k = 1)
-SELECT f.doc_id, f.path, coalesce(f.licence, g.licence) AS licence, CASE WHEN f.licence IS NOT NULL THEN 'own' WHEN g.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS how,
-  round(f.score, 6) AS score, CASE WHEN f.licence IS NULL THEN g.dir END AS from_dir
-FROM found f LEFT JOIN given g ON g.dir = f.base
+found AS (SELECT f.doc_id, dirs[-1] || CASE WHEN named THEN '/LICENSE-' || f.doc_id ELSE '/' || f.doc_id || '.txt' END AS path, named, dirs, o.licence, o.score FROM files f LEFT JOIN own o USING (doc_id)),
+given AS (SELECT dir, licence FROM (SELECT dirs[-1] AS dir, licence, row_number() OVER (PARTITION BY dirs[-1] ORDER BY score DESC, licence) AS k FROM found WHERE named AND licence IS NOT NULL) WHERE k = 1),
+above AS (SELECT a.doc_id, arg_max(g.licence, a.depth) AS licence, arg_max(g.dir, a.depth) AS dir
+  FROM (SELECT doc_id, unnest(dirs) AS dir, unnest(range(len(dirs))) AS depth FROM found WHERE licence IS NULL) a JOIN given g USING (dir) GROUP BY a.doc_id)
+SELECT f.doc_id, f.path, coalesce(f.licence, a.licence) AS licence, CASE WHEN f.licence IS NOT NULL THEN 'own' WHEN a.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS how,
+  round(f.score, 6) AS score, a.dir AS from_dir
+FROM found f LEFT JOIN above a USING (doc_id)
 """
 
 OP3_SQL = rf"""
