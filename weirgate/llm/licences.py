@@ -6,9 +6,9 @@ lines that hold a word, so wrapped headers behind comment marks are one unit), a
 for licence files also the whole text.  Terms are folded words.  A template
 term's document frequency is counted over the lines of all files; terms of no
 template weigh as if they occurred once.  A prefix bound keeps the join sparse:
-with a template's terms in falling order of weight, a unit that shares none of the
-first ones cannot reach the threshold, whatever else it shares, so only files,
-and in them units, with such a term are compared.
+with a template's terms ordered by rarity, a unit that shares none of the first
+ones, up to where the rest weighs less than the threshold, cannot reach it, so only
+files, and in them units, with such a term are compared.
 
 A file has the licence of its best unit at or over the threshold.  A file
 without takes that of the nearest directory above it that holds a licence file
@@ -107,7 +107,7 @@ def _vectors(templates: dict[str, tuple[str, ...]], idf: dict[str, float], thres
             vector = {t: w / size for t, w in raw.items()}
             vectors.append((name, vector))
             rest = 1.0
-            for t, w in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+            for t, w in sorted(vector.items(), key=lambda x: (-idf[x[0]], x[0])):
                 if math.sqrt(max(0.0, rest)) < threshold - 1e-9:
                     break
                 needed.add(t)
