@@ -158,7 +158,7 @@ def test_search_on_edge_cases_equals_brute_force(spark):
     df = spark.createDataFrame([(i, v, "x") for i, v in [*vectors.items(), *odd]], "vec_id long, embedding array<float>, rank string")
     fine = {i: np.array(v, "<f4").astype(float) for i, v in vectors.items()}
     got = {}
-    for r in nearest.search(df, df.where("vec_id % 20 = 0 or vec_id in (206, 200)"), k=10, tables=24).collect():
+    for r in nearest.search(df, df.where("vec_id % 20 = 0 or vec_id in (206, 200)"), k=10, settings=nearest.Settings(20, 8)).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     assert 200 not in got and 206 not in got  # no usable vector; none of its length
     for q in (0, 20, 40, 100):
@@ -180,13 +180,40 @@ def test_search_recall_and_small_tables(spark):
         want = set(ids[np.lexsort((ids, d))][:11].tolist()) - {q}
         found, total = found + len(got[q] & set(list(want)[:10])), total + 10
     assert found / total >= 0.9
-    joined = nearest.search(df, df.where("vec_id % 400 = 0"), tables=32, probes=48, hashes=2).collect()
-    assert len({(r.query_id, r.rank) for r in joined}) == 50 and all(r.vec_id in got[r.query_id] for r in joined if r.rank == 1)
+    joined = nearest.search(df, df.where("vec_id % 400 = 0"), settings=nearest.Settings(20, 600, 2)).collect()
+    assert len({(r.query_id, r.rank) for r in joined}) == 50 and sum(r.vec_id in got[r.query_id] for r in joined) >= 30
     few = df.where("vec_id < 4 or vec_id = 100")
     assert nearest.search(few, few.where("vec_id = 0")).count() == 4  # all candidates, if fewer
     assert nearest.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_search_among_near_neighbours_compares_few(spark, monkeypatch):
+    dice = np.random.default_rng(8)
+    n, dim = 12_000, 32
+    x = (dice.normal(size=(n // 20, dim)).repeat(20, 0) + 0.15 * dice.normal(size=(n, dim))).astype("<f4")
+    of = nearest.fitted(x.astype(float), 10, n)
+    assert of.share < 0.2 and of.recall >= nearest.RECALL and of.hashes == 1
+    joined = nearest.fitted(x.astype(float), 10, nearest.JOINED_FROM)
+    assert joined.share <= of.share
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    monkeypatch.setattr(nearest, "PART", 40)  # large buckets are split, and many queries too
+    monkeypatch.setattr(nearest, "ASK", 3)
+    got = {}
+    for r in nearest.search(df, df.where("vec_id % 100 = 0")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hits = 0
+    for q in range(0, n, 100):
+        d = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(1))
+        want = [i for i in np.lexsort((np.arange(n), d))[:11] if i != q][:10]
+        rows = sorted(got[q])
+        assert [r for r, *_ in rows] == list(range(1, 11)) and all(abs(s - d[i]) < 1e-12 for _, i, s in rows) and [s for *_, s in rows] == sorted(s for *_, s in rows)
+        hits += len({i for _, i, _ in rows} & set(want))
+    assert hits >= 0.9 * n // 10
+    index = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x[:500])], "key long, v binary")
+    met = nearest._meeting(index, index.where("key % 50 = 0"), 499, nearest.Settings(6, 20), "<f4")
+    assert met.count() == met.select("q", "vec_id").distinct().count() > 0  # no pair is compared twice
+
+
 # ---------------------------------------------------------------- language, toxicity
 
 
@@ -499,13 +526,24 @@ def test_warc_round_trip(spark, monkeypatch):
     assert warc.lookup(archives, spark.createDataFrame([(5, "http://nowhere/")], "page_id long, url string")).count() == 0
     first = warc.lookup(archives, df.where("page_id = 2")).collect()
     assert {bytes(r.payload) for r in first} == {big.encode()}
+    files, base = warc._files(archives.root)
+    place = archives.captures.where("key like '%,b)%'").first()
+    reader = warc.Reader(archives.root)
+    revisit = next(reader.records([(place.file, place.offset, place.length)]))
+    assert revisit["warc-type"] == "revisit" and revisit["warc-refers-to-target-uri"] == "https://a.example.com:8443/" and revisit["warc-refers-to-date"] == revisit["warc-date"]
+    with files.open_input_stream(f"{base}/{place.file}", compression=None) as f:
+        assert b"WARC-Type: warcinfo" in zlib.decompressobj(31).decompress(f.read(4096))
+    large = spark.createDataFrame([(1, "http://l/", "x" * 3_000_000)], "page_id long, url string, html string")
+    assert [r.payload_bytes for r in warc.lookup(warc.write(large), large).collect()] == [3_000_000]
     assert warc.lookup(warc.write(df.limit(0)), df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("directory", [1, 2])
-def test_warc_lookup_of_keys_that_cross_directory_chunks(spark, monkeypatch, directory):
+@pytest.mark.parametrize("captures,most", [(1, 4096), (4, 4096), (1, 2)])
+def test_warc_lookup_of_keys_that_cross_slices(spark, monkeypatch, captures, most):
     monkeypatch.setattr(warc, "LINES", 2)
-    monkeypatch.setattr(warc, "DIRECTORY", directory)
+    monkeypatch.setattr(warc, "TASK_CAPTURES", captures)
+    monkeypatch.setattr(warc, "MOST_SLICES", most)
+    monkeypatch.setattr(warc, "AT_ONCE", 3)
     pages = [(1, "http://a/", "one")] + [(2, "http://b/", "two")] * 7 + [(None, "http://c/", f"null {i}") for i in range(6)] + [(3, "http://d/", "three")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     got = [(r.page_id or 0, r.url, bytes(r.payload).decode()) for r in warc.lookup(warc.write(df), df).collect()]

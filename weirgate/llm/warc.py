@@ -6,12 +6,13 @@ refer to it.  Each task writes archives of its own, one gzip member a record.
 
 Index: capture lines are keyed by the URL with its host reversed (and the page
 id), range-sorted, and written in compressed blocks of ``LINES`` lines.  The
-sparse directory has one row a block, its first key and where it lies.
+sparse directory has one row a block, its first and last key and where it lies.
 
-Reading: a key is binary-searched in the directory, then in the lines of its
-block, and the record is fetched by a range read of its archive.  Keys to look
-up are range-sorted too, so a task reads neighbouring blocks once.  The directory
-goes to the tasks in chunks of at most ``DIRECTORY`` rows, one pass a chunk.
+Reading: the directory and the keys to look up are cut into the same slices by
+at most `MOST_SLICES` keys of the directory, and each task reads its slice of both
+in order.  A key finds its block by the slice's part of the directory, is
+binary-searched in the block's lines, and the record is fetched by a range read of
+its archive.  The driver holds the cuts only, whatever the number of pages.
 
 Files are written under names that no other attempt uses and count only if the
 table of captures, itself written by Spark, names them; a repeated task leaves
@@ -43,9 +44,10 @@ from . import shared
 
 REVISIT_FROM = 100
 LINES = 1000
-DIRECTORY = 200_000
-#: Captures that a reading task looks up, about.
-TASK_CAPTURES = 10_000
+#: Captures of a reading task's slice, about, and slices at most.
+TASK_CAPTURES, MOST_SLICES = 10_000, 4096
+#: Records fetched at once.
+AT_ONCE = 200
 #: Bytes after which a task starts another archive; gap up to which two range reads become one.
 ARCHIVE_BYTES, READ_GAP = 1 << 30, 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -78,7 +80,14 @@ def _clean(value: object) -> str:
     return str(value).replace("\r", "%0D").replace("\n", "%0A")
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str) -> bytes:
+def archive_info(date: str) -> bytes:
+    """The warcinfo record that begins an archive, uncompressed."""
+    block = b"software: weirgate\r\nformat: WARC File Format 1.1\r\n"
+    head = f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: {_record_id(None)}\r\nWARC-Date: {date}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str, refers_url: str | None = None) -> bytes:
     """One WARC/1.1 record, uncompressed."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     fields = [
@@ -89,7 +98,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         ("WARC-Payload-Digest", f"sha256:{digest}"),
     ]
     if refers_to is not None:
-        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", _record_id(refers_to)), ("Refers-To-Page", refers_to)]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", _record_id(refers_to)), ("WARC-Refers-To-Target-URI", refers_url or "about:blank"), ("WARC-Refers-To-Date", date), ("Refers-To-Page", refers_to)]
     block = http + (payload if refers_to is None else b"")
     fields += [("Payload-Length", len(payload)), ("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(block))]
     if page_id is not None:
@@ -137,10 +146,11 @@ def write(pages: DataFrame, root: str | None = None, id_col: str = "page_id", ur
     root = root or shared.scratch(spark, "warc")
     body = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), body.alias("payload"), F.sha2(body, 256).alias("digest"))
-    narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("n"))
-    firsts = narrow.where(F.col("n") >= REVISIT_FROM).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("digest", "first")
+    narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("n"))
+    firsts = narrow.where(F.col("n") >= REVISIT_FROM).groupBy("digest").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    firsts = firsts.select("digest", F.col("f.page_id").alias("first"), F.col("f.url").alias("first_url"))
     told = rows.join(firsts, "digest", "left").select(
-        "page_id", "url", "payload", "digest", F.when((F.col("first") != F.col("page_id")) | F.col("page_id").isNull(), F.col("first")).alias("refers_to")
+        "page_id", "url", "payload", "digest", F.when((F.col("first") != F.col("page_id")) | F.col("page_id").isNull(), F.col("first")).alias("refers_to"), "first_url"
     )
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,14 +159,17 @@ def write(pages: DataFrame, root: str | None = None, id_col: str = "page_id", ur
         try:
             for batch in batches:
                 lines = {"key": [], "file": [], "offset": [], "length": []}
-                for page_id, url, payload, digest, refers_to in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                for page_id, url, payload, digest, refers_to, first_url in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                     if out is None or at >= ARCHIVE_BYTES:
                         if out is not None:
                             out.close()
                         files.create_dir(f"{base}/archives", recursive=True)
                         name, at = f"archives/{uuid.uuid4().hex}.warc.gz", 0
                         out = files.open_output_stream(f"{base}/{name}", compression=None)
-                    data = _gzip(record(page_id, url, payload, digest, refers_to, date))
+                        info = _gzip(archive_info(date))
+                        out.write(info)
+                        at = len(info)
+                    data = _gzip(record(page_id, url, payload, digest, refers_to, date, first_url))
                     out.write(data)
                     for k, v in zip(lines, (capture_key(url, page_id), name, at, len(data)), strict=True):
                         lines[k].append(v)
@@ -181,7 +194,7 @@ def write(pages: DataFrame, root: str | None = None, id_col: str = "page_id", ur
                 out = files.open_output_stream(f"{base}/{name}", compression=None)
             data = _gzip("".join(f"{k}\t{f}\t{o}\t{n}\n" for k, f, o, n in block).encode())
             out.write(data)
-            directory.append((block[0][0], name, at, len(data)))
+            directory.append((block[0][0], block[-1][0], name, at, len(data)))
             at += len(data)
 
         for batch in batches:
@@ -193,22 +206,21 @@ def write(pages: DataFrame, root: str | None = None, id_col: str = "page_id", ur
             flush(held)
         if out is not None:
             out.close()
-        first, file, offset, length = zip(*directory, strict=True) if directory else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(first, pa.string()), pa.array(file, pa.string()), pa.array(offset, pa.int64()), pa.array(length, pa.int64())], names=["first", "file", "offset", "length"])
+        first, last, file, offset, length = zip(*directory, strict=True) if directory else ((), (), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(first, pa.string()), pa.array(last, pa.string()), pa.array(file, pa.string()), pa.array(offset, pa.int64()), pa.array(length, pa.int64())], names=["first", "last", "file", "offset", "length"])
 
     lined = captures.repartitionByRange("key", "file", "offset").sortWithinPartitions("key", "file", "offset")
-    directory = shared.durable(lined.mapInArrow(index, "first string, file string, offset long, length long"), "directory")
+    directory = shared.durable(lined.mapInArrow(index, "first string, last string, file string, offset long, length long"), "directory")
     return Archives(root, captures, directory)
 
 
 class Reader:
-    """Looks keys up in one chunk of the directory, and reads records by range."""
+    """Looks keys up in blocks of the index, and reads records by range."""
 
-    def __init__(self, root: str, directory: list[tuple[str, str, int, int]]):
+    def __init__(self, root: str):
         self.files, self.base = _files(root)
-        self.directory, self.firsts = directory, [d[0] for d in directory]
         self.open: dict[str, object] = {}
-        self.block_at, self.keys, self.lines = -1, [], []
+        self.block, self.keys, self.lines = None, [], []
 
     def _range(self, name: str, offset: int, length: int) -> bytes:
         if name not in self.open:
@@ -217,24 +229,16 @@ class Reader:
             self.open[name] = self.files.open_input_file(f"{self.base}/{name}")
         return self.open[name].read_at(length, offset)
 
-    def _block(self, at: int) -> None:
-        if at != self.block_at:
-            _, name, offset, length = self.directory[at]
-            self.lines = [x.split("\t") for x in zlib.decompress(self._range(name, offset, length), 31).decode().split("\n")[:-1]]
-            self.keys, self.block_at = [x[0] for x in self.lines], at
-
-    def places(self, key: str) -> Iterator[tuple[str, int, int]]:
-        """(archive, offset, length) of each capture with this key."""
-        at = max(0, bisect.bisect_left(self.firsts, key) - 1)  # equal keys may begin in the block before
-        while at < len(self.directory) and self.firsts[at] <= key:
-            self._block(at)
+    def places(self, key: str, blocks: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
+        """(archive, offset, length) of each capture with this key in ``blocks``."""
+        for block in blocks:
+            if block != self.block:
+                self.lines = [x.split("\t") for x in zlib.decompress(self._range(*block), 31).decode().split("\n")[:-1]]
+                self.keys, self.block = [x[0] for x in self.lines], block
             i = bisect.bisect_left(self.keys, key)
             while i < len(self.keys) and self.keys[i] == key:
                 yield self.lines[i][1], int(self.lines[i][2]), int(self.lines[i][3])
                 i += 1
-            if i < len(self.keys):
-                return
-            at += 1
 
     def records(self, places: list[tuple[str, int, int]]) -> Iterator[dict]:
         """The records at ``places``, neighbours in an archive by one read."""
@@ -263,46 +267,54 @@ def lookup(archives: Archives, wanted: DataFrame, id_col: str = "page_id", url_c
             yield pa.RecordBatch.from_arrays([pa.array([capture_key(u, p) for p, u in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)], pa.string())], names=["key"])
 
     asked = wanted.select(F.col(id_col).cast("long"), url_col).mapInArrow(keys, "key string").distinct()
-    chunks, held = [], []
-    for r in archives.directory.orderBy("first", "file", "offset").toLocalIterator():
-        held.append((r.first, r.file, r.offset, r.length))
-        if len(held) == DIRECTORY:
-            chunks.append(held)
-            held = []
-    chunks += [held] if held else []
-    shape = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
-
-    def reading(known):
-        def read(batches):
-            reader = Reader(root, known.value)
-            for batch in batches:
-                places = [p for key in batch.column(0).to_pylist() for p in reader.places(key)]
-                for at in range(0, len(places), 200):
-                    cols: list[list] = [[] for _ in range(7)]
-                    for r in reader.records(places[at : at + 200]):
-                        if r["warc-type"] == "response":
-                            digest, size = hashlib.sha256(r["payload"]).hexdigest(), len(r["payload"])
-                        else:
-                            digest, size = r["warc-payload-digest"].removeprefix("sha256:"), int(r["payload-length"])
-                        row = (r.get("page"), r["warc-target-uri"], r["warc-type"], r.get("refers-to-page"), digest, size, r["payload"])
-                        for c, v in zip(cols, row, strict=True):
-                            c.append(v)
-                    number = lambda x: pa.array([None if v is None else int(v) for v in x], pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [number(cols[0]), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()), number(cols[3]), pa.array(cols[4], pa.string()), number(cols[5]), pa.array(cols[6], pa.binary())],
-                        names=["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"],
-                    )
-
-        return read
-
-    out = None
-    tasks = max(1, -(-archives.directory.count() * LINES // (TASK_CAPTURES * max(1, len(chunks)))))
-    for i, chunk in enumerate(chunks):
-        own = asked
-        if i:
-            own = own.where(F.col("key") >= chunk[0][0])
-        if i + 1 < len(chunks):
-            own = own.where(F.col("key") <= chunks[i + 1][0][0])  # its captures can begin in this chunk; chunks read disjoint blocks
-        part = own.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(reading(spark.sparkContext.broadcast(chunk)), shape)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], shape)
+    slices = max(1, min(MOST_SLICES, -(-archives.directory.count() * LINES // TASK_CAPTURES)))
+    firsts = archives.directory.select("first").repartitionByRange(slices, "first").groupBy(F.spark_partition_id()).agg(F.min("first").alias("first"))
+    cuts = spark.sparkContext.broadcast(sorted({r.first for r in firsts.collect()})[1:])  # fewer than MOST_SLICES keys
+
+    def sliced(batches):
+        """Keys and blocks by slice; a block is in every slice that its keys reach."""
+        for batch in batches:
+            low, high = ([bisect.bisect_right(cuts.value, k) for k in batch.column(i).to_pylist()] for i in (0, 1))
+            which = [i for i, (a, b) in enumerate(zip(low, high, strict=True)) for _ in range(a, b + 1)]
+            rows = batch.take(pa.array(which, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([x for a, b in zip(low, high, strict=True) for x in range(a, b + 1)], pa.int32()), *rows.columns], names=["slice", "key", "last", "file", "offset", "length"])
+
+    keyed = asked.select("key", F.col("key").alias("last"), F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("offset"), F.lit(None).cast("long").alias("length"))
+    both = archives.directory.withColumnRenamed("first", "key").unionByName(keyed).mapInArrow(sliced, "slice int, key string, last string, file string, offset long, length long")
+    both = both.repartitionByRange(slices, "slice").sortWithinPartitions("slice", "key", F.col("file").asc_nulls_last(), "offset")
+
+    def read(batches):
+        reader, slice_, blocks, places = Reader(root), None, [], []
+        for batch in batches:
+            for at, key, last, *block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != slice_:
+                    slice_, blocks = at, []
+                blocks = [x for x in blocks if x[0] >= key]
+                if block[0] is not None:
+                    blocks.append((last, tuple(block)))
+                    continue
+                for place in reader.places(key, [x for _, x in blocks]):
+                    places.append(place)
+                    if len(places) >= AT_ONCE:
+                        yield _told(reader.records(places))
+                        places = []
+        yield _told(reader.records(places))
+
+    return both.mapInArrow(read, "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary")
+
+
+def _told(records: Iterator[dict]) -> pa.RecordBatch:
+    cols: list[list] = [[] for _ in range(7)]
+    for r in records:
+        if r["warc-type"] == "response":
+            digest, size = hashlib.sha256(r["payload"]).hexdigest(), len(r["payload"])
+        else:
+            digest, size = r["warc-payload-digest"].removeprefix("sha256:"), int(r["payload-length"])
+        row = (r.get("page"), r["warc-target-uri"], r["warc-type"], r.get("refers-to-page"), digest, size, r["payload"])
+        for c, v in zip(cols, row, strict=True):
+            c.append(v)
+    number = lambda x: pa.array([None if v is None else int(v) for v in x], pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [number(cols[0]), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()), number(cols[3]), pa.array(cols[4], pa.string()), number(cols[5]), pa.array(cols[6], pa.binary())],
+        names=["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"],
+    )
