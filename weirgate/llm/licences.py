@@ -33,6 +33,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import shared
+
 THRESHOLD = 0.75
 MOST_TERMS = 5000
 #: Places of units: the whole file, paragraphs from here on, lines from 0.
@@ -137,7 +139,7 @@ def scan(files: DataFrame, licence_file: Column, id_col: str = "doc_id", path_co
     vectors, needed = _vectors(templates, idf, threshold)
 
     telling = lambda terms: F.exists(terms, lambda t: t.isin(*sorted(needed)))
-    near = told.where(telling(terms_of(F.col("text"))))  # files that hold such a term at all
+    near = shared.durable(told.select("key", "text", "named").where(telling(terms_of(F.col("text")))), "telling")  # files that hold such a term at all
     part = lambda c: near.select("key", c.alias("line", "unit"))
     lines = part(held)
     paragraphs = part(F.posexplode(F.split("text", GAP))).where(F.col("unit").contains("\n")).withColumn("line", F.col("line") + F.lit(PARAGRAPHS))
