@@ -5,8 +5,10 @@ join follows the prefix-filter family with the two relations of Wang et al.
 (2017): index lists are cut into blocks that whole-block bounds can skip, and
 the answers of a set are derived from those of a highly similar set.
 
-1. One pass counts every shingle into a fixed-size table (`SKETCH`), which
-   gives the global order "rarest first".
+1. One pass counts every shingle into a table of fixed size (`SKETCH`), which
+   gives the global order "rarest first".  Counts go to 4 * 10^9; the order is
+   sent out by their logarithm, so that frequent shingles stay apart however many
+   there are.
 2. One pass writes for each document its size, set id and prefix: the
    `n - ceil(t n) + 1` first shingles in that order.  Equal sets share an id and
    are one entry from here on, so exact copies cost nothing more.
@@ -19,9 +21,10 @@ the answers of a set are derived from those of a highly similar set.
    are verified on the full sets.
 4. Verified links give components.  A pair inside one component derives its
    answer (same component) from the answers already computed and is skipped.
-   Only pairs across components remain: lists are joined by blocks of size, a
-   block joins itself and the next one, and position bounds cut the rest.
-   Survivors are verified too, and the links of both steps give the result.
+   Only pairs across components remain: lists are cut into blocks by size, a
+   block joins itself and the next one.  An entry's position bounds the size of its
+   partners, so that blocks beyond are skipped whole; the bounds of the pair cut
+   the rest.  Survivors are verified too, and the links of both steps give the result.
 
 No step of the components emits the pairs of a group: step 3 is linear in the lists, step 4
 leaves out what is already connected.
@@ -47,15 +50,14 @@ from pyspark.sql import types as T
 
 from . import shared
 
-#: Counters of the shingle-frequency table: fixed size, 2 bytes each once merged.
+#: Counters of the shingle-frequency table: fixed size, 4 bytes each, 2 as they are sent out.
 SKETCH = 1 << 21
+MOST_COUNT, OCTAVE = (1 << 32) - 1, 2047
 #: Pieces in which the counters are merged, and groups of tasks merged first.
 PIECES, FAN_IN = 64, 64
 #: Bits of a set's parity signature: each shingle flips one, so two signatures
 #: differ in no more bits than the sets differ in shingles.
 SIGNATURE = 1024
-#: Bits of the filter of sets that take part in any candidate pair.
-FILTER_BITS = 1 << 23
 #: Longer index lists are joined in so many cuts of this many sets when links are counted.
 LIST = 256
 
@@ -79,7 +81,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
-    """How many documents hold shingles of each counter, saturating at 65535: a table of fixed size."""
+    """A rank for each counter, higher for shingles that more documents hold: a table of fixed size."""
 
     def count(batches):
         table = np.zeros(SKETCH, np.int64)
@@ -87,7 +89,7 @@ def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
             held = [s & np.uint64(SKETCH - 1) for s in _sets(batch.column(0), k)]
             if held:
                 table += np.bincount(np.concatenate(held).astype(np.int64), minlength=SKETCH)
-        parts = np.minimum(table, 65535).astype("<u2").reshape(PIECES, -1)
+        parts = np.minimum(table, MOST_COUNT).astype("<u4").reshape(PIECES, -1)
         from pyspark import TaskContext
 
         at = TaskContext.get().partitionId() % FAN_IN
@@ -100,11 +102,11 @@ def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
         at, total = None, None
 
         def row():
-            return pa.RecordBatch.from_pydict({"piece": pa.array([at[0]], pa.int32()), "fan": pa.array([at[1]], pa.int32()), "n": pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())})
+            return pa.RecordBatch.from_pydict({"piece": pa.array([at[0]], pa.int32()), "fan": pa.array([at[1]], pa.int32()), "n": pa.array([np.minimum(total, MOST_COUNT).astype("<u4").tobytes()], pa.binary())})
 
         for batch in batches:
             for piece, fan, n in zip(*batch.columns, strict=True):
-                key, x = (piece.as_py(), fan.as_py()), np.frombuffer(n.as_py(), "<u2").astype(np.int64)
+                key, x = (piece.as_py(), fan.as_py()), np.frombuffer(n.as_py(), "<u4").astype(np.int64)
                 if key != at:
                     if at is not None:
                         yield row()
@@ -119,8 +121,8 @@ def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
     parts = parts.withColumn("fan", F.lit(0)).repartition("piece").sortWithinPartitions("piece").mapInArrow(merge, shape)  # at most FAN_IN rows a piece
     table = np.zeros((PIECES, SKETCH // PIECES), np.int64)
     for row in parts.toLocalIterator():
-        table[row.piece] += np.frombuffer(row.n, "<u2")
-    return np.minimum(table, 65535).astype(np.uint16).reshape(-1)
+        table[row.piece] += np.frombuffer(row.n, "<u4")
+    return (np.log2(np.minimum(table, MOST_COUNT) + 1.0) * OCTAVE).astype(np.uint16).reshape(-1)
 
 
 def prefixes(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: float, counts: np.ndarray) -> DataFrame:
@@ -163,27 +165,16 @@ def _need(p: int, n, m):
 def _full_sets(docs: DataFrame, text_col: str, k: int, nodes: DataFrame) -> DataFrame:
     """(sid, items) for the set ids of ``nodes``.
 
-    Sets are made again from the texts, for ids in a fixed-size bit filter of
-    ``nodes`` only, so sets nobody asks for never reach a shuffle."""
-    spark, bits = docs.sparkSession, np.zeros(FILTER_BITS // 8, np.uint8)
-    slot = F.pmod("sid", F.lit(FILTER_BITS))
-    filled = nodes.select(slot.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
-    for row in filled.toLocalIterator():  # at most FILTER_BITS bits
-        piece = np.frombuffer(row.bits, np.uint8)
-        at = (row.bucket - 1) * 4096
-        if at < 0:  # bucket 0 holds position 0 only
-            at = 0
-        end = min(len(bits), at + len(piece))
-        bits[at:end] |= piece[: end - at]
-    table = spark.sparkContext.broadcast(np.unpackbits(bits, bitorder="little"))
+    Sets are made again from the texts, for ids in a bit filter of ``nodes`` only,
+    sized by their number, so sets nobody asks for hardly ever reach a shuffle."""
+    table = docs.sparkSession.sparkContext.broadcast(shared.bit_filter(nodes, "sid", shared.filter_bits(nodes.count())))
 
     def asked(batches):
         for batch in batches:
             sids, sets, lengths = [], [], [0]
             for s in _sets(batch.column(0), k):
                 sid = set_id(s) if len(s) else None
-                # bit_position counts from 0 for slot 1, bucket by bucket
-                if sid is not None and table.value[(sid % FILTER_BITS - 1) % FILTER_BITS if sid % FILTER_BITS else 0]:
+                if sid is not None and shared.in_filter(table.value, np.array([sid])).item():
                     sids.append(sid)
                     sets.append(s.view(np.int64))
                     lengths.append(lengths[-1] + len(s))
@@ -222,8 +213,21 @@ def _fits(p: int, n, pos, m, pos2):
     return (F.least(n, m) * 1000 >= F.greatest(n, m) * p) & (1 + F.least(n - pos - 1, m - pos2 - 1) >= _need(p, n, m))
 
 
+def _width(p: int) -> float:
+    return 1.000001 * math.log(1000 / p)  # a shade wide, for rounding
+
+
 def _block(p: int):
-    return F.floor(F.log(F.col("n").cast("double")) / F.lit(1.000001 * math.log(1000 / p))).cast("int")  # a shade wide, for rounding
+    return F.floor(F.log(F.col("n").cast("double")) / F.lit(_width(p))).cast("int")
+
+
+def _reached(p: int):
+    """The size blocks in which an entry can have a partner of its own size or more:
+    from its position on, so many shingles are left for the pair to share."""
+    left = (F.col("n") - F.col("pos")) * F.lit(1000 + p)
+    most = ((left - F.pmod(left, F.lit(p))) / F.lit(p)).cast("long") - F.col("n")
+    following = F.exp((F.col("block") + 1) * F.lit(_width(p))) * F.lit(1 - 1e-9) <= most
+    return F.when(most < F.col("n"), F.array().cast("array<int>")).when(following, F.array(F.col("block"), F.col("block") + 1)).otherwise(F.array("block"))
 
 
 def _indexed(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -265,8 +269,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     long = shown.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(c("c") > LIST).select("token", F.ceil(c("c") / LIST).cast("int").alias("cuts"))
     rows = shown.where("sid <> pivot").join(known, ["sid", "pivot"], "left").join(long, "token", "left")
     rows = shared.durable(rows.select("token", "sid", "n", "pos", "pivot", "d", F.coalesce("cuts", F.lit(1)).alias("cuts"), _block(p).alias("block")), "open")
-    left = rows.withColumn("cut", F.pmod("sid", "cuts").cast("int"))
-    right = rows.select("token", F.explode(F.array(c("block"), c("block") - 1)).alias("block"), c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("d").alias("d2"), "cuts")
+    left = rows.withColumns({"cut": F.pmod("sid", "cuts").cast("int"), "block": F.explode(_reached(p))})
+    right = rows.select("token", "block", c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("d").alias("d2"), "cuts")
     right = right.withColumn("cut", F.explode(F.sequence(F.lit(0), c("cuts") - 1))).drop("cuts")
     pairs = left.join(right, ["token", "block", "cut"]).where(((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & _fits(p, c("n"), c("pos"), c("n2"), c("pos2")))
     apart = c("d") + c("d2")
@@ -299,8 +303,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labelled = shown.select("token", "sid", "n", "pos").join(first.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     open_lists = labelled.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
     labelled = shared.durable(labelled.join(open_lists, "token").withColumn("block", _block(p)), "open")
-    right = labelled.select("token", F.explode(F.array(c("block"), c("block") - 1)).alias("block"), c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("root").alias("root2"))
-    across = labelled.join(right, ["token", "block"]).where((c("root") != c("root2")) & ((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & _fits(p, c("n"), c("pos"), c("n2"), c("pos2")))
+    right = labelled.select("token", "block", c("sid").alias("sid2"), c("n").alias("n2"), c("pos").alias("pos2"), c("root").alias("root2"))
+    across = labelled.withColumn("block", F.explode(_reached(p))).join(right, ["token", "block"]).where((c("root") != c("root2")) & ((c("n2") > c("n")) | ((c("n2") == c("n")) & (c("sid") < c("sid2")))) & _fits(p, c("n"), c("pos"), c("n2"), c("pos2")))
     across = across.select(F.greatest("sid", "sid2").alias("a"), F.least("sid", "sid2").alias("b")).distinct()
     late = _verified(docs, text_col, k, threshold, signs, across)
     everything = first.select(c("node").alias("a"), c("root").alias("b")).unionByName(late)

@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch, share_code
+from ..session import durable, scratch, share_code
+
+__all__ = ["durable", "scratch"]
 
 #: Rows per Arrow batch for text columns; bounds what a Python worker holds.
 TEXT_ROWS_PER_BATCH = 500
@@ -19,15 +21,6 @@ TEXT_ROWS_PER_BATCH = 500
 HASH_CHUNK = 1 << 18
 
 
-def durable(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back: lineage ends
-    there, so a lost executor costs no more than a reread."""
-    spark = df.sparkSession
-    path = scratch(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_session(spark: SparkSession) -> None:
     """Keeps Arrow batches of texts small enough for a worker's memory, and the package importable there."""
     share_code(spark)
@@ -45,6 +38,35 @@ def kept_row(df: DataFrame) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("kept")
 
 
+# ---------------------------------------------------------------- bit filters
+
+#: Bits of a filter for each value that it holds, and bits at most (64 MB).
+FILTER_SHARE, MOST_FILTER_BITS = 8, 1 << 29
+
+
+def filter_bits(values: int) -> int:
+    """Bits of a filter for so many values: a power of two within fixed bounds."""
+    return max(1 << 16, min(MOST_FILTER_BITS, 1 << (FILTER_SHARE * max(1, values) - 1).bit_length()))
+
+
+def bit_filter(values: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bit for each remainder of the 64-bit ``column`` modulo ``bits``, packed; of bounded
+    size whatever the number of values, and made on the executors."""
+    out, slot = np.zeros(bits // 8, np.uint8), F.pmod(F.col(column), F.lit(bits))
+    filled = values.select((slot + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    for row in filled.toLocalIterator():  # 32768 bits a row
+        piece = np.frombuffer(row.bits, np.uint8)
+        at = (row.bucket - 1) * 4096  # buckets count from 1, as do the places in them
+        out[at : at + len(piece)] |= piece[: len(out) - at]
+    return out
+
+
+def in_filter(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which signed 64-bit ``values`` a filter may hold."""
+    at = values & np.int64(len(packed) * 8 - 1)
+    return (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
 # ---------------------------------------------------------------- components
 
 
