@@ -133,9 +133,9 @@ def brute_contamination(text, items, size=13):
     return len(w), len(hit), sorted(found)
 
 
-@pytest.mark.parametrize("block", [100_000, 5])
-def test_contamination_equals_brute_force(spark, block, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BLOCK", block)  # several passes give the same
+@pytest.mark.parametrize("sent", [200_000, 5])
+def test_contamination_equals_brute_force(spark, sent, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SENT", sent)  # the dealt join gives the same
     a, b = words(40, 5), words(13, 6)
     items = [(1, " ".join(a)), (2, " ".join(b)), (2, " ".join(b)), (10, "short item"), (11, None), (12, ""), (None, " ".join(a)), (13, "a a a a a a a a a a a a a a a"), (14, "ünï-cödé")]
     texts = [" ".join(words(30, 7) + a[5:30] + words(20, 8)), " ".join(b).upper() + "!", " ".join(b[:12]), "Short, item? short item", "a " * 30, None, "", "...", "x ÜNÏ_cödé ünï cödé", " ".join(words(5000, 9) + b)]
@@ -145,6 +145,9 @@ def test_contamination_equals_brute_force(spark, block, monkeypatch):
     want = sorted((i if i is not None else -1, *brute_contamination(t, items)) for i, t in [*enumerate(texts), (3, texts[3]), (None, texts[0])])
     assert got == want
     assert decontaminate.contamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
+    assert decontaminate.contamination(docs.limit(0), bench).count() == 0
+    whole = decontaminate.contamination(docs, bench, keep=True).select("kept.*")
+    assert whole.columns == docs.columns and Counter(map(tuple, whole.collect())) == Counter(map(tuple, docs.collect()))
 
 
 # ---------------------------------------------------------------- nearest neighbours
@@ -499,11 +502,55 @@ def test_evolution_beats_or_equals_best_fit_decreasing():
     first = packing.Bins(1024)
     for n in sorted(range(300), key=lambda p: -lengths[p]):
         first.best_fit(n, lengths[n])
-    best = packing.evolve(lengths, 1024, 1)
+    best = packing.evolve(lengths, 1024, 1)[0]
     assert len(best.bins) <= len(first.bins) and sorted(p for b in best.bins for p in b) == list(range(300))
     assert all(sum(lengths[p] for p in b) == f <= 1024 for b, f in zip(best.bins, best.fill, strict=True))
 
 
+@pytest.mark.parametrize("capacity", [10, 12])
+def test_bounds_and_packings_of_small_blocks(capacity):
+    dice = random.Random(capacity)
+
+    def fewest(sizes, bins=()):
+        if not sizes:
+            return len(bins)
+        head, rest = sizes[0], sizes[1:]
+        tried = {tuple(sorted((*bins[:i], bins[i] + head, *bins[i + 1 :]))) for i in range(len(bins)) if bins[i] + head <= capacity} | {tuple(sorted((*bins, head)))}
+        return min(fewest(rest, b) for b in tried)
+
+    for _ in range(40):
+        lengths = [dice.randint(1, capacity - 1) for _ in range(7)]
+        least, exact = packing.least_bins(lengths, capacity), fewest(sorted(lengths, reverse=True))
+        found = packing.evolve(lengths, capacity, 3)[0]
+        assert least <= exact <= len(found.bins) <= exact + 1 and sorted(p for b in found.bins for p in b) == list(range(7))
+        assert all(sum(lengths[p] for p in b) == f <= capacity for b, f in zip(found.bins, found.fill, strict=True))
+    assert packing.least_bins([], capacity) == 0
+
+
+def test_islands_exchange_their_elite(spark, monkeypatch):
+    dice = random.Random(9)
+    lengths = [dice.choice((dice.randint(20, 300), dice.randint(340, 520), dice.randint(500, 1000))) for _ in range(600)]
+    none = np.full(600, -1, "<i4").tobytes()
+    blocks = spark.createDataFrame([(0, np.arange(600).astype("<i8").tobytes(), np.array(lengths, "<i4").tobytes(), none)], packing._BLOCK)
+    best = packing._bins(bytes(packing._evolved(blocks, 1024, 1).first().bins))
+    assert sorted(p for b in best for p in b) == list(range(600)) and max(sum(lengths[p] for p in b) for b in best) <= 1024
+    plain = packing.packed(sorted(range(600), key=lambda p: -lengths[p]), lengths, 1024)
+    alone = [packing.evolve(lengths, 1024, at * 31 * 2 + 2 + 1)[0] for at in range(packing.ISLANDS)]
+    assert len(best) <= min(len(x.bins) for x in alone) <= len(plain.bins)
+    worse = [[p] for p in range(600)]  # a population that is given is used
+    assert len(packing.evolve(lengths, 1024, 1, [worse, best])[0].bins) <= len(best)
+
+
+def test_ids_equal_those_of_the_tokenizer_over_whole_tables(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    whole, of = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.tokens()
+    texts = [r.text for t in ("sf0.01", "sf0.001") for r in spark.read.parquet(f"/root/testdata/{t}/documents.parquet").where("text is not null").collect()]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").where("text is not null").collect()]
+    assert all(of.ids(t).tolist() == whole.encode(t, add_special_tokens=False).ids for t in texts)
+
+
 # ---------------------------------------------------------------- WARC
 
 

@@ -3,17 +3,19 @@ genetic algorithm on distributed islands.
 
 A document is its byte-level BPE ids and an end id.  Documents of more than
 ``capacity`` ids are cut into pieces of ``capacity``, the first of which may be
-shorter.  Full pieces are sequences of their own.  The others are dealt to
-islands of bounded size.  Each island evolves a small population of packings
-(Falkenauer's grouping algorithm): crossover injects whole well-filled bins of
-one parent into another, removes the bins that hold duplicates of injected
-pieces, and best-fits the displaced pieces, longest first.  Bins of the best
-packing that are full enough are the elite and settle; what the other bins hold
-migrates, bin by bin, to islands of the next round, whose population starts
-from the migrated bins.  In the last round every bin settles.
-
-An island stops early once it needs no more bins than its ids divided by the
-capacity, rounded up: no packing is better.
+shorter.  Full pieces are sequences of their own.  The others are dealt to blocks of
+bounded size, and several islands evolve packings of each block (Falkenauer's
+grouping algorithm): crossover injects whole well-filled bins of one parent into
+another, removes the bins that hold duplicates of injected pieces, and best-fits
+the displaced pieces, longest first, singly and in pairs.  Parents win tournaments; packings count by their bins, then by
+how unevenly these are filled.  After some generations each island sends copies of
+its elite, its best packings, to the next island, which takes them into its
+population; the best packing of all islands stands for the block.  Bins with at most
+`SETTLED_FREE` free ids settle; what the others hold is dealt once more, bin by bin,
+to new blocks, whose islands start from these bins, and then every bin settles.
+
+An island stops early once it needs no more bins than its pieces need at least:
+their ids over the capacity, or those too long to share a bin.
 
 Defined results: a null text is an empty one and gives the end id only; repeated
 rows are packed each for themselves; a null id is kept as null; extra columns are
@@ -37,9 +39,10 @@ from . import shared
 VOCABULARY = "byte_bpe_50k"
 CAPACITY = 1024
 END_ID = 2
-#: Pieces per island, at most about 1.2 x this; rounds of migration before the last.
-ISLAND, ROUNDS = 4096, 2
-POPULATION, GENERATIONS = 4, 6
+#: Pieces per block, at most about 1.2 x this; rounds of dealing.
+BLOCK, ROUNDS = 4096, 2
+#: Islands of a block, packings that each keeps, generations before and after the elite travels, and its size.
+ISLANDS, POPULATION, GENERATIONS, ELITE = 3, 4, 8, 2
 #: A bin settles early with at most this many ids left free.
 SETTLED_FREE = 8
 
@@ -125,6 +128,7 @@ class Bins:
 
     def __init__(self, capacity: int):
         self.capacity, self.bins, self.fill = capacity, [], []
+        # where bins with so many free ids are, some of them no longer
         self.by_free: list[list[int]] = [[] for _ in range(capacity + 1)]
         self.mask = 0
 
@@ -137,23 +141,87 @@ class Bins:
         self.by_free[free].append(at)
         self.mask |= 1 << free
 
-    def best_fit(self, piece: int, length: int) -> None:
-        fits = self.mask >> length
-        if not fits:
-            self.add_bin([piece], length)
-            return
-        free = length + (fits & -fits).bit_length() - 1
-        at = self.by_free[free].pop()
-        if not self.by_free[free]:
-            self.mask &= ~(1 << free)
-        self.bins[at].append(piece)
-        self.fill[at] += length
-        self._file(at, free - length)
-
+    def exchanged(self, at: int, longer: int) -> None:
+        """A piece of a bin was exchanged for one that is longer by so much."""
+        self.fill[at] += longer
+        self._file(at, self.capacity - self.fill[at])
 
-def fitness(packing: Bins) -> float:
-    """Falkenauer's measure: full bins count more than the same ids spread evenly."""
-    return sum((f / packing.capacity) ** 2 for f in packing.fill) / max(1, len(packing.fill))
+    def best_fit(self, piece: int, length: int) -> None:
+        while fits := self.mask >> length:
+            free = length + (fits & -fits).bit_length() - 1
+            at = self.by_free[free].pop()
+            if not self.by_free[free]:
+                self.mask &= ~(1 << free)
+            if self.capacity - self.fill[at] == free:
+                self.bins[at].append(piece)
+                self.fill[at] += length
+                self._file(at, free - length)
+                return
+        self.add_bin([piece], length)
+
+
+def fitness(packing: Bins) -> tuple[int, float]:
+    """Fewer bins, then Falkenauer's measure: full bins count more than the same ids spread evenly."""
+    return -len(packing.bins), sum((f / packing.capacity) ** 2 for f in packing.fill) / max(1, len(packing.fill))
+
+
+def _filling(gap: int, present: np.ndarray, count: np.ndarray) -> list[int]:
+    """The one or two lengths on offer that fill a gap best; fewer pieces on ties."""
+    upto = present[: np.searchsorted(present, gap, "right")]
+    if not len(upto) or upto[-1] == gap:
+        return upto[-1:].tolist()
+    other = np.searchsorted(upto, gap - upto, "right") - 1  # the longest that still fits beside
+    own = np.arange(len(upto))
+    other = np.where((other == own) & (count[upto] < 2), other - 1, other)
+    sums = np.where(other >= 0, upto + upto[other], upto)
+    best = int(sums.argmax())
+    if sums[best] <= upto[-1]:
+        return [int(upto[-1])]
+    return [int(upto[best]), int(upto[other[best]])]
+
+
+def placed(child: Bins, loose: list[int], lengths: list[int]) -> None:
+    """Best-fits loose pieces.  Each is first offered to a bin that it fills in
+    exchange for a shorter piece.  Then the longest that is left takes the one or two
+    pieces that fill its bin best, again and again; what stays alone goes to the
+    fullest bin with room."""
+    want: dict[int, list[tuple[int, int]]] = {}
+    for b in sorted((b for b, f in enumerate(child.fill) if f < child.capacity), key=lambda b: child.fill[b])[: 2 * len(loose) + 8]:
+        for place, p in enumerate(child.bins[b]):
+            want.setdefault(lengths[p] + child.capacity - child.fill[b], []).append((b, place))
+    swapped: set[int] = set()
+    by_length: dict[int, list[int]] = {}
+    for p in loose:
+        for b, place in want.get(lengths[p], ()):
+            if b not in swapped:
+                swapped.add(b)
+                old, child.bins[b][place] = child.bins[b][place], p
+                child.exchanged(b, lengths[p] - lengths[old])
+                p = old
+                break
+        by_length.setdefault(lengths[p], []).append(p)
+    count = np.zeros(child.capacity + 1, np.int64)
+    for n, pieces_ in by_length.items():
+        count[n] = len(pieces_)
+    present = np.flatnonzero(count)
+
+    def take(n: int) -> int:
+        nonlocal present
+        count[n] -= 1
+        if not count[n]:
+            present = present[present != n]
+        return by_length[n].pop()
+
+    while len(present):
+        n = int(present[-1])
+        members, fill = [take(n)], n
+        while len(present) and (more := _filling(child.capacity - fill, present, count)):
+            members += map(take, more)
+            fill += sum(more)
+        if len(members) == 1:
+            child.best_fit(members[0], n)
+        else:
+            child.add_bin(members, fill)
 
 
 def crossed(keep: Bins, give: Bins, lengths: list[int], dice: random.Random) -> Bins:
@@ -171,13 +239,12 @@ def crossed(keep: Bins, give: Bins, lengths: list[int], dice: random.Random) ->
             child.add_bin(list(members), fill)
         else:
             displaced += [p for p in members if p not in taken]
-    for p in sorted(displaced, key=lambda p: -lengths[p]):
-        child.best_fit(p, lengths[p])
+    placed(child, displaced, lengths)
     return child
 
 
 def shaken(packing: Bins, lengths: list[int], dice: random.Random) -> Bins:
-    """The packing with its emptiest bins, and some others, dissolved and best-fitted again."""
+    """The packing with its emptiest bins, and some others, dissolved and placed again."""
     order = sorted(range(len(packing.bins)), key=lambda b: packing.fill[b])
     gone = set(order[: 1 + len(order) // 20]) | {b for b in order if dice.random() < 0.03}
     child, loose = Bins(packing.capacity), []
@@ -186,95 +253,157 @@ def shaken(packing: Bins, lengths: list[int], dice: random.Random) -> Bins:
             loose += members
         else:
             child.add_bin(list(members), packing.fill[b])
-    for p in sorted(loose, key=lambda p: -lengths[p]):
-        child.best_fit(p, lengths[p])
+    placed(child, loose, lengths)
     return child
 
 
-def evolve(lengths: list[int], capacity: int, seed: int, migrated: list[list[int]] | None = None) -> Bins:
-    """The best packing that an island finds; ``migrated`` are bins from the round before."""
-    dice = random.Random(seed)
-    least = -(-sum(lengths) // capacity)
-    by_length = sorted(range(len(lengths)), key=lambda p: -lengths[p])
+def least_bins(lengths: list[int], capacity: int) -> int:
+    """No packing has fewer bins: by the ids, and by pieces too long to meet (Martello and Toth's bound)."""
+    x = np.sort(np.asarray(lengths, np.int64))
+    if not len(x):
+        return 0
+    edges = np.unique(np.concatenate([[0], x[2 * x <= capacity]]))
+    sums = np.concatenate([[0], np.cumsum(x)])
+    half, long = np.searchsorted(x, capacity // 2, "right"), np.searchsorted(x, capacity - edges, "right")
+    middle = sums[long] - sums[half]  # longer than half, but with room for the edge
+    small = sums[half] - sums[np.searchsorted(x, edges, "left")]
+    more = -(-(small - ((long - half) * capacity - middle)) // capacity)
+    return int((len(x) - half + np.maximum(0, more)).max())
 
-    def packed(order) -> Bins:
-        out = Bins(capacity)
-        for p in order:
-            out.best_fit(p, lengths[p])
-        return out
-
-    people = [packed(by_length)]
-    if len(people[0].bins) <= least:
-        return people[0]
-    if migrated:
-        kept = Bins(capacity)
-        for members in migrated:
-            kept.add_bin(list(members), sum(lengths[p] for p in members))
-        people.append(kept)
+
+def packed(order: list[int], lengths: list[int], capacity: int) -> Bins:
+    """Best fit in this order."""
+    out = Bins(capacity)
+    for p in order:
+        out.best_fit(p, lengths[p])
+    return out
+
+
+def evolve(lengths: list[int], capacity: int, seed: int, given: list[list[list[int]]] = (), elite: int = ELITE, generations: int = GENERATIONS) -> list[Bins]:
+    """The best packings of an island, which starts from ``given`` ones (lists of bins)."""
+    dice, least = random.Random(seed), least_bins(lengths, capacity)
+    by_length = sorted(range(len(lengths)), key=lambda p: -lengths[p])
+    people = []
+    for bins in given:
+        people.append(Bins(capacity))
+        for members in bins:
+            people[-1].add_bin(list(members), sum(lengths[p] for p in members))
+    people.append(packed(by_length, lengths, capacity))
+    if len(people) < POPULATION:
+        people.append(Bins(capacity))
+        placed(people[-1], by_length, lengths)
+    if min(len(x.bins) for x in people) <= least:
+        return [max(people, key=fitness)]
     while len(people) < POPULATION:
-        people.append(packed(sorted(by_length, key=lambda p: -lengths[p] * (0.8 + 0.4 * dice.random()))))
-    rank = lambda x: (-len(x.bins), fitness(x))
-    for _ in range(GENERATIONS):
-        people.sort(key=rank, reverse=True)
+        people.append(packed(sorted(by_length, key=lambda p: -lengths[p] * (0.8 + 0.4 * dice.random())), lengths, capacity))
+
+    def parent() -> Bins:
+        return max(dice.sample(people, 2), key=fitness)
+
+    for _ in range(generations):
+        children = [shaken(crossed(parent(), parent(), lengths, dice), lengths, dice), shaken(max(people, key=fitness), lengths, dice)]
+        people = sorted([*people, *children], key=fitness, reverse=True)[:POPULATION]
         if len(people[0].bins) <= least:
             break
-        a, b = people[0], people[1 + dice.randrange(len(people) - 1)]
-        people[-2:] = [shaken(crossed(a, b, lengths, dice), lengths, dice), crossed(b, a, lengths, dice)]
-    return max(people, key=rank)
+    return sorted(people, key=fitness, reverse=True)[:elite]
+
+
+# ------------------------------------------------------------ blocks and islands
 
+_BLOCK = "block int, uids binary, lengths binary, bins binary"
 
-def _islands(rows: DataFrame, size: int, salt: int, capacity: int, last: bool) -> DataFrame:
-    """One round: ``rows`` with sequence_id and offset for bins that settle, and
-    with bin (who travels together) for those that migrate."""
-    n = max(1, round(size / ISLAND))
+
+def _told(packing: Bins, n: int) -> bytes:
+    """The bin of each piece."""
+    out = np.empty(n, "<i4")
+    for b, members in enumerate(packing.bins):
+        out[members] = b
+    return out.tobytes()
+
+
+def _bins(told: bytes) -> list[list[int]]:
+    found: dict[int, list[int]] = {}
+    for p, b in enumerate(np.frombuffer(told, "<i4").tolist()):
+        if b >= 0:
+            found.setdefault(b, []).append(p)
+    return list(found.values())
+
+
+def _evolved(blocks: DataFrame, capacity: int, salt: int) -> DataFrame:
+    """(block, uids, lengths, bins) with the best packing that the islands of each block find."""
+
+    def island(first: bool):
+        def grow(batches):
+            for batch in batches:
+                elites = []
+                for block, at, lengths, given in zip(*(batch.column(c).to_pylist() for c in ("block", "island", "lengths", "given")), strict=True):
+                    sizes = np.frombuffer(lengths, "<i4").tolist()
+                    start = [_bins(x) for x in given]
+                    if first:  # bins that came together, and the pieces that came alone in bins of their own
+                        start = [[*x, *([p] for p in set(range(len(sizes))) - {p for m in x for p in m})] for x in start if x]
+                    best = evolve(sizes, capacity, ((block * 31 + at) * 31 + salt) * 2 + first, start)
+                    elites.append([{"fewest": len(x.bins), "even": 1 - fitness(x)[1], "bins": _told(x, len(sizes))} for x in best])
+                kind = pa.list_(pa.struct([("fewest", pa.int32()), ("even", pa.float64()), ("bins", pa.binary())]))
+                yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("island"), pa.array(elites, kind)], names=["block", "island", "elite"])
+
+        return grow
+
+    shape = "block int, island int, elite array<struct<fewest:int,even:double,bins:binary>>"
+    islands = blocks.select("block", "lengths", F.array("bins").alias("given"), F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"))
+    tasks = max(1, min(blocks.count() * ISLANDS, 4096))
+    one = shared.durable(islands.repartition(tasks, "block", "island").mapInArrow(island(True), shape), "islands")
+    # copies of an island's elite join the population of the next one
+    both = one.select("block", "island", "elite").unionByName(one.select("block", ((F.col("island") + 1) % ISLANDS).alias("island"), "elite"))
+    met = both.select("block", "island", F.explode("elite").alias("e")).groupBy("block", "island").agg(F.sort_array(F.collect_set("e"))["bins"].alias("given"))  # 2 * ELITE packings
+    two = met.join(blocks.select("block", "lengths"), "block").repartition(tasks, "block", "island").mapInArrow(island(False), shape)
+    best = two.select("block", F.explode("elite").alias("e")).groupBy("block").agg(F.min("e")["bins"].alias("best"))
+    return shared.durable(blocks.join(best, "block").select("block", "uids", "lengths", F.col("best").alias("bins")), "best")
+
+
+def _round(rows: DataFrame, size: int, salt: int, capacity: int, last: bool) -> DataFrame:
+    """(uid, sequence_id, offset, bin) of ``rows`` (uid, length, bin): a place for pieces whose bin settles,
+    and for the others the bin in which they travel on."""
+    n = max(1, round(size / BLOCK))
     together = F.coalesce(F.col("bin"), F.xxhash64("uid", F.lit(salt)))
-    rows = rows.withColumn("island", F.pmod(F.xxhash64(together, F.lit(salt)), F.lit(n)).cast("int"))
-
-    def settle(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("uid").to_numpy(), kind="stable")
-        table = table.take(pa.array(order))
-        lengths = table.column("length").to_pylist()
-        island = table.column("island")[0].as_py()
-        came: dict[int, list[int]] = {}
-        for p, b in enumerate(table.column("bin").to_pylist()):
-            if b is not None:
-                came.setdefault(b, []).append(p)
-        best = evolve(lengths, capacity, island * 31 + salt, list(came.values()) if len(came) else None)
-        sequence, offset, group = [None] * len(lengths), [None] * len(lengths), [None] * len(lengths)
-        for b, (members, fill) in enumerate(zip(best.bins, best.fill, strict=True)):
-            name, at = (salt << 58) | (island << 22) | b, 0
-            for p in members:
-                if last or capacity - fill <= SETTLED_FREE:
-                    sequence[p], offset[p] = name, at
-                    at += lengths[p]
-                else:
-                    group[p] = name
-        names = {"bin": pa.array(group, pa.int64()), "sequence_id": pa.array(sequence, pa.int64()), "offset": pa.array(offset, pa.int64())}
-        for c in table.column_names:
-            if c not in names and c != "island":
-                names[c] = table.column(c).combine_chunks()
-        return pa.table({c: names[c] for c in out})
-
-    out = ["doc_id", "piece", "start", "length", "ids_crc32", "uid", "bin", "sequence_id", "offset"]
-    return rows.drop("sequence_id", "offset").groupBy("island").applyInArrow(settle, rows.select(*out).schema)
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64(together, F.lit(salt)), F.lit(n)).cast("int"))
+
+    def gather(table: pa.Table) -> pa.Table:
+        table = table.take(pa.array(np.argsort(table.column("uid").to_numpy(), kind="stable")))
+        bins = table.column("bin").to_pylist()
+        place = {b: i for i, b in enumerate(sorted({b for b in bins if b is not None}))}
+        came = np.array([-1 if b is None else place[b] for b in bins], "<i4")
+        return pa.table({"block": table.column("block").slice(0, 1), "uids": pa.array([table.column("uid").to_numpy().astype("<i8").tobytes()], pa.binary()), "lengths": pa.array([table.column("length").to_numpy().astype("<i4").tobytes()], pa.binary()), "bins": pa.array([came.tobytes()], pa.binary())})
+
+    blocks = shared.durable(dealt.select("block", "uid", "length", "bin").groupBy("block").applyInArrow(gather, _BLOCK), "blocks")
+
+    def settle(batches):
+        for batch in batches:
+            cols: tuple[list, ...] = ([], [], [], [])
+            for block, uids, lengths, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids, sizes = np.frombuffer(uids, "<i8").tolist(), np.frombuffer(lengths, "<i4").tolist()
+                for b, members in enumerate(_bins(told)):
+                    name, at = (salt << 58) | (block << 22) | b, 0
+                    done = last or capacity - sum(sizes[p] for p in members) <= SETTLED_FREE
+                    for p in members:
+                        for c, v in zip(cols, (ids[p], name if done else None, at if done else None, None if done else name), strict=True):
+                            c.append(v)
+                        at += sizes[p]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["uid", "sequence_id", "offset", "bin"])
+
+    return shared.durable(_evolved(blocks, capacity, salt).mapInArrow(settle, "uid long, sequence_id long, offset long, bin long"), "packed")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     shared.text_session(docs.sparkSession)
     cut = shared.durable(pieces(docs, id_col, text_col, capacity, vocabulary).withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    empty = F.lit(None).cast("long")
-    rows = cut.withColumns({"bin": empty, "sequence_id": empty, "offset": empty})
-    done = [rows.where(F.col("length") == capacity).withColumns({"sequence_id": -F.col("uid") - 1, "offset": F.lit(0).cast("long")})]
-    open_rows = rows.where(F.col("length") < capacity)
+    full = cut.where(F.col("length") == capacity).select("uid", (-F.col("uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    open_rows, settled = cut.where(F.col("length") < capacity).select("uid", "length", F.lit(None).cast("long").alias("bin")), full
     for salt in range(1, ROUNDS + 1):
         size = open_rows.count()
         if not size:
             break
-        after = shared.durable(_islands(open_rows, size, salt, capacity, salt == ROUNDS), "packed")
-        done.append(after.where("sequence_id is not null"))
-        open_rows = after.where("sequence_id is null")
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+        after = _round(open_rows, size, salt, capacity, salt == ROUNDS)
+        settled = settled.unionByName(after.where("sequence_id is not null").select("uid", "sequence_id", "offset"))
+        open_rows = after.where("sequence_id is null").select("uid", "bin").join(cut.select("uid", "length"), "uid").select("uid", "length", "bin")
+    return cut.join(settled, "uid").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
