@@ -224,35 +224,26 @@ def placed(child: Bins, loose: list[int], lengths: list[int]) -> None:
             child.add_bin(members, fill)
 
 
-def crossed(keep: Bins, give: Bins, lengths: list[int], dice: random.Random) -> Bins:
-    """A child of ``keep`` into which well-filled bins of ``give`` are injected."""
-    order = sorted(range(len(give.bins)), key=lambda b: -give.fill[b])
-    good = order[: max(1, len(order) // 2)]
-    injected = [b for b in good if dice.random() < 0.5] or good[:1]
-    taken = {p for b in injected for p in give.bins[b]}
-    child = Bins(keep.capacity)
-    for b in injected:
-        child.add_bin(list(give.bins[b]), give.fill[b])
-    displaced = []
-    for members, fill in zip(keep.bins, keep.fill, strict=True):
-        if taken.isdisjoint(members):
-            child.add_bin(list(members), fill)
-        else:
-            displaced += [p for p in members if p not in taken]
-    placed(child, displaced, lengths)
-    return child
-
-
-def shaken(packing: Bins, lengths: list[int], dice: random.Random) -> Bins:
-    """The packing with its emptiest bins, and some others, dissolved and placed again."""
-    order = sorted(range(len(packing.bins)), key=lambda b: packing.fill[b])
-    gone = set(order[: 1 + len(order) // 20]) | {b for b in order if dice.random() < 0.03}
-    child, loose = Bins(packing.capacity), []
-    for b, members in enumerate(packing.bins):
-        if b in gone:
+def bred(keep: Bins, give: Bins | None, lengths: list[int], dice: random.Random) -> Bins:
+    """A child of ``keep``: well-filled bins of ``give`` are injected, bins that hold
+    duplicates of their pieces are removed, and the emptiest bins and some others are
+    dissolved; all pieces that lost their bin are placed again."""
+    child, loose, taken = Bins(keep.capacity), [], set()
+    if give is not None:
+        order = sorted(range(len(give.bins)), key=give.fill.__getitem__, reverse=True)
+        good = order[: max(1, len(order) // 2)]
+        for b in [b for b in good if dice.random() < 0.5] or good[:1]:
+            taken.update(give.bins[b])
+            child.add_bin(list(give.bins[b]), give.fill[b])
+    order = sorted(range(len(keep.bins)), key=keep.fill.__getitem__)
+    gone = {*order[: 1 + len(order) // 20], *(b for b in order if dice.random() < 0.03)}
+    for b, members in enumerate(keep.bins):
+        if not taken.isdisjoint(members):
+            loose += [p for p in members if p not in taken]
+        elif b in gone:
             loose += members
         else:
-            child.add_bin(list(members), packing.fill[b])
+            child.add_bin(list(members), keep.fill[b])
     placed(child, loose, lengths)
     return child
 
@@ -283,29 +274,33 @@ def evolve(lengths: list[int], capacity: int, seed: int, given: list[list[list[i
     """The best packings of an island, which starts from ``given`` ones (lists of bins)."""
     dice, least = random.Random(seed), least_bins(lengths, capacity)
     by_length = sorted(range(len(lengths)), key=lambda p: -lengths[p])
-    people = []
+    people: list[tuple[tuple[int, float], Bins]] = []
+
+    def join(packing: Bins) -> None:
+        people.append((fitness(packing), packing))
+
     for bins in given:
-        people.append(Bins(capacity))
+        join(Bins(capacity))
         for members in bins:
-            people[-1].add_bin(list(members), sum(lengths[p] for p in members))
-    people.append(packed(by_length, lengths, capacity))
+            people[-1][1].add_bin(list(members), sum(lengths[p] for p in members))
+        people[-1] = (fitness(people[-1][1]), people[-1][1])
     if len(people) < POPULATION:
-        people.append(Bins(capacity))
-        placed(people[-1], by_length, lengths)
-    if min(len(x.bins) for x in people) <= least:
-        return [max(people, key=fitness)]
-    while len(people) < POPULATION:
-        people.append(packed(sorted(by_length, key=lambda p: -lengths[p] * (0.8 + 0.4 * dice.random())), lengths, capacity))
-
-    def parent() -> Bins:
-        return max(dice.sample(people, 2), key=fitness)
-
+        join(packed(by_length, lengths, capacity))
+    rank = lambda x: x[0]
+    if len(people) < POPULATION and -max(people, key=rank)[0][0] > least:
+        alone = Bins(capacity)
+        placed(alone, by_length, lengths)
+        join(alone)
+    while len(people) < POPULATION and -max(people, key=rank)[0][0] > least:
+        join(packed(sorted(by_length, key=lambda p: -lengths[p] * (0.8 + 0.4 * dice.random())), lengths, capacity))
     for _ in range(generations):
-        children = [shaken(crossed(parent(), parent(), lengths, dice), lengths, dice), shaken(max(people, key=fitness), lengths, dice)]
-        people = sorted([*people, *children], key=fitness, reverse=True)[:POPULATION]
-        if len(people[0].bins) <= least:
+        people = sorted(people, key=rank, reverse=True)[:POPULATION]
+        if -people[0][0][0] <= least:
             break
-    return sorted(people, key=fitness, reverse=True)[:elite]
+        parents = [max(dice.sample(people, min(2, len(people))), key=rank)[1] for _ in range(2)]
+        join(bred(*parents, lengths, dice))
+        join(bred(people[0][1], None, lengths, dice))
+    return [x for _, x in sorted(people, key=rank, reverse=True)[:elite]]
 
 
 # ------------------------------------------------------------ blocks and islands
@@ -350,7 +345,7 @@ def _evolved(blocks: DataFrame, capacity: int, salt: int) -> DataFrame:
 
     shape = "block int, island int, elite array<struct<fewest:int,even:double,bins:binary>>"
     islands = blocks.select("block", "lengths", F.array("bins").alias("given"), F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"))
-    tasks = max(1, min(blocks.count() * ISLANDS, 4096))
+    tasks = max(1, min(blocks.count(), 4096))
     one = shared.durable(islands.repartition(tasks, "block", "island").mapInArrow(island(True), shape), "islands")
     # copies of an island's elite join the population of the next one
     both = one.select("block", "island", "elite").unionByName(one.select("block", ((F.col("island") + 1) % ISLANDS).alias("island"), "elite"))
