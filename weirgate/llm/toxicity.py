@@ -59,6 +59,7 @@ LOOKALIKES = {
 STANDINS = str.maketrans("0134578@$", "oieastbas")
 
 _FOLD: list[dict[int, str]] = []
+_FOLD_CODES: list[np.ndarray] = []
 _WITH_DIGIT = re.compile(r"[^\W_]*[0134578][^\W_]*")
 _SIGN = re.compile(r"[@$](?=[^\W\d_])")
 _GAP = re.compile(r"[\W\d_]+")
@@ -77,16 +78,44 @@ def _fold_table() -> dict[int, str]:
     return _FOLD[0]
 
 
+_ODD = 0xFFFF_FFFF
+_LEFT = re.compile(r"[0-9@$]+")
+
+
+def _fold_codes() -> np.ndarray:
+    """Code point -> the folded one, a space for what is no letter, ASCII digits and
+    the signs that may stand for letters as they are, `_ODD` for what needs the longer way."""
+    if not _FOLD_CODES:
+        table, folded = np.full(0x110000, 32, np.uint32), _fold_table()
+        for cp in range(0x110000):
+            c = chr(cp)
+            low = c.lower()
+            one = low.translate(folded).lower() if cp >= 128 else low
+            if len(low) != 1 or len(one) != 1 or c == "Σ" or cp >= 128 and one.isdecimal():  # a sigma's small form depends on its place
+                table[cp] = _ODD
+            elif one.isascii() and one.isdigit() or one in "@$" or not _GAP.match(one):
+                table[cp] = ord(one)
+        _FOLD_CODES.append(table)
+    return _FOLD_CODES[0]
+
+
 def fold(text: str) -> str:
     """The words of a text, folded, with one space before, between and after them."""
-    text = text.lower()
-    if not text.isascii():
-        text = text.translate(_fold_table()).lower()
-    if _WITH_DIGIT.search(text):
+    codes = _fold_codes()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+    if (codes == _ODD).any():
+        text = text.lower()
+        if not text.isascii():
+            text = text.translate(_fold_table()).lower()
+        odd = True
+    else:
+        text, odd = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"), False
+    if any(d in text for d in "0134578") and _WITH_DIGIT.search(text):
         text = _WITH_DIGIT.sub(lambda m: m[0].translate(STANDINS) if not m[0].isdigit() else m[0], text)
     if "@" in text or "$" in text:
         text = _SIGN.sub(lambda m: m[0].translate(STANDINS), text)
-    return f" {_GAP.sub(' ', text).strip()} "
+    if odd:
+        return f" {_GAP.sub(' ', text).strip()} "
+    return f" {' '.join(x for x in _LEFT.sub(' ', text).split(' ') if x)} "
 
 
 @dataclass
