@@ -108,6 +108,26 @@ def test_jaccard_on_empty_table_and_one_of_each(spark):
     assert set(kept) == set(want) and {400, 401, 402, None} <= set(kept) and len(kept) == len(set(kept))
 
 
+def test_counters_do_not_saturate(spark):
+    for most in (9, 70_000):
+        counts = np.arange(jaccard_join.SKETCH // jaccard_join.PIECES) % most
+        assert jaccard_join._counts(jaccard_join._small(counts)).tolist() == counts.tolist()
+    docs = docs_of(spark, [(i, "often" if i % 100 else f"rare{i}") for i in range(70_000)])
+    ranks = jaccard_join.shingle_counts(docs.repartition(2), "text", 1)
+    assert ranks.max() > np.log2(66_000) * jaccard_join.OCTAVE and len(set(ranks.tolist())) > 2
+
+
+def test_bit_filters_hold_all_their_values(spark, monkeypatch):
+    dice = np.random.default_rng(1)
+    values = dice.integers(-(1 << 63), (1 << 63) - 1, 3000).tolist() + [0, -1, 1, (1 << 16) - 1, 1 << 16, -(1 << 63)]
+    monkeypatch.setattr(shared, "LEAST_FILTER_BITS", 1 << 16)
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    for bits in (1 << 16, shared.filter_bits(len(values))):
+        packed = shared.bit_filter(df, "v", bits)
+        assert shared.in_filter(packed, np.array(values)).all() and np.unpackbits(packed).sum() <= len(values)
+    assert shared.in_filter(packed, dice.integers(-(1 << 63), (1 << 63) - 1, 10_000)).mean() < 0.05
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(30)] + [(5, 1), (5, 2), (900, 900)]
     found = {r.node: r.root for r in shared.components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
@@ -269,6 +289,22 @@ def test_language_equals_brute_force(spark):
     assert tie.guess("the cat")[0] == "a" and language.identify(docs_of(spark, []), profiles).count() == 0
 
 
+def brute_fold(text):
+    text = text.lower().translate(toxicity._fold_table()).lower()
+    out = []
+    for word in re.split(r"([\W_]+)", text):
+        out.append(word.translate(toxicity.STANDINS) if re.search("[0134578]", word) and not word.isdigit() and not re.match(r"[\W_]", word) else word)
+    text = re.sub(r"[@$](?=[^\W\d_])", lambda m: m[0].translate(toxicity.STANDINS), "".join(out))
+    return f" {' '.join(re.findall(r'[^\W\d_]+', text))} "
+
+
+def test_folding_equals_its_definition():
+    dice = random.Random(2)
+    signs = "abcXYZ 019$@_-'.\n\téÉñßæŁоΙσΣς１²½漢字ｆＦ𝐛ﬁİıⅣ\u0301\u200b\u00ad\ud83d\ude00नमी"
+    for text in ["", " ", "1d10t", "a$$", "@ b@d", "ΣΑΣ 0x", *("".join(dice.choice(signs) for _ in range(dice.randrange(30))) for _ in range(5000))]:
+        assert toxicity.fold(text) == brute_fold(text), ascii(text)
+
+
 def brute_weight(lexicon, text):
     folded = toxicity.fold(text)
     at = lambda x: [(i, i + len(x)) for i in range(len(folded)) if folded.startswith(x, i)]

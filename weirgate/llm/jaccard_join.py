@@ -80,6 +80,15 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _small(counts: np.ndarray) -> bytes:
+    """Counts in two bytes each where that is enough, else in four."""
+    return counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
+
+
+def _counts(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == SKETCH // PIECES * 2 else "<u4").astype(np.int64)
+
+
 def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
     """A rank for each counter, higher for shingles that more documents hold: a table of fixed size."""
 
@@ -89,12 +98,12 @@ def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
             held = [s & np.uint64(SKETCH - 1) for s in _sets(batch.column(0), k)]
             if held:
                 table += np.bincount(np.concatenate(held).astype(np.int64), minlength=SKETCH)
-        parts = np.minimum(table, MOST_COUNT).astype("<u4").reshape(PIECES, -1)
+        parts = np.minimum(table, MOST_COUNT).reshape(PIECES, -1)
         from pyspark import TaskContext
 
         at = TaskContext.get().partitionId() % FAN_IN
         yield pa.RecordBatch.from_pydict(
-            {"piece": pa.array(range(PIECES), pa.int32()), "fan": pa.array([at] * PIECES, pa.int32()), "n": pa.array([p.tobytes() for p in parts], pa.binary())}
+            {"piece": pa.array(range(PIECES), pa.int32()), "fan": pa.array([at] * PIECES, pa.int32()), "n": pa.array(map(_small, parts), pa.binary())}
         )
 
     def merge(batches):
@@ -102,11 +111,11 @@ def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
         at, total = None, None
 
         def row():
-            return pa.RecordBatch.from_pydict({"piece": pa.array([at[0]], pa.int32()), "fan": pa.array([at[1]], pa.int32()), "n": pa.array([np.minimum(total, MOST_COUNT).astype("<u4").tobytes()], pa.binary())})
+            return pa.RecordBatch.from_pydict({"piece": pa.array([at[0]], pa.int32()), "fan": pa.array([at[1]], pa.int32()), "n": pa.array([_small(np.minimum(total, MOST_COUNT))], pa.binary())})
 
         for batch in batches:
             for piece, fan, n in zip(*batch.columns, strict=True):
-                key, x = (piece.as_py(), fan.as_py()), np.frombuffer(n.as_py(), "<u4").astype(np.int64)
+                key, x = (piece.as_py(), fan.as_py()), _counts(n.as_py())
                 if key != at:
                     if at is not None:
                         yield row()
@@ -121,7 +130,7 @@ def shingle_counts(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
     parts = parts.withColumn("fan", F.lit(0)).repartition("piece").sortWithinPartitions("piece").mapInArrow(merge, shape)  # at most FAN_IN rows a piece
     table = np.zeros((PIECES, SKETCH // PIECES), np.int64)
     for row in parts.toLocalIterator():
-        table[row.piece] += np.frombuffer(row.n, "<u4")
+        table[row.piece] += _counts(row.n)
     return (np.log2(np.minimum(table, MOST_COUNT) + 1.0) * OCTAVE).astype(np.uint16).reshape(-1)
 
 

@@ -10,20 +10,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import durable, scratch, share_code
+from ..session import discard, durable, scratch, share_code
 
 __all__ = ["durable", "scratch"]
 
-#: Rows per Arrow batch for text columns; bounds what a Python worker holds.
-TEXT_ROWS_PER_BATCH = 500
+#: Rows and bytes per Arrow batch for text columns; bound what a Python worker holds.
+TEXT_ROWS_PER_BATCH, TEXT_BYTES_PER_BATCH = 500, 32 << 20
 
 #: Bytes of text hashed at once; bounds the work arrays (about 40 x this).
 HASH_CHUNK = 1 << 18
 
 
 def text_session(spark: SparkSession) -> None:
-    """Keeps Arrow batches of texts small enough for a worker's memory, and the package importable there."""
+    """Keeps Arrow batches of texts small enough for a worker's memory, and the package
+    importable there.  The settings stay with the session, as plans read them when they run."""
     share_code(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES_PER_BATCH))
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > TEXT_ROWS_PER_BATCH:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS_PER_BATCH))
 
@@ -40,13 +42,13 @@ def kept_row(df: DataFrame) -> Column:
 
 # ---------------------------------------------------------------- bit filters
 
-#: Bits of a filter for each value that it holds, and bits at most (64 MB).
-FILTER_SHARE, MOST_FILTER_BITS = 8, 1 << 29
+#: Bits of a filter for each value that it holds, at least and at most (1 MB, 64 MB).
+FILTER_SHARE, LEAST_FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 23, 1 << 29
 
 
 def filter_bits(values: int) -> int:
     """Bits of a filter for so many values: a power of two within fixed bounds."""
-    return max(1 << 16, min(MOST_FILTER_BITS, 1 << (FILTER_SHARE * max(1, values) - 1).bit_length()))
+    return max(LEAST_FILTER_BITS, min(MOST_FILTER_BITS, 1 << (FILTER_SHARE * max(1, values) - 1).bit_length()))
 
 
 def bit_filter(values: DataFrame, column: str, bits: int) -> np.ndarray:
@@ -82,7 +84,7 @@ def components(edges: DataFrame, tag: str) -> DataFrame:
 
     Alternates large-star and small-star steps (Kiveris et al., 2014), each a
     grouped minimum (combined before the shuffle, so a hub is no burden) and a
-    join back.  Every round is written to the shared folder.
+    join back.  Every round is written to the shared folder and replaces the one before.
     """
     now = durable(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), tag)
     while not _stars(now):
@@ -91,7 +93,9 @@ def components(edges: DataFrame, tag: str) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = durable(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), tag)
+        following = durable(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), tag)
+        discard(now)
+        now = following
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
