@@ -185,7 +185,8 @@ def test_manifests_listings_and_tails(spark, tmp_path):
     r = objects.digests(spark, [str(tmp_path / "one.bin")]).first()
     assert r.sha256 == hashlib.sha256((tmp_path / "one.bin").read_bytes()).hexdigest() and len(r.tail) == 4096
     v = decisions.trailer_verdict(F.lit(r.tail), r"TOTAL:(\d+)", 1)
-    assert tuple(spark.range(1).select(v).first()[0]) == ("complete", 7)
+    named = decisions.trailer_verdict(F.lit("x\nEND a 12\n"), r"END (?P<tag>\w) (?P<rows>\d+)", "rows")
+    assert tuple(spark.range(1).select(v).first()[0]) == ("complete", 7) and tuple(spark.range(1).select(named).first()[0]) == ("complete", 12)
 
 
 # ---------------------------------------------------------------- checks, subtraction, folds
@@ -259,6 +260,15 @@ def test_quarantine_shapes(spark):
     assert hashes == {r.row_hash for r in out.collect()}
 
 
+def test_approximate_durations_are_near_the_exact_ones(spark):
+    from weirgate.operators import ops
+
+    at = F.timestamp_millis(F.col("id"))
+    runs = spark.range(5000).select(F.lit("fold").alias("stage"), F.lit("ok").alias("outcome"), F.timestamp_millis(F.lit(0)).alias("started_at"), at.alias("finished_at"), F.current_timestamp().alias("recorded_at"))
+    near, exact = (ops.stage_durations(runs, exact=e).first() for e in (False, True))
+    assert near.sample_count == exact.sample_count == 5000 and abs(near.p50_ms - exact.p50_ms) <= 1 and abs(near.p95_ms - exact.p95_ms) <= 1
+
+
 # ---------------------------------------------------------------- tables
 
 
@@ -379,8 +389,10 @@ def request(key, day, sha, delivery=None, run=""):
 
 def test_registration_flow(spark, tmp_path):
     told, copied = [], []
-    reg = acquisition.Registrar(spark, Table(spark, str(tmp_path / "ledger")), events.Claims(str(tmp_path / "c")), lambda k, e: told.append((k, e)), lambda a, b: copied.append((a, b)))
+    counted = []
+    reg = acquisition.Registrar(spark, Table(spark, str(tmp_path / "ledger")), events.Claims(str(tmp_path / "c")), lambda k, e: told.append((k, e)), lambda a, b: copied.append((a, b)), lambda *x: counted.append(x))
     assert reg.register(request("k", 1, "a")).disposition == "registered" and copied == [("in/p.csv", "s3://l/p.csv"), ("in/m", "s3://l/m")]
+    assert counted == [("deliveries", 1, {"feed_id": "feed/a", "disposition": "registered"}), ("bytes", 5, {"feed_id": "feed/a"})]
     assert told[0][1]["object_uris"] == ["s3://l/p.csv"] and told[0][1]["received_at"] == "2026-01-01T12:00:00Z" and list(told[0][1])[:3] == ["schema_version", "feed_id", "delivery_id"]
     assert reg.register(request("k", 2, "a")).disposition == "duplicate"
     plan = reg.register(request("k", 3, "b"))
@@ -405,6 +417,92 @@ def test_registration_flow(spark, tmp_path):
     assert late == [("feed/a", d) for d in ("2026-01-08", "2026-01-10", "2026-01-11")] and reg.overdue(feeds, datetime.datetime(2026, 1, 11, 11, tzinfo=UTC), marked) == []
 
 
+def test_pull_stops_by_time_and_push_takes_one(spark, tmp_path):
+    from weirgate.operators import ledger
+
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        (tmp_path / "in" / f"f{i}.csv").write_text(f"a,{i}\nTOTAL:{'x' if i == 2 else 1}\n")
+    reg = acquisition.Registrar(spark, Table(spark, str(tmp_path / "ledger")), events.Claims(str(tmp_path / "c")), lambda *_: None)
+    feed = acquisition.Feed("feed/t", "pipelines/x", "*.csv", "trailer", r"TOTAL:(\w+)", 1)
+    ticks = iter([0.0, 1.0, 601.0])
+    found = acquisition.pull(reg, feed, str(tmp_path / "in"), str(tmp_path / "stage"), clock=lambda: next(ticks))
+    assert (len(found.plans), found.carried) == (1, 2)  # the time was up after the first
+    found = acquisition.pull(reg, feed, str(tmp_path / "in"), str(tmp_path / "stage"))
+    assert (len(found.plans), found.carried) == (2, 0) and acquisition.pull(reg, feed, str(tmp_path / "in"), str(tmp_path / "stage")).plans == ()
+    latest = {r.delivery_key: r for r in ledger.latest(reg.table.read()[0]).collect()}
+    assert {k: r.disposition for k, r in latest.items()} == {"f0.csv": "registered", "f1.csv": "registered", "f2.csv": "unreadable"} and latest["f0.csv"].asserted_record_count == 1
+    uri = latest["f0.csv"].object_uris[0]
+    assert open(uri.removeprefix("file:")).read() == "a,0\nTOTAL:1\n" and "/feed/t/received_at=" in uri
+    (tmp_path / "in" / "late.csv").write_text("b\nTOTAL:2\n")
+    assert acquisition.push(reg, feed, str(tmp_path / "in" / "late.csv"), str(tmp_path / "stage")).disposition == "registered"
+    assert acquisition.push(reg, feed, str(tmp_path / "in" / "late.csv"), str(tmp_path / "stage")).disposition == "duplicate"
+    with pytest.raises(FileNotFoundError):
+        acquisition.push(reg, feed, str(tmp_path / "in" / "none.csv"), str(tmp_path / "stage"))
+    with pytest.raises(ValueError):
+        acquisition.Feed("f", "p", mode="trailer")
+
+
+def test_large_objects_are_streamed(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.bin").write_bytes(b"x" * 9000 + b"\nend\n")
+    (tmp_path / "b.bin").write_bytes(b"")
+    uris = [str(tmp_path / n) for n in ("a.bin", "b.bin")]
+    whole = {r.uri: tuple(r)[1:] for r in objects.digests(spark, uris).collect()}
+    monkeypatch.setattr(objects, "WHOLE_BYTES", 100)
+    assert {r.uri: tuple(r)[1:] for r in objects.digests(spark, uris).collect()} == whole
+    n, sha = objects.copied(spark, uris[0], str(tmp_path / "out" / "copy.bin"))
+    assert n == 9005 and (tmp_path / "out" / "copy.bin").read_bytes() == (tmp_path / "a.bin").read_bytes() and hashlib.sha256((tmp_path / "a.bin").read_bytes()).hexdigest() == sha
+
+
+def test_registry_is_rendered_and_cached(tmp_path):
+    for name in "ba":
+        (tmp_path / f"{name}.yaml").write_text(f"feed_id: feed/{name}\ndriver: pull\n")
+    text = objects.render_registry([str(tmp_path / f"{n}.yaml") for n in "ba"])
+    (tmp_path / "feeds.json").write_text(text)
+    registry = objects.FeedRegistry(str(tmp_path / "feeds.json"))
+    assert [f["feed_id"] for f in registry.feeds(0)] == ["feed/a", "feed/b"] and registry.feed("feed/x", 1) is None
+    (tmp_path / "feeds.json").write_text('{"feeds": []}')
+    assert registry.feed("feed/a", 59) is not None and registry.feed("feed/a", 60) is None
+    with pytest.raises(ValueError):
+        objects.render_registry([str(tmp_path / "a.yaml")] * 2)
+
+
+def test_files_are_put_once_and_only_where_that_is_safe(spark, tmp_path, monkeypatch):
+    from weirgate.sources import files
+
+    for store in (files.LocalFiles(), files.SharedFiles(spark)):
+        at = str(tmp_path / type(store).__name__ / "x.json")
+        assert store.put(at, b"1") and not store.put(at, b"2") and store.read(at) == b"1" and store.names(str(tmp_path / type(store).__name__)) == ["x.json"]
+        assert store.names(str(tmp_path / "none")) == []
+    monkeypatch.setattr(files, "ATOMIC", ())
+    shared = files.SharedFiles(spark)
+
+    class Odd:
+        def getScheme(self):
+            return "s3a"
+
+    class Store:
+        def getUri(self):
+            return Odd()
+
+    monkeypatch.setattr(shared, "fs", lambda path: Store())
+    with pytest.raises(ValueError, match="single_writer"):
+        shared.put("s3a://b/x", b"")
+
+
+def test_messages_quote_contract_faults_only():
+    from weirgate.plans import runner
+
+    def message(make):
+        try:
+            raise make()
+        except Exception as e:
+            return runner.safe_message(e)
+
+    assert "123-45-6789" not in message(lambda: ValueError("invalid literal for int() with base 10: '123-45-6789'")) and "123" not in message(lambda: KeyError("123-45-6789"))
+    assert message(lambda: C.ContractError("column a\nrow text")) == "ContractError: column a"
+
+
 def test_router_arguments_and_names():
     assert acquisition.arguments(["--a", "1", "--b=2"]) == {"a": "1", "b": "2"}
     for bad in (["x"], ["--a"], ["--a", "--b"], ["--a=1", "--a=2"]):

@@ -113,3 +113,38 @@ def test_header_faults_are_found_before_bodies(spark, tmp_path):
     p.write_text("event_time,payload,payload\n1,2,3\n")
     with pytest.raises(C.ContractError, match="required columns are missing: domain_id"):
         runner.run(spark, runner.Pipeline(spec(), plain), lineage("h"), [str(p)], stores)
+
+
+def test_binding_and_entry_point(spark, tmp_path, monkeypatch):
+    import json
+    import sys
+
+    from weirgate import contract as C
+    from weirgate.plans import binding
+
+    (tmp_path / "pipelines" / "mine").mkdir(parents=True)
+    for at in ("pipelines", "pipelines/mine"):
+        (tmp_path / at / "__init__.py").write_text("")
+    code = tmp_path / "pipelines" / "mine" / "transforms.py"
+    code.write_text("from pyspark.sql import functions as F\n\n\ndef apply(valid, co):\n    return valid.withColumn('v', F.upper('v'))\n\n\ndef fold(state, facts):\n    return facts\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    (tmp_path / "spec.json").write_text(json.dumps({"name": "pipelines/mine", "raw": {"columns": [{"name": "domain_id", "required": True, "nullable": False}, {"name": "v"}]}, "fold_order": ["v"]}))
+    (tmp_path / "in.csv").write_text("domain_id,v\na,x\nb,y\n")
+    argv = ["--spec", str(tmp_path / "spec.json"), "--root", str(tmp_path / "lake"), "--batch_id=b1", "--delivery_id", "d1", "--feed_id", "f", "--received_at", "2026-01-01T00:00:00+00:00", "--uris", str(tmp_path / "in.csv")]
+    done = binding.main(spark, argv)
+    assert done.facts_appended == 2 and {r.v for r in done.facts.collect()} == {"X", "Y"}
+    for bad in (argv[2:], [*argv[:-1], "s3://l/other/x.csv"]):
+        with pytest.raises(C.ContractError):
+            binding.main(spark, bad)
+    spec = C.load(str(tmp_path / "spec.json"))
+    for name in ("other/mine", "pipelines", "pipelines/x;y"):
+        with pytest.raises(C.ContractError):
+            binding.bind(C.PipelineSpec(name, spec.raw))
+    for text in ("def apply(valid):\n    return valid\n", "def other(a, b):\n    return a\n", "def apply(valid, co):\n    return valid.where('a = ' + co)\n"):
+        code.write_text(text)
+        sys.modules.pop("pipelines.mine.transforms", None)
+        import importlib
+
+        importlib.invalidate_caches()
+        with pytest.raises(C.ContractError):
+            binding.bind(spec)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,8 +48,12 @@ def manifest_verdicts(declared: DataFrame, observed: DataFrame, feed_id: Column
     return found.select("manifest_id", "feed_id", verdict.alias("verdict"), reason.alias("reason"), "asserted_record_count")
 
 
-def trailer_verdict(tail: Column, pattern: str, count_group: int | None = None) -> Column:
-    """struct(verdict, asserted_record_count) from the last line of a tail that is not blank."""
+def trailer_verdict(tail: Column, pattern: str, count_group: int | str | None = None) -> Column:
+    """struct(verdict, asserted_record_count) from the last line of a tail that is not blank;
+    the count is in a group of the pattern, given by its number or its name."""
+    if isinstance(count_group, str):
+        count_group = re.compile(pattern).groupindex[count_group]
+    pattern = pattern.replace("(?P<", "(?<")  # the engine writes named groups so
     line = X.last_line(tail)
     met = F.coalesce(full_match(line, pattern), F.lit(False))
     if count_group is None:

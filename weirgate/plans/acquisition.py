@@ -122,8 +122,10 @@ def plan_registration(kind: str, held: dict | None, prior: Iterable[dict], r: Re
 class Registrar:
     """Carries plans out against a ledger table and claims."""
 
-    def __init__(self, spark: SparkSession, table: Table, claims: events.Claims, emit: Callable[[str, dict], None], copy: Callable[[str, str], None] | None = None):
+    def __init__(self, spark: SparkSession, table: Table, claims: events.Claims, emit: Callable[[str, dict], None], copy: Callable[[str, str], None] | None = None, count: Callable[[str, int, dict], None] | None = None):
+        """``count`` receives a metric's name, value and labels; it may fail without harm."""
         self.spark, self.table, self.claims, self.emit = spark, table, claims, emit
+        self.count = count or (lambda *_: None)
         self.copy = copy or (lambda source, target: objects.copied(spark, source, target))
         table.create(spark.createDataFrame([], ledger.SCHEMA).schema)
 
@@ -158,6 +160,10 @@ class Registrar:
             self.emit("delivery-registered", plan.event)
         if plan.complete is not None:
             self.claims.complete(*plan.complete, owner)
+        for row in plan.rows:
+            events.quietly(lambda row=row: self.count("deliveries", 1, {"feed_id": row["feed_id"], "disposition": row["disposition"]}), tries=1)
+            if row["size_bytes"] is not None and row["disposition"] == "registered":
+                events.quietly(lambda row=row: self.count("bytes", row["size_bytes"], {"feed_id": row["feed_id"]}), tries=1)
 
     def nondelivery(self, r: Request, disposition: str, at: datetime.datetime | None = None) -> Plan:
         """An incomplete or unreadable delivery: a row only if it is news."""

@@ -45,4 +45,13 @@ def durable(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._weirgate_folder = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the folder of a durable table that nothing reads any more."""
+    if at := getattr(df, "_weirgate_folder", None):
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

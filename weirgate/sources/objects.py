@@ -108,6 +108,24 @@ def feed_registry(path: str) -> list[dict]:
     return feeds
 
 
+def render_registry(sources: list[str]) -> str:
+    """One registry, as JSON, from the files that describe a source each; feeds are ordered by their id."""
+    feeds: list[dict] = []
+    for path in sources:
+        with open(path, encoding="utf-8") as f:
+            text = f.read()
+        if path.endswith(".json"):
+            found = json.loads(text)
+        else:
+            import yaml
+
+            found = yaml.safe_load(text)
+        feeds += found["feeds"] if isinstance(found, dict) and "feeds" in found else [found]
+    if len({f["feed_id"] for f in feeds}) < len(feeds):
+        raise ValueError("feed ids repeat")
+    return json.dumps({"feeds": sorted(feeds, key=lambda f: f["feed_id"])}, sort_keys=True)
+
+
 class FeedRegistry:
     """Feeds of a registry file, read again after `REGISTRY_S` seconds."""
 
