@@ -124,7 +124,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, vocabular
 
 
 class Bins:
-    """A packing under construction; finds the fullest bin that takes a piece."""
+    """A packing under construction; finds the fullest bin that takes a piece.  Lists
+    of members are never changed in place, so packings share them."""
 
     def __init__(self, capacity: int):
         self.capacity, self.bins, self.fill = capacity, [], []
@@ -133,7 +134,8 @@ class Bins:
         self.mask = 0
 
     def add_bin(self, members: list[int], fill: int) -> None:
-        self._file(len(self.bins), self.capacity - fill)
+        if fill < self.capacity:
+            self._file(len(self.bins), self.capacity - fill)
         self.bins.append(members)
         self.fill.append(fill)
 
@@ -141,10 +143,13 @@ class Bins:
         self.by_free[free].append(at)
         self.mask |= 1 << free
 
-    def exchanged(self, at: int, longer: int) -> None:
-        """A piece of a bin was exchanged for one that is longer by so much."""
-        self.fill[at] += longer
-        self._file(at, self.capacity - self.fill[at])
+    def exchanged(self, at: int, place: int, piece: int, lengths: list[int]) -> int:
+        """Puts a longer piece, which fills the bin, in the place of the one returned."""
+        members = list(self.bins[at])
+        old, members[place] = members[place], piece
+        self.bins[at] = members
+        self.fill[at] += lengths[piece] - lengths[old]
+        return old
 
     def best_fit(self, piece: int, length: int) -> None:
         while fits := self.mask >> length:
@@ -153,9 +158,10 @@ class Bins:
             if not self.by_free[free]:
                 self.mask &= ~(1 << free)
             if self.capacity - self.fill[at] == free:
-                self.bins[at].append(piece)
+                self.bins[at] = [*self.bins[at], piece]
                 self.fill[at] += length
-                self._file(at, free - length)
+                if free > length:
+                    self._file(at, free - length)
                 return
         self.add_bin([piece], length)
 
@@ -165,21 +171,6 @@ def fitness(packing: Bins) -> tuple[int, float]:
     return -len(packing.bins), sum((f / packing.capacity) ** 2 for f in packing.fill) / max(1, len(packing.fill))
 
 
-def _filling(gap: int, present: np.ndarray, count: np.ndarray) -> list[int]:
-    """The one or two lengths on offer that fill a gap best; fewer pieces on ties."""
-    upto = present[: np.searchsorted(present, gap, "right")]
-    if not len(upto) or upto[-1] == gap:
-        return upto[-1:].tolist()
-    other = np.searchsorted(upto, gap - upto, "right") - 1  # the longest that still fits beside
-    own = np.arange(len(upto))
-    other = np.where((other == own) & (count[upto] < 2), other - 1, other)
-    sums = np.where(other >= 0, upto + upto[other], upto)
-    best = int(sums.argmax())
-    if sums[best] <= upto[-1]:
-        return [int(upto[-1])]
-    return [int(upto[best]), int(upto[other[best]])]
-
-
 def placed(child: Bins, loose: list[int], lengths: list[int]) -> None:
     """Best-fits loose pieces.  Each is first offered to a bin that it fills in
     exchange for a shorter piece.  Then the longest that is left takes the one or two
@@ -195,27 +186,40 @@ def placed(child: Bins, loose: list[int], lengths: list[int]) -> None:
         for b, place in want.get(lengths[p], ()):
             if b not in swapped:
                 swapped.add(b)
-                old, child.bins[b][place] = child.bins[b][place], p
-                child.exchanged(b, lengths[p] - lengths[old])
+                old = child.exchanged(b, place, p, lengths)
                 p = old
                 break
         by_length.setdefault(lengths[p], []).append(p)
-    count = np.zeros(child.capacity + 1, np.int64)
-    for n, pieces_ in by_length.items():
-        count[n] = len(pieces_)
-    present = np.flatnonzero(count)
+    # lengths on offer as bits, and counted from the capacity down, so that one shift and one AND find all pairs of a sum
+    offer, downward = sum(1 << n for n in by_length), sum(1 << child.capacity - n for n in by_length)
 
     def take(n: int) -> int:
-        nonlocal present
-        count[n] -= 1
-        if not count[n]:
-            present = present[present != n]
-        return by_length[n].pop()
-
-    while len(present):
-        n = int(present[-1])
+        nonlocal offer, downward
+        piece = by_length[n].pop()
+        if not by_length[n]:
+            offer ^= 1 << n
+            downward ^= 1 << child.capacity - n
+        return piece
+
+    def filling(gap: int) -> list[int]:
+        """The one or two lengths that fill a gap best; one on ties."""
+        fits = offer & ((2 << gap) - 1)
+        if not fits:
+            return []
+        longest = fits.bit_length() - 1
+        for total in range(gap, longest, -1):
+            pairs = fits & (downward >> child.capacity - total)
+            if total % 2 == 0 and pairs >> total // 2 & 1 and len(by_length[total // 2]) < 2:
+                pairs ^= 1 << total // 2
+            if pairs:
+                one = pairs.bit_length() - 1
+                return [one, total - one]
+        return [longest]
+
+    while offer:
+        n = offer.bit_length() - 1
         members, fill = [take(n)], n
-        while len(present) and (more := _filling(child.capacity - fill, present, count)):
+        while more := filling(child.capacity - fill):
             members += map(take, more)
             fill += sum(more)
         if len(members) == 1:
@@ -234,7 +238,7 @@ def bred(keep: Bins, give: Bins | None, lengths: list[int], dice: random.Random)
         good = order[: max(1, len(order) // 2)]
         for b in [b for b in good if dice.random() < 0.5] or good[:1]:
             taken.update(give.bins[b])
-            child.add_bin(list(give.bins[b]), give.fill[b])
+            child.add_bin(give.bins[b], give.fill[b])
     order = sorted(range(len(keep.bins)), key=keep.fill.__getitem__)
     gone = {*order[: 1 + len(order) // 20], *(b for b in order if dice.random() < 0.03)}
     for b, members in enumerate(keep.bins):
@@ -243,7 +247,7 @@ def bred(keep: Bins, give: Bins | None, lengths: list[int], dice: random.Random)
         elif b in gone:
             loose += members
         else:
-            child.add_bin(list(members), keep.fill[b])
+            child.add_bin(members, keep.fill[b])
     placed(child, loose, lengths)
     return child
 
@@ -282,7 +286,7 @@ def evolve(lengths: list[int], capacity: int, seed: int, given: list[list[list[i
     for bins in given:
         join(Bins(capacity))
         for members in bins:
-            people[-1][1].add_bin(list(members), sum(lengths[p] for p in members))
+            people[-1][1].add_bin(members, sum(lengths[p] for p in members))
         people[-1] = (fitness(people[-1][1]), people[-1][1])
     if len(people) < POPULATION:
         join(packed(by_length, lengths, capacity))
