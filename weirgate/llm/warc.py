@@ -2,7 +2,9 @@
 
 Writing: equal payloads of at least ``REVISIT_FROM`` bytes are stored once, as
 the response with the smallest page id; the others become revisit records that
-refer to it.  Each task writes archives of its own, one gzip member a record.
+refer to it.  Payloads that very many pages share are known to every task, so that
+their pages need not meet.  Each task writes archives of its own, one gzip member a
+record.
 
 Index: capture lines are keyed by the URL with its host reversed (and the page
 id), range-sorted, and written in compressed blocks of ``LINES`` lines.  The
@@ -148,10 +150,15 @@ def write(pages: DataFrame, root: str | None = None, id_col: str = "page_id", ur
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), body.alias("payload"), F.sha2(body, 256).alias("digest"))
     narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("n"))
     firsts = narrow.where(F.col("n") >= REVISIT_FROM).groupBy("digest").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    firsts = firsts.select("digest", F.col("f.page_id").alias("first"), F.col("f.url").alias("first_url"))
-    told = rows.join(firsts, "digest", "left").select(
-        "page_id", "url", "payload", "digest", F.when((F.col("first") != F.col("page_id")) | F.col("page_id").isNull(), F.col("first")).alias("refers_to"), "first_url"
-    )
+    firsts = shared.durable(firsts.select("digest", "c", F.col("f.page_id").alias("first"), F.col("f.url").alias("first_url")), "firsts")
+    # payloads with a thousandth of all copies, so at most a thousand, are told to every task; their pages are dealt at random
+    copies = firsts.agg(F.sum("c")).first()[0] or 0
+    common = firsts.where(F.col("c") * 1000 >= copies).select(F.col("digest").alias("common"), F.col("first").alias("common_first"), F.col("first_url").alias("common_url"))
+    rows = rows.join(F.broadcast(common), F.col("digest") == F.col("common"), "left")
+    key = F.when(F.col("common").isNotNull(), F.concat(F.lit("common "), F.xxhash64("page_id", "url").cast("string"))).otherwise(F.col("digest"))
+    told = rows.withColumn("key", key).join(firsts.select(F.col("digest").alias("key"), "first", "first_url"), "key", "left")
+    first = F.coalesce("common_first", "first")
+    told = told.select("page_id", "url", "payload", "digest", F.when((first != F.col("page_id")) | F.col("page_id").isNull(), first).alias("refers_to"), F.coalesce("common_url", "first_url").alias("first_url"))
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _files(root)
