@@ -317,6 +317,7 @@ def test_appends_after_conflicts(spark, tmp_path, monkeypatch):
     meanwhile(lambda: other.append(both, batch_id="b2", stage="land"))
     assert t.append_if_absent(both, "b2", stage="land") is None and t.batch("b2").count() == 1  # the other run was first
     assert t.find(batch_id="b2", stage="land") == 3 and len(t.batch("b1").inputFiles()) == 1  # a batch is read from its own parts
+    assert [t.attributed(*x[:1], stage=x[1]) for x in (("b2", "land"), ("b1", "fold"), ("none", "land"))] == [("own", 3), ("unattributable", None), ("absent", None)]
     for i in range(110):
         other.append(both.limit(0), batch_id=f"x{i}", stage="land")
     assert t.find(batch_id="b1") == 2 and t.find(batch_id="x60") == 64 and t.batch("b2").count() == 1
@@ -528,6 +529,10 @@ def test_candidates_globs_and_budget(spark):
     pick = lambda **k: [r.name for r in decisions.candidates(df, df.where("name = 'd.csv'"), "*.csv", now, **k).collect()]
     assert pick() == ["a.csv", "b.csv"] and pick(quiet_minutes=30) == ["a.csv"] and pick(force=True) == ["a.csv", "d.csv", "b.csv"]
     assert [r.name for r in decisions.budget_prefix(df, 3, ("name",)).orderBy("name").collect()] == ["../x.csv", "a%.csv"]
+    many = spark.range(2000).select((F.col("id") % 997).alias("k"), F.when(F.col("id") % 3 > 0, "a").alias("g"), F.lit(1).alias("bytes"), "id").repartition(7)
+    kept = decisions.budget_prefix(many, 99, ("k", "id"), partition=("g",)).groupBy("g").agg(F.count("*").alias("n"), F.max("k").alias("k")).collect()
+    want = {g: sorted((i % 997, i) for i in range(2000) if (i % 3 > 0) == (g == "a"))[:100] for g in ("a", None)}
+    assert {r.g: (r.n, r.k) for r in kept} == {g: (100, rows[-1][0]) for g, rows in want.items()}
     import fnmatch
 
     names = ["a.csv", "A.csv", "b1", "b[1]", "x\ny", "", "ab^"]

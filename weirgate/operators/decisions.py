@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as X
 from ..functions.casts import full_match
+from ..session import durable
 
 LOOKBACK_DAYS = 3
 RUN_BYTES = 5 << 30
@@ -88,10 +89,18 @@ def within(at: Column, start: Column, end: Column) -> Column:
 def budget_prefix(rows: DataFrame, budget: int = RUN_BYTES, by: tuple[str, ...] = ("mtime", "name"), size: str = "bytes", partition: tuple[str, ...] = ()) -> DataFrame:
     """Rows in order until what came before exceeds the budget; the rest is carried over.
 
-    One prefix per ``partition``.  Sizes are summed per run of one feed's listing, which is bounded."""
-    over = Window.partitionBy(*(partition or (F.lit(1),))).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(size).over(over), F.lit(0))
-    return rows.withColumn("_before", before).where(F.col("_before") <= budget).drop("_before")
+    One prefix per ``partition``.  Rows are cut into ranges, summed range by range and
+    inside each, so that no task gathers a whole listing."""
+    cut = durable(rows.repartitionByRange(*partition, *by).withColumn("_task", F.spark_partition_id()), "ranges")
+    told = cut.groupBy(*partition, "_task").agg(F.sum(size).alias("_sum"))
+    earlier = Window.partitionBy(*(partition or (F.lit(1),))).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as tasks
+    offsets = told.select(*(F.col(c).alias(f"_of_{c}") for c in partition), F.col("_task").alias("_of"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*partition, "_task").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    met = F.col("_task") == F.col("_of")
+    for c in partition:
+        met = met & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    before = F.coalesce("_inside", F.lit(0)) + F.col("_offset")
+    return cut.withColumn("_inside", F.sum(size).over(inside)).join(offsets, met).where(before <= budget).select(*rows.columns)
 
 
 def expected_on(rule: Column, day: Column) -> Column:
