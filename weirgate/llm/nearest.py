@@ -16,8 +16,8 @@ How many tables, probes and hashes in a bucket are needed depends on the data:
 near neighbours need few, vectors that lie far apart many.  They are fitted on a
 sample of at most `SAMPLE` rows and `SAMPLE_BYTES`, up to `ASKED` of them as
 queries: the settings that compare the smallest share of rows at a recall of
-`RECALL` there.  Neighbours in a sample are farther than in the whole, so the
-recall of the whole is rather higher.  Several hashes are tried from `JOINED_FROM`
+`RECALL` there.  Of a row's k neighbours a sample holds its own share, so recall is
+that of so many nearest, at least one.  Several hashes are tried from `JOINED_FROM`
 rows on.  Where nothing reaches the recall, every row is compared.
 
 Of rows with equal vectors only the k + 1 smallest ids can be answers, so the
@@ -123,6 +123,7 @@ def fitted(x: np.ndarray, k: int, n: int) -> Settings:
     exhaustive = Settings(1, 1 << 30, 1, 1.0, 1.0)
     if len(x) <= 4 * k:
         return exhaustive
+    k = max(1, min(k, round(k * len(x) / n)))
     at = np.unique(np.linspace(0, len(x) - 1, min(ASKED, len(x))).astype(int))
     norms = (x * x).sum(1)
     d = norms[None, :] + norms[at][:, None] - 2 * x[at] @ x.T
